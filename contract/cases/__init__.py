@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ("views",)
+AREAS = ("views", "blocks")
 
 
 def load() -> None:

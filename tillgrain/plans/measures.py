@@ -23,9 +23,6 @@ def _sums() -> dict[str, Column]:
     }
 
 
-ADDITIVE = tuple(_sums())
-
-
 def measure(star: Star, name: str, by: list[str] | None = None, filters: Filters | None = None
             ) -> DataFrame:
     """One additive measure per group of ``by``; only the dimensions that own a grouping column
