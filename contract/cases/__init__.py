@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ("views", "blocks")
+AREAS = ("views", "blocks", "etl", "models")
 
 
 def load() -> None:

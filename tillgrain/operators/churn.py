@@ -220,3 +220,14 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 def run_churn(star: Star) -> tuple[Trained, DataFrame]:
     trained = train_and_select(training_set(star))
     return trained, score(trained.best_model, scoring_set(star))
+
+
+def standardised(train: DataFrame, features: DataFrame) -> DataFrame:
+    """The features as the logistic model sees them: centred and scaled by the training rows. The
+    scale is the sample deviation, a constant factor away from the population's."""
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="raw"),
+                              StandardScaler(inputCol="raw", outputCol="scaled", withMean=True,
+                                             withStd=True)]).fit(train)
+    values = fitted.transform(features).withColumn("_v", vector_to_array("scaled"))
+    return values.select("customer_id", *[F.col("_v").getItem(i).alias(name)
+                                          for i, name in enumerate(FEATURES)])
