@@ -360,3 +360,14 @@ def _export(spark, folder):
 
 
 raw_case("S07_export", _export, sql(f"select {_SHOWN} from listed", listed=_PRODUCTS))
+
+
+def _quality_page(spark, folder):
+    home = scratch_path(spark, "reports")
+    report = quality.quality_report(star_from_lines(spark, folder).tables(), _EARLY)
+    warehouse.write_report(report, home, "data_quality_report")
+    return blocks.data_quality(spark, home)["summary"]
+
+
+raw_case("A32_data_quality_page", _quality_page, sql(
+    _SUMMARY.format(_graded(_all(sum(_TIDY.values(), [])))), "customers", "products", "employees", "orders_x"))

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from contract.cases.views import SEGMENT
 from contract.mapping import money, sql
-from contract.registry import case, plain, raw_case
+from contract.registry import case, raw_case
 from tillgrain.functions.labels import risk_level
 from tillgrain.operators import churn, forecast, rfm
 from tillgrain.plans import blocks, client, jobs
@@ -190,12 +190,22 @@ def _evaluation(spark, folder):
 
 
 raw_case("P07_model_evaluation", _evaluation)
-raw_case("A31_forecast_page", lambda spark, folder: blocks.forecast(spark, _forecast_reports(spark, folder))["forecast_next_3_months"])
+raw_case("A31_forecast_page", lambda spark, folder: blocks.forecast(spark, _forecast_reports(spark, folder))["actual_monthly_revenue"],
+         sql(f"select strftime(date,'%Y-%m') as month, {money('sum(c)')} as actual_revenue from daily group by 1", **_DAILY))
+raw_case("A31_forecast_page_ahead", lambda spark, folder: blocks.forecast(spark, _forecast_reports(spark, folder))["forecast_next_3_months"])
 
 
-def _actual_and_forecast(spark, folder):
-    page = blocks.forecast(spark, _forecast_reports(spark, folder))
-    return client.actual_and_forecast(page["actual_monthly_revenue"], page["forecast_next_6_months"])
+def _stitched(star):
+    """Actuals followed by a given forecast: the same months ten years on, with a fixed band."""
+    actual = forecast.actual_monthly(forecast.daily_series(star)).drop("series")
+    later = F.concat((F.substring("month", 1, 4).cast("int") + 10).cast("string"), F.substring("month", 5, 3))
+    value = F.col("actual_revenue")
+    ahead = actual.select(later.alias("month"), value.alias("forecast_revenue"),
+                          (value - 1).alias("lower_bound"), (value + 1).alias("upper_bound"))
+    return client.actual_and_forecast(actual, ahead)
 
 
-raw_case("U02_actual_and_forecast", _actual_and_forecast)
+case("U02_actual_and_forecast", _stitched, sql("""
+select label, y as actual, cast(null as double) as forecast, cast(null as double) as lower, cast(null as double) as upper from months_of
+union all select concat(cast(substring(label,1,4) as int)+10, substring(label,5,3)), null, y, y-1, y+1 from months_of""",
+    months_of=(("daily",), f"select strftime(date,'%Y-%m') as label, {money('sum(c)')} as y from daily group by 1"), **_DAILY))

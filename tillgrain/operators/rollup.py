@@ -43,23 +43,35 @@ def by_key(orders: DataFrame, keys: list[str | Column], *names: str) -> DataFram
     return orders.groupBy(*keys).agg(*measures(*names))
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's own size estimate lets this frame be broadcast."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= limit
+
+
 def by_attribute(orders: DataFrame, dimension: DataFrame, key: str, attributes: list[str],
                  names: list[str], extra: list[str | Column] | None = None,
                  members: str | None = None) -> DataFrame:
-    """Measures per dimension attribute: fact -> key -> attribute.
+    """Measures per dimension attribute and per the ``extra`` grouping columns.
+
+    While the dimension is small enough to be broadcast, orders look up their attribute without a
+    shuffle. Beyond that the fact goes to key grain first and meets the dimension there, so a key
+    with a third of the orders is combined before it is shuffled.
 
-    ``extra`` grouping columns ride along. ``members`` names a column for the number of distinct
-    keys that contribute, which is the row count at key grain, so it needs no distinct step; it is
-    only meaningful without ``extra``.
+    ``members`` names a column for the number of distinct keys that contribute. It is the row count
+    at key grain and needs no distinct step; it excludes ``extra``.
     """
     extra = extra or []
+    looked_up = dimension.select(key, *attributes)
+    if not members and fits_broadcast(looked_up):
+        return (orders.join(looked_up, key).groupBy(*attributes, *extra).agg(*measures(*names)))
     keyed = by_key(orders, [key, *extra], *names)
     carried = [c for c in keyed.columns if c != key and c not in names]
-    joined = keyed.join(dimension.select(key, *attributes), key)
     aggregates = again(*names)
     if members:
         aggregates.append(F.count(F.lit(1)).alias(members))
-    return joined.groupBy(*attributes, *carried).agg(*aggregates)
+    return keyed.join(looked_up, key).groupBy(*attributes, *carried).agg(*aggregates)
 
 
 def returns_per_order(returns: DataFrame) -> DataFrame:

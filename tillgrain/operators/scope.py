@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillgrain.functions.ratios import counts_as_revenue
+from tillgrain.operators.ordering import with_row_number
 from tillgrain.sources.star import Star
 
 MAX_PAGE_SIZE = 200
+NEAR_ROWS = 10_000
 
 
 def _day(value: dt.date | str | None) -> dt.date | None:
@@ -125,9 +127,18 @@ def check_page(page: int, page_size: int) -> None:
 
 
 def page_of(df: DataFrame, order: list[Column], page: int = 1, page_size: int = 25) -> DataFrame:
-    """One page. The order should end in a key, or rows could move between pages."""
+    """One page. The order should end in a key, or rows could move between pages.
+
+    A limit gathers all rows up to the page in one place, so a page further back is cut out by row
+    numbers instead.
+    """
     check_page(page, page_size)
-    return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
+    skipped = (page - 1) * page_size
+    if skipped + page_size <= NEAR_ROWS:
+        return df.orderBy(*order).offset(skipped).limit(page_size)
+    numbered = with_row_number(df, order, "_rn")
+    return (numbered.where(F.col("_rn").between(skipped + 1, skipped + page_size))
+            .orderBy("_rn").drop("_rn"))
 
 
 def page_info(df: DataFrame, page: int = 1, page_size: int = 25) -> DataFrame:
