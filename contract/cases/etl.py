@@ -217,26 +217,36 @@ def _rules(prefix: str, orders: str) -> dict[str, list[str]]:
 
 _RAW, _TIDY = _rules("raw_", "raw_orders"), _rules("", "orders_x")
 
-raw_case("V01_V03_missing_values", lambda spark, folder: quality.graded(quality._stack(
+
+
+def _judged(orders):
+    return quality.judged_orders(orders, quality.order_rules(orders, _EARLY))
+
+
+def _outliers(orders):
+    return quality.judged_orders(orders, quality.outlier_rule(orders))
+
+
+raw_case("V01_V03_missing_values", lambda spark, folder: quality.graded(quality.stacked(
     [quality.missing_values(t, _feed(spark, folder)[t]) for t in ("customers", "products", "employees")])),
     sql(_graded(_all(_RAW["missing"])), **BAD_ORDERS))
-raw_case("V05_V07_repeated_keys", lambda spark, folder: quality.graded(quality._stack(
+raw_case("V05_V07_repeated_keys", lambda spark, folder: quality.graded(quality.stacked(
     [quality.repeated_keys(f"Duplicate {k}", _feed(spark, folder)[t], [k]) for t, k in
      (("customers", "customer_id"), ("products", "product_id"), ("orders", "order_id"))])),
     sql(_graded(_all(_RAW["repeated"])), **BAD_ORDERS))
 raw_case("V04_V08_V12_V17_V18_order_rules", lambda spark, folder: quality.graded(
-    quality.order_rules(_feed(spark, folder)["orders"], _EARLY)), sql(_graded(_all(_RAW["rows"])), **BAD_ORDERS))
+    _judged(_feed(spark, folder)["orders"])), sql(_graded(_all(_RAW["rows"])), **BAD_ORDERS))
 
 
 def _unknown(spark, folder):
     raw = _feed(spark, folder)
-    return quality.graded(quality._stack([
+    return quality.graded(quality.stacked([
         quality.unknown_references(f"Invalid {k} references", raw["orders"], k, raw[t], k) for t, k in
         (("customers", "customer_id"), ("products", "product_id"), ("employees", "employee_id"))]))
 
 
 raw_case("V13_V15_unknown_references", _unknown, sql(_graded(_all(_RAW["unknown"])), **BAD_ORDERS))
-raw_case("V16_extreme_revenue", lambda spark, folder: quality.graded(quality.extreme_revenue(_feed(spark, folder)["orders"])),
+raw_case("V16_extreme_revenue", lambda spark, folder: quality.graded(_outliers(_feed(spark, folder)["orders"])),
          sql(_graded(_all(_RAW["extreme"])), **BAD_ORDERS))
 raw_case("V_report_raw", lambda spark, folder: quality.quality_report(_feed(spark, folder), _EARLY),
          sql(_graded(_all(sum(_RAW.values(), []))), **BAD_ORDERS))

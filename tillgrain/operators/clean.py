@@ -41,7 +41,7 @@ def two_places(column: str) -> Column:
 
 def only_known(df: DataFrame, key: str, known: DataFrame) -> DataFrame:
     """Rows whose key exists in ``known``; a null key is never known."""
-    return df.join(known.select(key), key, "left_semi")
+    return df.join(known.select(key), key, "left_semi").select(*df.columns)
 
 
 def sound_amounts(orders: DataFrame) -> DataFrame:

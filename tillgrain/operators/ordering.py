@@ -101,21 +101,25 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float],
     """Quantiles with linear interpolation between neighbouring values.
 
     Works on (value, count) pairs in slices. The ``percentile`` aggregate would merge every distinct
-    value in one task. Only the two neighbours of each quantile reach the driver.
+    value in one task. One row reaches the driver, null where there are no values.
     """
     hist = (df.where(F.col(column).isNotNull())
             .groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    upto = pin(with_running_sums(hist, [F.col("_v")], {"_upto": F.col("_c")}, slices=slices))
-    total = upto.agg(F.max("_upto")).first()[0]
-    if not total:
-        return {p: None for p in probabilities}
-    result = {}
-    for p in probabilities:
-        position = p * (total - 1)
-        low = int(position)
-        high = min(low + 1, total - 1)
-        picked = upto.agg(
-            F.min(F.when(F.col("_upto") > low, F.col("_v"))).cast("double").alias("low"),
-            F.min(F.when(F.col("_upto") > high, F.col("_v"))).cast("double").alias("high")).first()
-        result[p] = picked["low"] + (picked["high"] - picked["low"]) * (position - low)
+    upto = with_running_sums(hist, [F.col("_v")], {"_upto": F.col("_c")},
+                             totals={"_upto": "_all"}, slices=slices)
+
+    def first_beyond(position: Column) -> Column:
+        return F.min(F.when(F.col("_upto") > position, F.col("_v"))).cast("double")
+
+    sides = []
+    for i, p in enumerate(probabilities):
+        low = F.floor(F.lit(p) * (F.col("_all") - 1))
+        high = F.least(low + 1, F.col("_all") - 1)
+        sides += [first_beyond(low).alias(f"low{i}"), first_beyond(high).alias(f"high{i}")]
+    found = upto.agg(F.max("_upto").alias("n"), *sides).first()
+    result: dict[float, float | None] = {}
+    for i, p in enumerate(probabilities):
+        low, high = found[f"low{i}"], found[f"high{i}"]
+        place = p * ((found["n"] or 1) - 1)
+        result[p] = None if low is None else low + (high - low) * (place - int(place))
     return result

@@ -94,11 +94,12 @@ def unknown_references(rule: str, child: DataFrame, column: str, parent: DataFra
         F.coalesce(F.sum(F.when(lost, F.col("c")).otherwise(0)), F.lit(0)).alias("failed"))
 
 
-def order_rules(orders: DataFrame, as_of: dt.date | str | Column | None = None) -> DataFrame:
-    """The row-level rules on orders, in one pass over the fact."""
+def order_rules(orders: DataFrame, as_of: dt.date | str | Column | None = None) -> dict[str, Column]:
+    """The row-level rules on orders, as what one row adds to each."""
     day = F.col("order_date").cast("string").try_cast("date")
     expected = F.round(F.col("revenue") - F.col("cost"), 2)
-    rules = {
+    return {
+        "Missing values in orders": _missing(orders.columns),
         "Invalid order dates": _yes(day.isNull()),
         "Order dates in the future": _yes(day > as_of_column(as_of)),
         "Negative or zero quantity": _yes(F.col("quantity") <= 0),
@@ -107,17 +108,20 @@ def order_rules(orders: DataFrame, as_of: dt.date | str | Column | None = None)
         "Incorrect profit calculation (profit != revenue - cost)":
             _yes(~F.coalesce(F.round(F.col("profit"), 2) == expected, F.lit(False))),
         "Discount outside [0,1] range": _yes((F.col("discount") < 0) | (F.col("discount") > 1)),
-        "Missing values in orders": _missing(orders.columns),
     }
-    return _counted(orders, rules, {"Missing values in orders": len(orders.columns)})
 
 
-def extreme_revenue(orders: DataFrame) -> DataFrame:
-    """Orders above the 99.5th percentile of revenue, by exact distributed quantile."""
-    rule = "Extreme revenue outliers (>99.5th pct)"
+def outlier_rule(orders: DataFrame) -> dict[str, Column]:
+    """Orders above the 99.5th percentile of revenue. The percentile itself is found first, exactly
+    and without gathering the revenues."""
     edge = exact_quantiles(orders, "revenue", [OUTLIER_QUANTILE])[OUTLIER_QUANTILE]
     above = F.col("revenue").cast("double") > F.lit(edge) if edge is not None else F.lit(False)
-    return _counted(orders, {rule: _yes(above)})
+    return {"Extreme revenue outliers (>99.5th pct)": _yes(above)}
+
+
+def judged_orders(orders: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """The given rules in one pass over the fact."""
+    return _counted(orders, rules, {"Missing values in orders": len(orders.columns)})
 
 
 def quality_report(tables: dict[str, DataFrame], as_of: dt.date | str | Column | None = None
@@ -128,15 +132,14 @@ def quality_report(tables: dict[str, DataFrame], as_of: dt.date | str | Column |
     parts += [repeated_keys(f"Duplicate {key}", tables[t], [key])
               for t, key in (("customers", "customer_id"), ("products", "product_id"),
                              ("orders", "order_id"))]
-    parts.append(order_rules(orders, as_of))
+    parts.append(judged_orders(orders, order_rules(orders, as_of) | outlier_rule(orders)))
     parts += [unknown_references(f"Invalid {key} references", orders, key, tables[t], key)
               for t, key in (("customers", "customer_id"), ("products", "product_id"),
                              ("employees", "employee_id"))]
-    parts.append(extreme_revenue(orders))
-    return graded(_stack(parts))
+    return graded(stacked(parts))
 
 
-def _stack(parts: list[DataFrame]) -> DataFrame:
+def stacked(parts: list[DataFrame]) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -156,7 +159,7 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
         parts += [unknown_references(f"{table}.{column} exists in {parent}", df, column,
                                      tables[parent], parent_key, null_is_unknown=False)
                   for column, (parent, parent_key) in declared.parents.items()]
-    return graded(_stack(parts))
+    return graded(stacked(parts))
 
 
 def quality_summary(report: DataFrame) -> DataFrame:

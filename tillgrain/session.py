@@ -1,11 +1,14 @@
 """Session settings and the two ways a job may write intermediate data.
 
 A cluster names its shared folder in ``spark.checkpoint.dir``. Only where that is unset, and only on
-a local master, does the library fall back to a temporary folder of its own.
+a local master, does the library fall back to a temporary folder of its own, which it removes at
+exit. What jobs leave in a named folder is for that folder's retention rule to clear.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -42,6 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tillgrain-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
@@ -52,7 +56,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Compute once and keep on shared storage, so later passes see the very same rows and
-    survive the loss of an executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once into a table below the shared folder, so that later passes see the very same
+    rows, read only the columns they need, and survive the loss of an executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
