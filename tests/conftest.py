@@ -11,8 +11,11 @@ from tillgrain.sources.star import Star
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-        "spark.default.parallelism": "8"})
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g",
+        "spark.default.parallelism": "8",
+        # Small tables and many short plans: compile less.
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

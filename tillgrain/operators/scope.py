@@ -74,12 +74,12 @@ def scoped_orders(star: Star, filters: Filters | None = None) -> DataFrame:
     """
     filters = filters or Filters()
     orders = where_all(star.orders, filters.on_orders(star.orders.columns))
-    for dimension, key, conditions in (
-            (star.customers, "customer_id", filters.on_customers()),
-            (star.products, "product_id", filters.on_products()),
-            (star.employees, "employee_id", filters.on_employees())):
+    for table, key, conditions in (("customers", "customer_id", filters.on_customers()),
+                                   ("products", "product_id", filters.on_products()),
+                                   ("employees", "employee_id", filters.on_employees())):
         if conditions:
-            orders = orders.join(where_all(dimension, conditions).select(key), key, "left_semi")
+            wanted = where_all(getattr(star, table), conditions).select(key)
+            orders = orders.join(wanted, key, "left_semi")
     return orders
 
 

@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
+    # Columns are built by the hundred; recording the call site of each one costs more than it tells.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
