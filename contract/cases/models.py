@@ -119,16 +119,27 @@ case("C12_risk_level", lambda s: s.churn.select("customer_id", risk_level(F.col(
      sql("select customer_id, risk_level from churn", "churn"))
 
 
+@lru_cache(maxsize=4)
+def _split(spark, folder):
+    return pin(churn.stratified_split(churn.training_set(star_from_lines(spark, folder))))
+
+
+@lru_cache(maxsize=12)
+def _fitted(spark, folder, name):
+    """One model, fitted once per session and folder."""
+    return churn.fit(_split(spark, folder).where("not is_test"), name)
+
+
 @lru_cache(maxsize=4)
 def _trained(spark, folder):
-    """The three models, fitted once per session and folder."""
-    return churn.train_and_select(churn.training_set(star_from_lines(spark, folder)))
+    models = {name: _fitted(spark, folder, name) for name in churn.MODELS}
+    return churn.compare(models, _split(spark, folder).where("is_test"))
 
 
 for _key, _name in (("C06_logistic_regression", churn.MODELS[0]), ("C07_random_forest", churn.MODELS[1]),
                     ("C08_gradient_boosting", churn.MODELS[2])):
     raw_case(_key, lambda spark, folder, name=_name: churn.predict(
-        _trained(spark, folder).models[name], churn.scoring_set(star_from_lines(spark, folder))).select(
+        _fitted(spark, folder, name), churn.scoring_set(star_from_lines(spark, folder))).select(
         "customer_id", "churn_chance", "predicted"))
 raw_case("C10_model_comparison", lambda spark, folder: _trained(spark, folder).comparison.withColumn(
     "is_best", F.col("model") == _trained(spark, folder).best))
