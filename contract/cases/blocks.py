@@ -267,9 +267,23 @@ from sold a left join (select distinct customer_id, m from sold) p on p.customer
 group by a.m""", "sold"))
 case("M12_customer_churn", m.customer_churn, sql(
     f"select {pct('count(*) filter (where churn_prediction=1)', 'count(*)', 6)} as customer_churn_pct from churn", "churn"))
-case("M13_revenue_per_customer", m.revenue_per_customer, sql(f"""
+case("M13_revenue_per_customer", lambda s: m.revenue_per_customer(s, ["region"]), sql(f"""
 select region, {mean('coalesce(sum(rc),0)', 'count(*)', 100, 6)} as revenue_per_customer
 from customers c left join cust k on k.customer_id=c.customer_id group by region""", "customers", "cust"))
+case("M08_yoy_revenue_by_category", lambda s: m.year_ago_revenue(s, ["category"]), sql(f"""
+select a.category, a.month, {money('a.c')} as revenue, {money('p.c')} as yoy_revenue from g a left join g p on p.category=a.category
+  and p.month = a.month - interval 12 month""", g=(("sold", "products"), """
+select category, m as month, sum(rc) as c from sold join products using (product_id) group by category, m""")))
+case("M10_target_achievement_by_region", lambda s: m.target_achievement(s, ["region"]), sql(f"""
+select region, coalesce({pct('sum(rc)', 'sum(tc)', 6)}, 0) as target_achievement_pct from employees e
+left join plan t on t.employee_id=e.employee_id left join emp k on k.employee_id=e.employee_id group by region""", "employees", "plan", "emp"))
+case("M11_customer_retention_by_region", lambda s: m.customer_retention(s, ["region"]), sql(f"""
+select a.region, a.m as month, {pct('count(distinct p.customer_id)', 'count(distinct a.customer_id)', 6)} as customer_retention_pct
+from (select * from sold join customers using (customer_id)) a left join (select distinct customer_id, m from sold) p
+  on p.customer_id=a.customer_id and p.m = a.m - interval 1 month group by a.region, a.m""", "sold", "customers"))
+case("M12_customer_churn_by_segment", lambda s: m.customer_churn(s, ["customer_segment"]), sql(f"""
+select customer_segment, {pct('count(*) filter (where churn_prediction=1)', 'count(*)', 6)} as customer_churn_pct
+from churn join customers using (customer_id) group by customer_segment""", "churn", "customers"))
 case("M14_order_month_label", lambda s: m.with_order_month(s.orders).groupBy("order_month_label").agg(
     F.count(F.lit(1)).alias("orders")), sql(
     "select strftime(order_date, '%b %Y') as order_month_label, count(*) as orders from orders_x group by 1", "orders_x"))

@@ -55,7 +55,7 @@ def test_rank(spark, tied, dense):
     df = tied.unionByName(spark.createDataFrame([(9001, None), (9002, None)], "id int, v int"))
     function = F.dense_rank if dense else F.rank
     want = df.withColumn("want", function().over(Window.orderBy(F.desc_nulls_first("v"))))
-    got = with_rank(df, "v", ["id"], "place", dense=dense, slices=5)
+    got = with_rank(df, "v", "place", dense=dense, slices=5)
     joined = got.join(want.select("id", "want"), "id")
     assert joined.count() == 3002
     assert joined.where("place <> want").count() == 0

@@ -1,4 +1,5 @@
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,14 @@ def test_load_round_trip(spark, star, tmp_path):
     assert rows(page["summary"])[0]["failed"] == 0
 
 
+def test_raw_files_can_be_judged_alone(spark, star, tmp_path):
+    tables = star.tables()
+    tables["orders"] = tables["orders"].withColumn("profit", F.lit(1).cast("decimal(14,2)"))
+    write_csv(Star(**tables), f"{tmp_path}/in")
+    report = by(etl.judge_delivered(spark, f"{tmp_path}/in", f"{tmp_path}/reports"), "Rule")
+    assert report["Incorrect profit calculation (profit != revenue - cost)"]["Status"] == "FAIL"
+
+
 def test_failing_rules_publish_nothing(spark, star, tmp_path):
     tables = star.tables()
     tables["orders"] = tables["orders"].withColumn("payment_method", F.lit(None).cast("string"))
@@ -62,6 +71,24 @@ def test_missing_file_is_named(spark, tmp_path):
         flatfiles.read_all_delivered(spark, str(tmp_path))
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    with open(f"{tmp_path}/targets.csv", "w") as out:
+        out.write("year,target_amount,note,month,employee_id\n"
+                  "2024,10.005,x,2.0,E1\nNA,abc,,2.5,None\n")
+    got = flatfiles.read_delivered(spark, str(tmp_path), "targets").orderBy("_line")
+    first, second = [r.asDict() for r in got.drop("_file", "_block", "_line").collect()]
+    assert first == {"employee_id": "E1", "month": 2, "year": 2024,
+                     "target_amount": Decimal("10.01")}
+    assert set(second.values()) == {None}
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    with open(f"{tmp_path}/targets.csv", "w") as out:
+        out.write("year,month,employee_id\n2024,2,E1\n")
+    with pytest.raises(flatfiles.MissingColumn, match="target_amount"):
+        flatfiles.read_delivered(spark, str(tmp_path), "targets")
+
+
 def test_missing_report_names_the_job(spark, tmp_path):
     with pytest.raises(warehouse.ReportNotBuilt, match="run the load job first"):
         blocks.data_quality(spark, str(tmp_path))

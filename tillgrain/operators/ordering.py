@@ -79,7 +79,7 @@ def with_ntile(df: DataFrame, tiles: int, order: list[Column], name: str,
             .drop("_rn", "_n"))
 
 
-def with_rank(df: DataFrame, value: str, key: list[str], name: str, *, dense: bool = False,
+def with_rank(df: DataFrame, value: str, name: str, *, dense: bool = False,
               slices: int | None = None) -> DataFrame:
     """RANK (or DENSE_RANK) by ``value`` descending, nulls first.
 

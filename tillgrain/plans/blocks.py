@@ -118,7 +118,7 @@ def target_vs_actual(star: Star) -> DataFrame:
 
 def salesperson_ranking(star: Star, filters: Filters | None = None) -> DataFrame:
     bought = by_key(scoped_orders(star, filters), ["employee_id"], "revenue")
-    return (with_rank(bought, "revenue", ["employee_id"], "rank")
+    return (with_rank(bought, "revenue", "rank")
             .join(star.employees, "employee_id")
             .select("employee_id", "employee_name", "region", "revenue", "rank")
             .orderBy(F.desc_nulls_first("revenue"), "employee_id"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillgrain.operators import clean
 from tillgrain.operators.quality import gate, quality_report
 from tillgrain.plans.views import register_views
-from tillgrain.session import scratch_path
+from tillgrain.session import pin, scratch_path
 from tillgrain.sources.flatfiles import SEQUENCE, read_all_delivered
 from tillgrain.sources.star import Star
 from tillgrain.sources.warehouse import load_table, open_star, store_all, write_report
@@ -34,6 +34,15 @@ def run_load(spark: SparkSession, delivered: str, warehouse: str, reports: str |
     return star
 
 
+def judge_delivered(spark: SparkSession, delivered: str, reports: str,
+                    as_of: dt.date | str | None = None) -> DataFrame:
+    """The quality rules on the files as they were delivered, without cleaning or loading."""
+    raw = {t: df.drop(*SEQUENCE) for t, df in read_all_delivered(spark, delivered).items()}
+    report = pin(quality_report(raw, as_of))
+    write_report(report.coalesce(1), reports, "data_quality_report")
+    return report
+
+
 def clean_and_stage(spark: SparkSession, raw: dict[str, DataFrame],
                     sequence: list[str] | None = None) -> dict[str, DataFrame]:
     """Clean parents before children, each child against the stored parent."""

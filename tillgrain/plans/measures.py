@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillgrain.functions.dates import month_label, month_of
 from tillgrain.functions.labels import margin_band
-from tillgrain.functions.ratios import divide_or_zero
-from tillgrain.operators.rollup import sold
+from tillgrain.functions.ratios import divide_or_zero, or_zero
 from tillgrain.operators.scope import Filters, enriched_orders, scoped_orders, where_all
 from tillgrain.sources.star import Star
 
@@ -25,7 +24,7 @@ def _sums() -> dict[str, Column]:
 
 def measure(star: Star, name: str, by: list[str] | None = None, filters: Filters | None = None
             ) -> DataFrame:
-    """One additive measure per group of ``by``; only the dimensions that own a grouping column
+    """A measure of order rows per group of ``by``; only the dimensions that own a grouping column
     are joined."""
     by = by or []
     rows = enriched_orders(star, filters, sorted({*by, "revenue", "profit"}))
@@ -35,77 +34,109 @@ def measure(star: Star, name: str, by: list[str] | None = None, filters: Filters
 def total_customers(star: Star, by: list[str] | None = None, filters: Filters | None = None
                     ) -> DataFrame:
     """Customers of the dimension, buyers or not. customer_id is its key, so rows are customers."""
-    listed = where_all(star.customers, (filters or Filters()).on_customers())
-    return listed.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("total_customers"))
+    return _listed(star, filters).groupBy(*(by or [])).agg(
+        F.count(F.lit(1)).alias("total_customers"))
 
 
-def revenue_by_calendar_month(star: Star, filters: Filters | None = None) -> DataFrame:
-    return (scoped_orders(star, filters).groupBy(month_of("order_date").alias("month"))
-            .agg(F.sum("revenue").alias("revenue")))
+def _listed(star: Star, filters: Filters | None) -> DataFrame:
+    return where_all(star.customers, (filters or Filters()).on_customers())
 
 
-def _shifted(months: DataFrame, by: int, name: str) -> DataFrame:
-    return months.select(F.add_months("month", by).alias("month"), F.col("revenue").alias(name))
+# ---- measures that look at another period
 
+def _months(star: Star, by: list[str] | None, filters: Filters | None) -> DataFrame:
+    by = by or []
+    return (enriched_orders(star, filters, sorted({*by, "order_date", "revenue"}))
+            .groupBy(*by, month_of("order_date").alias("month"))
+            .agg(F.sum("revenue").alias("revenue")))
 
-def year_ago_revenue(star: Star, filters: Filters | None = None) -> DataFrame:
-    """Each month's revenue twelve calendar months earlier; null where there was none."""
-    months = revenue_by_calendar_month(star, filters)
-    return months.join(_shifted(months, 12, "yoy_revenue"), "month", "left").orderBy("month")
 
+def _with_earlier(star: Star, back: int, name: str, by: list[str] | None,
+                  filters: Filters | None) -> DataFrame:
+    """Each month beside the revenue of the month ``back`` calendar months earlier, null where there
+    was none."""
+    months = _months(star, by, filters)
+    keys = [*(by or []), "month"]
+    earlier = months.select(*(by or []), F.add_months("month", back).alias("month"),
+                            F.col("revenue").alias(name))
+    return months.join(earlier, keys, "left").orderBy(*keys)
 
-def year_on_year_growth(star: Star, filters: Filters | None = None) -> DataFrame:
-    prior = F.col("yoy_revenue")
-    growth = divide_or_zero(F.col("revenue") - F.coalesce(prior, F.lit(0)), prior) * 100
-    return (year_ago_revenue(star, filters)
-            .select("month", growth.alias("revenue_growth_yoy")).orderBy("month"))
+
+def year_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters | None = None
+                     ) -> DataFrame:
+    return _with_earlier(star, 12, "yoy_revenue", by, filters)
 
 
-def month_ago_revenue(star: Star, filters: Filters | None = None) -> DataFrame:
-    """The previous calendar month's revenue; a gap gives null, it does not reach further back."""
-    months = revenue_by_calendar_month(star, filters)
-    return months.join(_shifted(months, 1, "mom_revenue"), "month", "left").orderBy("month")
+def year_on_year_growth(star: Star, by: list[str] | None = None, filters: Filters | None = None
+                        ) -> DataFrame:
+    prior = F.col("yoy_revenue")
+    growth = divide_or_zero(F.col("revenue") - or_zero(prior), prior) * 100
+    return year_ago_revenue(star, by, filters).select(*(by or []), "month",
+                                                      growth.alias("revenue_growth_yoy"))
 
 
-def target_achievement(star: Star) -> DataFrame:
-    """Per salesperson: revenue over all their targets, zero without targets."""
-    planned = star.targets.groupBy("employee_id").agg(F.sum("target_amount").alias("planned"))
-    actual = sold(star.orders).groupBy("employee_id").agg(F.sum("revenue").alias("revenue"))
-    share = divide_or_zero(F.col("revenue"), F.col("planned")) * 100
-    return (star.employees.select("employee_id").join(planned, "employee_id", "left")
-            .join(actual, "employee_id", "left")
-            .select("employee_id", F.round(share, 6).alias("target_achievement_pct")))
+def month_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters | None = None
+                      ) -> DataFrame:
+    """A gap gives null; it does not reach further back."""
+    return _with_earlier(star, 1, "mom_revenue", by, filters)
 
 
-def customer_retention(star: Star, filters: Filters | None = None) -> DataFrame:
+def customer_retention(star: Star, by: list[str] | None = None, filters: Filters | None = None
+                       ) -> DataFrame:
     """Per month: buyers who also bought the month before, over all buyers.
 
     The two sets meet in an equi-join on (customer, month), an intersection per month.
     """
-    buyers = (scoped_orders(star, filters)
-              .select("customer_id", month_of("order_date").alias("month")).distinct())
-    before = buyers.select("customer_id", F.add_months("month", 1).alias("month"),
+    by = by or []
+    buyers = (enriched_orders(star, filters, sorted({*by, "customer_id", "order_date"}))
+              .select(*by, "customer_id", month_of("order_date").alias("month")).distinct())
+    before = buyers.select(*by, "customer_id", F.add_months("month", 1).alias("month"),
                            F.lit(1).alias("stayed"))
     kept = F.count("stayed").cast("decimal(20,0)")
     share = divide_or_zero(kept, F.count(F.lit(1))) * 100
-    return (buyers.join(before, ["customer_id", "month"], "left").groupBy("month")
-            .agg(F.round(share, 6).alias("customer_retention_pct")).orderBy("month"))
+    return (buyers.join(before, [*by, "customer_id", "month"], "left").groupBy(*by, "month")
+            .agg(F.round(share, 6).alias("customer_retention_pct")).orderBy(*by, "month"))
 
 
-def customer_churn(star: Star) -> DataFrame:
+# ---- measures over other tables
+
+def target_achievement(star: Star, by: list[str] | None = None, filters: Filters | None = None
+                       ) -> DataFrame:
+    """Revenue over all targets per group of salespeople, zero without targets. Both are summed per
+    salesperson before they meet."""
+    by = ["employee_id"] if by is None else by
+    filters = filters or Filters()
+    planned = star.targets.groupBy("employee_id").agg(F.sum("target_amount").alias("planned"))
+    actual = (scoped_orders(star, filters).groupBy("employee_id")
+              .agg(F.sum("revenue").alias("revenue")))
+    staff = where_all(star.employees, filters.on_employees()).select(
+        *dict.fromkeys(["employee_id", *by]))
+    share = divide_or_zero(F.sum("revenue").cast("decimal(24,2)"),
+                           F.sum("planned").cast("decimal(24,2)")) * 100
+    return (staff.join(planned, "employee_id", "left").join(actual, "employee_id", "left")
+            .groupBy(*by).agg(F.round(share, 6).alias("target_achievement_pct")))
+
+
+def customer_churn(star: Star, by: list[str] | None = None, filters: Filters | None = None
+                   ) -> DataFrame:
+    """Predicted leavers over all predictions, per group of customer attributes."""
     lost = F.count_if(F.col("churn_prediction") == 1).cast("decimal(20,0)")
-    return star.churn.agg(F.round(divide_or_zero(lost, F.count(F.lit(1))) * 100, 6)
-                          .alias("customer_churn_pct"))
+    share = F.round(divide_or_zero(lost, F.count(F.lit(1))) * 100, 6)
+    scores = star.churn
+    if by or (filters and filters.on_customers()):
+        scores = scores.join(_listed(star, filters).select(
+            *dict.fromkeys(["customer_id", *(by or [])])), "customer_id")
+    return scores.groupBy(*(by or [])).agg(share.alias("customer_churn_pct"))
 
 
-def revenue_per_customer(star: Star, by_region: bool = True) -> DataFrame:
+def revenue_per_customer(star: Star, by: list[str] | None = None, filters: Filters | None = None
+                         ) -> DataFrame:
     """Revenue over the customers of the dimension, buyers or not."""
-    keys = ["region"] if by_region else []
-    bought = sold(star.orders).groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
-    return (star.customers.select("customer_id", "region").join(bought, "customer_id", "left")
-            .groupBy(*keys)
-            .agg(F.round(divide_or_zero(F.sum("revenue"), F.count(F.lit(1))), 6)
-                 .alias("revenue_per_customer")))
+    bought = (scoped_orders(star, filters).groupBy("customer_id")
+              .agg(F.sum("revenue").alias("revenue")))
+    share = divide_or_zero(F.sum("revenue").cast("decimal(24,2)"), F.count(F.lit(1)))
+    return (_listed(star, filters).join(bought, "customer_id", "left").groupBy(*(by or []))
+            .agg(F.round(share, 6).alias("revenue_per_customer")))
 
 
 def with_order_month(orders: DataFrame) -> DataFrame:

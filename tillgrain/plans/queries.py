@@ -89,7 +89,7 @@ def region_ranking(star: Star) -> DataFrame:
 
 def salesperson_ranking(star: Star) -> DataFrame:
     bought = by_key(sold(star.orders), ["employee_id"], "revenue")
-    ranked = with_rank(bought, "revenue", ["employee_id"], "sales_rank", dense=True)
+    ranked = with_rank(bought, "revenue", "sales_rank", dense=True)
     return (ranked.join(star.employees, "employee_id")
             .select("employee_id", "employee_name", "revenue", "sales_rank")
             .orderBy("sales_rank", "employee_id"))

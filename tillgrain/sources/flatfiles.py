@@ -1,9 +1,9 @@
-"""Delivered CSV files, read with declared types and a row sequence."""
+"""Delivered CSV files, read by column name with declared types and a row sequence."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillgrain.model import SOURCE_TABLES, as_delivered
 
@@ -12,19 +12,43 @@ from tillgrain.model import SOURCE_TABLES, as_delivered
 SEQUENCE = ("_file", "_block", "_line")
 
 
+# Texts that stand for a missing value in a delivered file.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+           "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
 class MissingSource(FileNotFoundError):
     """A required source file is not there."""
 
 
+class MissingColumn(ValueError):
+    """A source file lacks a required column."""
+
+
+def _typed(column: str, kind: T.DataType) -> Column:
+    """The text as a value of its type; a text that is none becomes null and counts as missing."""
+    text = F.when(~F.col(column).isin(*MISSING), F.col(column))
+    if isinstance(kind, T.IntegerType):
+        number = text.try_cast("decimal(20,4)")
+        return F.when(number == F.floor(number), number.try_cast("int")).alias(column)
+    return text.try_cast(kind).alias(column)
+
+
 def read_delivered(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The file's columns, found by their names in the header, and the row sequence."""
     path = f"{folder.rstrip('/')}/{table}.csv"
     try:
-        rows = spark.read.schema(as_delivered(table)).option("header", True).csv(path)
+        rows = spark.read.option("header", True).csv(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise MissingSource(f"required source file is missing: {path}") from error
         raise
-    return rows.select("*", F.col("_metadata.file_path").alias("_file"),
+    schema = as_delivered(table)
+    lacking = sorted(set(schema.names) - set(rows.columns))
+    if lacking:
+        raise MissingColumn(f"{path} lacks the columns {lacking}")
+    return rows.select(*[_typed(f.name, f.dataType) for f in schema.fields],
+                       F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_block_start").alias("_block"),
                        F.monotonically_increasing_id().alias("_line"))
 

@@ -146,7 +146,8 @@ def targets(spark: SparkSession, folder: str) -> DataFrame:
              .select(F.col("s_suppkey").alias("employee_id"),
                      F.expr("cast(3200000 + (s_suppkey * 7919 % 1000) * 2100 as decimal(14,2))")
                      .alias("target_amount"), F.lit(1).alias("_one")))
-    spread = (staff.join(months, "_one")
+    # One row with one entry per calendar month: small at any scale.
+    spread = (staff.join(F.broadcast(months), "_one")
               .select("employee_id", "target_amount", F.explode("months").alias("m"))
               .select("employee_id", "target_amount", F.month("m").alias("month"),
                       F.year("m").alias("year")))
