@@ -11,7 +11,7 @@ from tillgrain.model import SOURCE_TABLES
 from tillgrain.operators import clean, quality
 from tillgrain.plans import blocks
 from tillgrain.plans.etl import clean_and_stage, run_load
-from tillgrain.session import scratch_path
+from tillgrain.session import pin, scratch_path
 from tillgrain.sources import flatfiles, warehouse
 from tillgrain.sources.linestar import star_from_lines
 
@@ -260,7 +260,7 @@ raw_case("V19_quality_summary", lambda spark, folder: quality.quality_summary(qu
 
 def _gate_verdict(spark, folder):
     """What the gate raises for the raw delivery."""
-    report = quality.quality_report(_feed(spark, folder), _EARLY)
+    report = pin(quality.quality_report(_feed(spark, folder), _EARLY))
     try:
         quality.gate(report)
         verdict = ""

@@ -24,7 +24,7 @@ def run_load(spark: SparkSession, delivered: str, warehouse: str, reports: str |
     warehouse is touched.
     """
     staged = clean_and_stage(spark, read_all_delivered(spark, delivered))
-    report = quality_report(staged, as_of)
+    report = pin(quality_report(staged, as_of))
     if reports:
         write_report(report.coalesce(1), reports, "data_quality_report")
     gate(report)
