@@ -177,6 +177,8 @@ def test_empty_star(spark):
     assert queries.first_and_repeat(nothing).count() == 0
     assert [r["insight_id"] for r in rows(insights.all_insights(nothing))] == [7]
     assert rows(kpis.average_order_value(nothing)) == [{"avg_order_value": None}]
+    assert queries.revenue_concentration(nothing).count() == 0
+    assert views.rfm_segments(nothing, "2024-05-01").count() == 0
 
 
 def test_few_products_overlap_in_best_and_worst(star):

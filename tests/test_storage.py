@@ -152,3 +152,22 @@ def test_page_bundles(spark, star):
     assert rows(page["pagination"])[0]["total_rows"] == 3
     assert set(blocks.products(star)) >= {"top_10_products", "bottom_10_products"}
     assert set(blocks.sales(star)) and set(blocks.regions(star)) and set(blocks.employees(star))
+
+
+def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
+    from tillgrain import session
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    pinned = session.pin(spark.range(10))
+    assert pinned.count() == 10 and os.listdir(tmp_path)
+    session.clear_scratch(spark)
+    assert os.listdir(tmp_path) == []
+
+
+def test_a_cluster_must_name_its_folder(monkeypatch):
+    from types import SimpleNamespace
+    from tillgrain import session
+    nothing = SimpleNamespace(get=lambda *_: None)
+    context = SimpleNamespace(getConf=lambda: nothing, getCheckpointDir=lambda: None,
+                              master="spark://somewhere")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(SimpleNamespace(sparkContext=context, conf=nothing))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from tillgrain.plans import etl, jobs
-from tillgrain.session import build_session
+from tillgrain.session import build_session, clear_scratch
 from tillgrain.sources.warehouse import open_star
 
 JOBS = {
@@ -32,6 +32,7 @@ def main() -> None:
     try:
         JOBS[arguments.job](spark, arguments)
     finally:
+        clear_scratch(spark)
         spark.stop()
 
 

@@ -2,7 +2,7 @@
 
 A cluster names its shared folder in ``spark.checkpoint.dir``. Only where that is unset, and only on
 a local master, does the library fall back to a temporary folder of its own, which it removes at
-exit. What jobs leave in a named folder is for that folder's retention rule to clear.
+exit. In a named folder each application writes below its own id, and ``clear_scratch`` empties that.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ def build_session(name: str = "tillgrain", master: str | None = None, **extra: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = (spark.conf.get("spark.checkpoint.dir", None)
+             or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir())
     if named:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(named)
@@ -52,9 +53,20 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing else writes there."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written through ``scratch_path``. Frames that were built on
+    it can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame) -> DataFrame:
