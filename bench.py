@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
 import tempfile
 import time
@@ -90,6 +91,7 @@ def main() -> None:
         if not wanted or name in wanted:
             times[name] = run(lambda: drain(query(open_star(spark, home))))
     spark.stop()
+    shutil.rmtree(home, ignore_errors=True)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": os.path.basename(folder)[2:]}))
 
