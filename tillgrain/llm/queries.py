@@ -1,6 +1,6 @@
 """Every query of the subpackage, with its SQL where there is one."""
 
 from tillgrain.llm import (  # noqa: F401
-    bpe, warc, sharding, maxscore,
+    bpe, decontaminate, html_text, licenses, maxscore, sharding, warc,
 )
 from tillgrain.llm.tables import ORACLES, QUERIES  # noqa: F401
