@@ -1,6 +1,6 @@
 """Every query of the subpackage, with its SQL where there is one."""
 
 from tillgrain.llm import (  # noqa: F401
-    bpe, decontaminate, html_text, jaccard, licenses, maxscore, sharding, warc,
+    bpe, decontaminate, html_text, jaccard, licenses, maxscore, quality, sharding, toxicity, warc,
 )
 from tillgrain.llm.tables import ORACLES, QUERIES  # noqa: F401
