@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 
+#: Samples are bounded; so many tasks read one, in every step of a fit.
+SAMPLE_TASKS = 8
+
+
 @dataclass(frozen=True)
 class Linear:
     """Chance of the label: the logistic function of weights * x + bias."""
@@ -28,7 +32,7 @@ class Linear:
 
 
 def fit(rows: DataFrame, features: str, label: str, penalty: float = 1e-3,
-        rounds: int = 30) -> Linear:
+        rounds: int = 25, scaled: bool = True) -> Linear:
     """Logistic regression on an array column. With one class or none, the smoothed share of the
     label is the chance of every row."""
     seen = rows.groupBy(label).agg(F.count("*").alias("n"),
@@ -40,7 +44,8 @@ def fit(rows: DataFrame, features: str, label: str, penalty: float = 1e-3,
         return Linear((0.0,) * width, log(share / (1 - share)))
     ready = rows.select(array_to_vector(F.col(features)).alias("features"),
                         F.col(label).cast("double").alias("label"))
-    model = LogisticRegression(regParam=penalty, maxIter=rounds).fit(ready)
+    model = LogisticRegression(regParam=penalty, maxIter=rounds, tol=1e-4,
+                               standardization=scaled).fit(ready)
     return Linear(tuple(map(float, model.coefficients)), float(model.intercept))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tillgrain.llm.linear import Linear, fit, margin_of
+from tillgrain.llm.linear import SAMPLE_TASKS, Linear, fit, margin_of
 from tillgrain.llm.tables import query, table, whole_text
 from tillgrain.session import pin
 
@@ -112,7 +112,7 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int, text: str) -> DataFra
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", size: int = SAMPLE_DOCS,
           rounds: int = ROUNDS, sure: float = SURE) -> Cotrained:
-    pool = pin(_sample(docs, labels, size, text))
+    pool = pin(_sample(docs, labels, size, text).coalesce(SAMPLE_TASKS))
     known = pool.where("label is not null and not aside")
     open_ = pool.where("label is null")
     content = fit(known, "content", "label")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tillgrain.llm.linear import Linear, fit, matrix
+from tillgrain.llm.linear import SAMPLE_TASKS, Linear, fit, matrix
 from tillgrain.llm.tables import query, table, whole_text
 from tillgrain.session import pin
 
@@ -42,6 +42,9 @@ SAMPLE_DOCS = 8_000
 FEATURES = 768
 FOLDS = 3
 LEAST_DOCS = 4
+PENALTY = 2e-4
+#: Chance of the last link from which a document counts as toxic.
+THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
 
@@ -115,7 +118,7 @@ def _vocabulary(sample: DataFrame, size: int) -> list[str]:
 def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
           categories: dict[str, tuple[str, ...]] = CATEGORIES, size: int = SAMPLE_DOCS,
           features: int = FEATURES, folds: int = FOLDS) -> Chain:
-    sample = pin(_sample(docs, labels, size, id, text))
+    sample = pin(_sample(docs, labels, size, id, text).coalesce(SAMPLE_TASKS))
     vocabulary = _vocabulary(sample, features)
     place = {f: i for i, f in enumerate(vocabulary)}
     terms = [frozenset(words) for words in categories.values()]
@@ -141,13 +144,17 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         ready = ready.withColumn(f"is_{n}", own)
     now, links = pin(ready), []
     for n, name in enumerate(names):
-        links.append(fit(now, "x", f"is_{n}"))
+        links.append(_link(now, n))
         if n + 1 < len(names):
-            parts = [fit(now.where(F.col("fold") != f), "x", f"is_{n}") for f in range(folds)]
+            parts = [_link(now.where(F.col("fold") != f), n) for f in range(folds)]
             now = pin(now.withColumn("x", F.concat("x", F.array(_held_out(parts)("x", "fold")))))
     return Chain(names, tuple(vocabulary), tuple(links))
 
 
+def _link(rows: DataFrame, n: int) -> Linear:
+    return fit(rows, "x", f"is_{n}", penalty=PENALTY, scaled=False)
+
+
 def _held_out(models: list[Linear]):
     """The chance by the model that hasn't seen the row's fold."""
     @arrow_udf("double")
@@ -170,7 +177,7 @@ def add_chances(docs: DataFrame, chain: Chain, into: str, text: str = "text") ->
 
 
 def without_toxic(docs: DataFrame, chain: Chain, text: str = "text",
-                  threshold: float = 0.5) -> DataFrame:
+                  threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose last link stays below the threshold, as they are."""
     judged = add_chances(docs, chain, "_chances", text)
     return (judged.where(F.element_at("_chances", -1) < threshold)
@@ -185,4 +192,4 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", *[F.col("chances")[n].alias(f"{name}_chance")
                     for n, name in enumerate(chain.names)],
-        (F.element_at("chances", -1) >= 0.5).cast("int").alias("toxic"))
+        (F.element_at("chances", -1) >= THRESHOLD).cast("int").alias("toxic"))
