@@ -14,7 +14,7 @@ from pyspark.sql.functions import arrow_udf
 
 
 #: Samples are bounded; so many tasks read one, in every step of a fit.
-SAMPLE_TASKS = 8
+SAMPLE_TASKS = 6
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,7 @@ class Linear:
 
 
 def fit(rows: DataFrame, features: str, label: str, penalty: float = 1e-3,
-        rounds: int = 25, scaled: bool = True) -> Linear:
+        rounds: int = 20, scaled: bool = True) -> Linear:
     """Logistic regression on an array column. With one class or none, the smoothed share of the
     label is the chance of every row."""
     seen = rows.groupBy(label).agg(F.count("*").alias("n"),

@@ -40,7 +40,7 @@ CATEGORIES = {
 OVERALL = "toxic"
 SAMPLE_DOCS = 8_000
 FEATURES = 768
-FOLDS = 3
+FOLDS = 2
 LEAST_DOCS = 4
 PENALTY = 2e-4
 #: Chance of the last link from which a document counts as toxic.
