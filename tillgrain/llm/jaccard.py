@@ -190,7 +190,7 @@ class RTree:
                 ok = (bound >= law.least(small[i], small[j])) & ((label[i] != label[j])
                                                                  | (label[i] < 0))
                 found.append(at[begin:begin + (1 << 12)][ok])
-            at = np.concatenate(found)
+            at = np.concatenate(found) if found else at
             if level:
                 below = len(self.levels[level - 1][1])
                 step = np.arange(FANOUT)
