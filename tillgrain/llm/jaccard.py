@@ -48,6 +48,7 @@ MIX = _RNG.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
 #: Members of a range that one task takes at once.
 TILE = 4_096
 FANOUT = 8
+TREE_GROUPS = 64
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -150,7 +151,8 @@ def range_keys(shingle_set: np.ndarray, percent: int) -> np.ndarray:
 
 
 def groups_of(size: int) -> int:
-    return int(min(256, max(16, 1 << max(0, size.bit_length() - 3))))
+    """Two groups or more for every shingle, up to a bound, so that few shingles share one."""
+    return int(min(2_048, max(16, 2 << size.bit_length())))
 
 
 def point(shingle_set: np.ndarray, groups: int) -> np.ndarray:
@@ -167,9 +169,11 @@ class RTree:
     the one component of its points, if it is one."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
-        order = np.lexsort((*points.T[:3], sizes))
-        self.order = order
-        self.levels = [(points[order], sizes[order], labels[order])]
+        # Boxes are held at fewer groups than the points: sums of coordinates bound as well.
+        coarse = _folded(points, min(TREE_GROUPS, points.shape[1]))
+        order = np.lexsort((*coarse.T[:3], sizes))
+        self.order, self.points, self.sizes = order, points, sizes
+        self.levels = [(coarse[order], sizes[order], labels[order])]
         while len(self.levels[-1][1]) > 1:
             top, small, label = self.levels[-1]
             starts = np.arange(0, len(small), FANOUT)
@@ -199,8 +203,14 @@ class RTree:
                 a, b = (x.ravel() for x in np.broadcast_arrays(a, b))
                 ok = (a < below) & (b < below) & (a <= b if level > 1 else a < b)
                 at = np.stack([a[ok], b[ok]], axis=1)
-        at = at[at[:, 0] != at[:, 1]]
-        return self.order[at]
+        at = self.order[at[at[:, 0] != at[:, 1]]]
+        found = [np.empty((0, 2), np.int64)]
+        for begin in range(0, len(at), 1 << 12):
+            i, j = at[begin:begin + (1 << 12)].T
+            bound = np.minimum(self.points[i], self.points[j]).sum(axis=1)
+            found.append(at[begin:begin + (1 << 12)][bound >= law.least(self.sizes[i],
+                                                                       self.sizes[j])])
+        return np.concatenate(found)
 
 
 def _middle_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, law: Law) -> np.ndarray:
@@ -235,7 +245,7 @@ def _sets(docs: DataFrame, id: str, text: str, width: int, wanted: DataFrame) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(body.as_py(), width) for body in batch.column(1)]
-            points = [point(s, groups_of(max(1, len(s)))).astype(np.int32) for s in sets]
+            points = [point(s, groups_of(max(1, len(s)))).astype("<u2") for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
                  pa.array([p.tobytes() for p in points], pa.binary())], ["rep", "shingles", "point"])
@@ -256,8 +266,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 a = np.frombuffer(set_a.as_buffer(), np.uint64)
                 b = np.frombuffer(set_b.as_buffer(), np.uint64)
                 need = law.least(len(a), len(b))
-                x = np.frombuffer(point_a.as_buffer(), np.int32)
-                y = np.frombuffer(point_b.as_buffer(), np.int32)
+                x = np.frombuffer(point_a.as_buffer(), "<u2").astype(np.int32)
+                y = np.frombuffer(point_b.as_buffer(), "<u2").astype(np.int32)
                 groups = min(len(x), len(y))
                 bound = np.minimum(_folded(x, groups), _folded(y, groups)).sum()
                 keep.append(bool(bound >= need and need <= min(len(a), len(b)) and len(
@@ -281,7 +291,7 @@ def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
 
     def solve(reps, labels, parts, points, tiled: bool) -> np.ndarray:
         groups = min(map(len, points))
-        at = np.stack([_folded(p, groups) for p in points])
+        at = np.stack([_folded(p, groups).astype(np.int32) for p in points])
         sizes = at.sum(axis=1)
         _, small = np.unique(labels, return_inverse=True)
         found = _middle_pairs(at, sizes, small, law) if middle else RTree(at, sizes, small).pairs(law)
@@ -312,7 +322,7 @@ def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
                         yield made
                     held, tile = [], here
                 held.append((rep[n], label[n], part[n],
-                             np.frombuffer(body.as_py(), np.int32)))
+                             np.frombuffer(body.as_py(), "<u2")))
         if (made := close()) is not None:
             yield made
 
