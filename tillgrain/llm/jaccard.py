@@ -388,10 +388,16 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that link, however far, to one with a smaller id; of rows that
     repeat an id one stays. Rows without an id stay."""
-    gone = link(docs, width, percent).where("component_id < doc_id").select("doc_id").distinct()
+    marks = pin(link(docs, width, percent).where("doc_id is not null"))
+    known = marks.groupBy("doc_id").agg(F.count("*").alias("_rows"),
+                                        F.min("component_id").alias("_first"))
+    gone = known.where("_first < doc_id").select("doc_id")
+    twice = pin(known.where("_rows > 1 and _first = doc_id").select("doc_id"))
     left = docs.join(gone, "doc_id", "leftanti")
-    named = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(left.where("doc_id is null"))
+    if twice.isEmpty():
+        return left
+    return left.join(twice, "doc_id", "leftanti").unionByName(
+        left.join(twice, "doc_id", "leftsemi").dropDuplicates(["doc_id"]))
 
 
 @query("op4_jaccard_join")
