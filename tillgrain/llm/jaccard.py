@@ -152,7 +152,7 @@ def range_keys(shingle_set: np.ndarray, percent: int) -> np.ndarray:
 
 def groups_of(size: int) -> int:
     """Two groups or more for every shingle, up to a bound, so that few shingles share one."""
-    return int(min(2_048, max(16, 2 << size.bit_length())))
+    return int(min(256, max(16, 2 << size.bit_length())))
 
 
 def point(shingle_set: np.ndarray, groups: int) -> np.ndarray:
@@ -255,33 +255,43 @@ def _sets(docs: DataFrame, id: str, text: str, width: int, wanted: DataFrame) ->
             .mapInArrow(work, "rep bigint, shingles binary, point binary"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: by the bound of their points first, then by their sets."""
-    law = Law(percent)
+def _met(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """u, v and the column of both."""
+    side = lambda end: sets.select(F.col("rep").alias(end),
+                                   F.col(column).alias(f"{column}_{end}"))
+    return pairs.join(side("u"), "u").join(side("v"), "v").select(
+        "u", "v", f"{column}_u", f"{column}_v")
+
 
+def _filtered(pairs: DataFrame, judge) -> DataFrame:
+    """The pairs that the judge of two byte buffers accepts."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for set_a, point_a, set_b, point_b in zip(*batch.columns[2:]):
-                a = np.frombuffer(set_a.as_buffer(), np.uint64)
-                b = np.frombuffer(set_b.as_buffer(), np.uint64)
-                need = law.least(len(a), len(b))
-                x = np.frombuffer(point_a.as_buffer(), "<u2").astype(np.int32)
-                y = np.frombuffer(point_b.as_buffer(), "<u2").astype(np.int32)
-                groups = min(len(x), len(y))
-                bound = np.minimum(_folded(x, groups), _folded(y, groups)).sum()
-                keep.append(bool(bound >= need and need <= min(len(a), len(b)) and len(
-                    np.intersect1d(a, b, assume_unique=True)) >= need))
+            keep = [judge(a.as_buffer(), b.as_buffer()) for a, b in zip(*batch.columns[2:])]
             kept = pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"])
             yield kept.filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("set_u"),
-                       F.col("point").alias("point_u"))
-    right = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("set_v"),
-                        F.col("point").alias("point_v"))
-    return (pairs.join(left, "u").join(right, "v")
-            .select("u", "v", "set_u", "point_u", "set_v", "point_v")
-            .mapInArrow(work, "u bigint, v bigint"))
+    return pairs.mapInArrow(work, "u bigint, v bigint")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link: by the bound of their points, then by their sets, which only go to the
+    pairs that the bound has left."""
+    law = Law(percent)
+
+    def reaches(first, second) -> bool:
+        x, y = (np.frombuffer(p, "<u2").astype(np.int64) for p in (first, second))
+        groups = min(len(x), len(y))
+        common = int(np.minimum(_folded(x, groups), _folded(y, groups)).sum())
+        return common >= law.least(int(x.sum()), int(y.sum()))
+
+    def links(first, second) -> bool:
+        a, b = np.frombuffer(first, np.uint64), np.frombuffer(second, np.uint64)
+        need = law.least(len(a), len(b))
+        return len(np.intersect1d(a, b, assume_unique=True)) >= need
+
+    near = pin(_filtered(_met(pairs, sets, "point"), reaches))
+    return _filtered(_met(near, sets, "shingles"), links)
 
 
 def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
