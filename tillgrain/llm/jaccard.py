@@ -49,6 +49,8 @@ MIX = _RNG.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
 TILE = 4_096
 FANOUT = 8
 TREE_GROUPS = 64
+#: So many ids at most are sent to all executors.
+BROADCAST_IDS = 250_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -225,34 +227,36 @@ def _middle_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, law
 def prepare(docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, marks, keys = [], [], []
+            sizes, marks, keys, points = [], [], [], []
             for body in batch.column(1):
                 own = shingles(body.as_py(), width)
                 sizes.append(len(own))
                 marks.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                 keys.append(range_keys(own, percent).view(np.int64) if len(own) else [])
+                points.append(point(own, groups_of(len(own))).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "mark", "keys"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(points, pa.binary())],
+                ["doc_id", "n_shingles", "mark", "keys", "point"])
 
     return docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), whole_text(text).alias("text")
                        ).mapInArrow(work, "doc_id bigint, n_shingles bigint, mark binary, "
-                                          "keys array<bigint>")
+                                          "keys array<bigint>, point binary")
 
 
-def _sets(docs: DataFrame, id: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """Set and point of the wanted documents."""
+def _sets(docs: DataFrame, id: str, text: str, width: int, wanted: DataFrame,
+          count: int) -> DataFrame:
+    """Sets of the wanted documents. Up to a bound their ids go to the texts, beyond it both are
+    dealt out by id."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(body.as_py(), width) for body in batch.column(1)]
-            points = [point(s, groups_of(max(1, len(s)))).astype("<u2") for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
-                 pa.array([p.tobytes() for p in points], pa.binary())], ["rep", "shingles", "point"])
+            sets = [shingles(body.as_py(), width).tobytes() for body in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())],
+                                             ["rep", "shingles"])
 
+    ids = F.broadcast(wanted) if count <= BROADCAST_IDS else wanted
     return (docs.select(F.col(f"`{id}`").cast("long").alias("rep"), whole_text(text).alias("text"))
-            .join(wanted, "rep", "leftsemi")
-            .mapInArrow(work, "rep bigint, shingles binary, point binary"))
+            .join(ids, "rep", "leftsemi").mapInArrow(work, "rep bigint, shingles binary"))
 
 
 def _met(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -274,9 +278,9 @@ def _filtered(pairs: DataFrame, judge) -> DataFrame:
     return pairs.mapInArrow(work, "u bigint, v bigint")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: by the bound of their points, then by their sets, which only go to the
-    pairs that the bound has left."""
+def _verified(pairs: DataFrame, points: DataFrame, percent: int, sets_of) -> DataFrame:
+    """The pairs that link: by the bound of their points, then by the sets of the documents that the
+    bound has left, which ``sets_of`` makes from their ids."""
     law = Law(percent)
 
     def reaches(first, second) -> bool:
@@ -290,8 +294,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         need = law.least(len(a), len(b))
         return len(np.intersect1d(a, b, assume_unique=True)) >= need
 
-    near = pin(_filtered(_met(pairs, sets, "point"), reaches))
-    return _filtered(_met(near, sets, "shingles"), links)
+    near = pin(_filtered(_met(pairs, points, "point"), reaches))
+    ids = pin(near.select(F.explode(F.array("u", "v")).alias("rep")).distinct())
+    count = ids.count()
+    if not count:
+        return near
+    return _filtered(_met(near, pin(sets_of(ids, count)), "shingles"), links)
 
 
 def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
@@ -342,7 +350,7 @@ def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
             .mapInArrow(work, "u bigint, v bigint").distinct())
 
 
-def _open_rows(shared: DataFrame, roots: DataFrame, sets: DataFrame, tile: int) -> DataFrame:
+def _open_rows(shared: DataFrame, roots: DataFrame, points: DataFrame, tile: int) -> DataFrame:
     """Members of ranges that hold several components, without the smallest member, which has met
     all the others; in tiles where they are many."""
     labelled = (shared.where("rep != least")
@@ -355,7 +363,7 @@ def _open_rows(shared: DataFrame, roots: DataFrame, sets: DataFrame, tile: int)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     # The point is joined last, on ids.
-    return rows.join(sets.select("rep", "point"), "rep").select(
+    return rows.join(points, "rep").select(
         "key", F.least("part", "other").alias("part_a"), F.greatest("part", "other").alias("part_b"),
         "part", "rep", "label", "point")
 
@@ -372,7 +380,12 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
     same_key = Window.partitionBy("key")
     shared = pin(keyed.withColumns({"members": F.count("*").over(same_key),
                                     "least": F.min("rep").over(same_key)}).where("members > 1"))
-    sets = pin(_sets(docs, id, text, width, shared.select("rep").distinct()))
+    points = base.where("mark is not null").select(F.col("doc_id").alias("rep"), "point")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, points, percent,
+                         lambda ids, count: _sets(docs, id, text, width, ids, count))
+
     star = shared.where("rep != least").select(
         F.col("least").alias("u"), F.col("rep").alias("v")).distinct()
     member = slim.join(reps, "mark", "left").select("doc_id", "n_shingles", "rep")
@@ -382,11 +395,11 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
     tied = (full.join(reps, "mark").join(several, "doc_id")
             .select(F.col("rep").alias("u"), "v").unionAll(
                 several.select(F.col("doc_id").alias("u"), "v")))
-    edges = _verified(star, sets, percent).unionAll(tied)
+    edges = verified(star).unionAll(tied)
     roots = components(edges)
     for middle in (True, False):
-        rows = _open_rows(shared, roots, sets, tile)
-        more = pin(_verified(_tree_pairs(rows, percent, middle), sets, percent))
+        rows = _open_rows(shared, roots, points, tile)
+        more = pin(verified(_tree_pairs(rows, percent, middle)))
         if more.isEmpty():
             continue
         roots = components(more.unionAll(roots.toDF("u", "v")))
