@@ -71,12 +71,15 @@ def packed(ids: list[int]) -> bytes:
 
 
 def _encoder(rank_file: str, as_bytes: bool):
-    kind = pa.binary() if as_bytes else pa.list_(pa.int32())
-    shape = packed if as_bytes else (lambda ids: ids)
-
     @arrow_udf("binary" if as_bytes else "array<int>")
     def encode_batch(texts: pa.Array) -> pa.Array:
-        return pa.array((shape(encode_text(t.as_py() or "", rank_file)) for t in texts), kind)
+        # Packed at once: lists of Python integers would take ten times the room.
+        rows = [packed(encode_text(t.as_py() or "", rank_file)) for t in texts]
+        if as_bytes:
+            return pa.array(rows, pa.binary())
+        ends = np.cumsum([0, *map(len, rows)]) // 4
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                        pa.array(np.frombuffer(b"".join(rows), "<i4")))
 
     return encode_batch
 
