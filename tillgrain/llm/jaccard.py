@@ -376,17 +376,23 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
     full = base.where("doc_id is not null and mark is not null")
     reps = full.groupBy("mark").agg(F.min("doc_id").alias("rep"))
     keyed = (full.join(reps, [full["mark"] == reps["mark"], full["doc_id"] == reps["rep"]])
-             .select("rep", F.explode("keys").alias("key")))
+             .select("rep", F.col("n_shingles").cast("int").alias("size"),
+                     F.explode("keys").alias("key")))
     same_key = Window.partitionBy("key")
     shared = pin(keyed.withColumns({"members": F.count("*").over(same_key),
-                                    "least": F.min("rep").over(same_key)}).where("members > 1"))
+                                    "first": F.min(F.struct("rep", "size")).over(same_key)})
+                 .where("members > 1")
+                 .select("key", "rep", "size", "members", F.col("first.rep").alias("least"),
+                         F.col("first.size").alias("least_size")))
     points = base.where("mark is not null").select(F.col("doc_id").alias("rep"), "point")
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, points, percent,
                          lambda ids, count: _sets(docs, id, text, width, ids, count))
 
-    star = shared.where("rep != least").select(
+    # Sizes too far apart can't link.
+    sizes_fit = f"{percent}L * (size + least_size) <= {100 + percent}L * least(size, least_size)"
+    star = shared.where("rep != least").where(sizes_fit).select(
         F.col("least").alias("u"), F.col("rep").alias("v")).distinct()
     member = slim.join(reps, "mark", "left").select("doc_id", "n_shingles", "rep")
     # An id with several texts ties their classes together.
