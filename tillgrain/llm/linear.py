@@ -31,15 +31,12 @@ class Linear:
         return 1 / (1 + np.exp(-self.margin(x)))
 
 
-def fit(rows: DataFrame, features: str, label: str, penalty: float = 1e-3,
+def fit(rows: DataFrame, features: str, label: str, width: int, penalty: float = 1e-3,
         rounds: int = 20, scaled: bool = True) -> Linear:
-    """Logistic regression on an array column. With one class or none, the smoothed share of the
+    """Logistic regression on an array column of the given width. With one class or none, the smoothed share of the
     label is the chance of every row."""
-    seen = rows.groupBy(label).agg(F.count("*").alias("n"),
-                                   F.max(F.size(features)).alias("width")).collect()
-    counts = {float(r[label]): r["n"] for r in seen}
-    width = max((r["width"] for r in seen), default=0)
-    if len(counts) < 2:
+    counts = {float(r[label]): r["count"] for r in rows.groupBy(label).count().collect()}
+    if len(counts) < 2 or not width:
         share = (counts.get(1.0, 0) + 0.5) / (sum(counts.values()) + 1)
         return Linear((0.0,) * width, log(share / (1 - share)))
     ready = rows.select(array_to_vector(F.col(features)).alias("features"),

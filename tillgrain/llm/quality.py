@@ -39,7 +39,7 @@ UPPER = bytes(range(65, 91))
 LETTERS = bytes(b for b in range(256) if chr(b).isalpha() and b < 128 or b >= 128)
 DIGITS = b"0123456789"
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
-CONTENT = 13
+CONTENT, METADATA = 13, 2 + LANGUAGES + SOURCES
 
 
 def content_features(text: str) -> list[float]:
@@ -64,7 +64,7 @@ def content_features(text: str) -> list[float]:
 
 
 def metadata_features(lang: str | None, source: str | None, chars: int | None) -> list[float]:
-    row = [0.0] * (2 + LANGUAGES + SOURCES)
+    row = [0.0] * METADATA
     row[0] = log1p(max(chars or 0, 0))
     row[1] = float(chars is None)
     row[2 + crc32((lang or "\0").encode()) % LANGUAGES] = 1.0
@@ -115,8 +115,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", size: int = SA
     pool = pin(_sample(docs, labels, size, text).coalesce(SAMPLE_TASKS))
     known = pool.where("label is not null and not aside")
     open_ = pool.where("label is null")
-    content = fit(known, "content", "label")
-    metadata = fit(known, "metadata", "label")
+    content = fit(known, "content", "label", CONTENT)
+    metadata = fit(known, "metadata", "label", METADATA)
     edge = float(np.log(sure / (1 - sure)))
 
     def taught(teacher: Linear, view: str) -> DataFrame:
@@ -126,15 +126,15 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", size: int = SA
 
     for _ in range(rounds):
         by_content, by_metadata = taught(content, "content"), taught(metadata, "metadata")
-        content = fit(known.unionByName(by_metadata), "content", "label")
-        metadata = fit(known.unionByName(by_content), "metadata", "label")
+        content = fit(known.unionByName(by_metadata), "content", "label", CONTENT)
+        metadata = fit(known.unionByName(by_content), "metadata", "label", METADATA)
     held = pin(pool.where("label is not null and aside").select(
         "label", F.array(margin_of(content, "content")).alias("a"),
         F.array(margin_of(metadata, "metadata")).alias("b")))
-    calibrated = fit(held, "a", "label"), fit(held, "b", "label")
+    calibrated = fit(held, "a", "label", 1), fit(held, "b", "label", 1)
     both = pin(held.select("label", F.array(
         margin_of(calibrated[0], "a"), margin_of(calibrated[1], "b")).alias("ab")))
-    return Cotrained(content, metadata, calibrated, fit(both, "ab", "label"))
+    return Cotrained(content, metadata, calibrated, fit(both, "ab", "label", 2))
 
 
 def score_of(model: Cotrained, text: str = "text") -> Column:

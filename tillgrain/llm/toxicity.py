@@ -144,15 +144,18 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         ready = ready.withColumn(f"is_{n}", own)
     now, links = pin(ready), []
     for n, name in enumerate(names):
-        links.append(_link(now, n))
+        links.append(_link(now, n, len(place)))
         if n + 1 < len(names):
-            parts = [_link(now.where(F.col("fold") != f), n) for f in range(folds)]
+            parts = [_link(now.where(F.col("fold") != f), n, len(place)) for f in range(folds)]
             now = pin(now.withColumn("x", F.concat("x", F.array(_held_out(parts)("x", "fold")))))
     return Chain(names, tuple(vocabulary), tuple(links))
 
 
-def _link(rows: DataFrame, n: int) -> Linear:
-    return fit(rows, "x", f"is_{n}", penalty=PENALTY, scaled=False)
+def _link(rows: DataFrame, n: int, features: int) -> Linear:
+    """The n-th link, over the features and the n chances before it. Without documents of both kinds
+    it gives no chance to any."""
+    model = fit(rows, "x", f"is_{n}", features + n, penalty=PENALTY, scaled=False)
+    return model if any(model.weights) else Linear(model.weights, -30.0)
 
 
 def _held_out(models: list[Linear]):
