@@ -244,19 +244,23 @@ def prepare(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
                                           "keys array<bigint>, point binary")
 
 
+def _sent(ids: DataFrame, count: int) -> DataFrame:
+    """Ids as one side of a join: sent to all executors up to a bound, else dealt out."""
+    return F.broadcast(ids) if count <= BROADCAST_IDS else ids
+
+
 def _sets(docs: DataFrame, id: str, text: str, width: int, wanted: DataFrame,
           count: int) -> DataFrame:
-    """Sets of the wanted documents. Up to a bound their ids go to the texts, beyond it both are
-    dealt out by id."""
+    """Sets of the wanted documents."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(body.as_py(), width).tobytes() for body in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())],
                                              ["rep", "shingles"])
 
-    ids = F.broadcast(wanted) if count <= BROADCAST_IDS else wanted
     return (docs.select(F.col(f"`{id}`").cast("long").alias("rep"), whole_text(text).alias("text"))
-            .join(ids, "rep", "leftsemi").mapInArrow(work, "rep bigint, shingles binary"))
+            .join(_sent(wanted, count), "rep", "leftsemi")
+            .mapInArrow(work, "rep bigint, shingles binary"))
 
 
 def _met(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -420,9 +424,9 @@ def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> D
     marks = pin(link(docs, width, percent).where("doc_id is not null"))
     known = marks.groupBy("doc_id").agg(F.count("*").alias("_rows"),
                                         F.min("component_id").alias("_first"))
-    gone = known.where("_first < doc_id").select("doc_id")
+    gone = pin(known.where("_first < doc_id").select("doc_id"))
     twice = pin(known.where("_rows > 1 and _first = doc_id").select("doc_id"))
-    left = docs.join(gone, "doc_id", "leftanti")
+    left = docs.join(_sent(gone, gone.count()), "doc_id", "leftanti")
     if twice.isEmpty():
         return left
     return left.join(twice, "doc_id", "leftanti").unionByName(
