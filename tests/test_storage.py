@@ -171,3 +171,22 @@ def test_a_cluster_must_name_its_folder(monkeypatch):
                               master="spark://somewhere")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(SimpleNamespace(sparkContext=context, conf=nothing))
+
+
+def test_quoted_quotes_and_line_breaks_are_read(spark, tmp_path):
+    names = flatfiles.as_delivered("customers").names
+    line = ",".join(['"Ann ""Bo"" Lee\nJr"' if n == "customer_name" else "C1" if n == "customer_id"
+                     else "" for n in names])
+    (tmp_path / "customers.csv").write_text(",".join(names) + "\n" + line + "\n")
+    got = flatfiles.read_delivered(spark, str(tmp_path), "customers", multi_line=True).collect()
+    assert [(r["customer_id"], r["customer_name"]) for r in got] == [("C1", 'Ann "Bo" Lee\nJr')]
+
+
+def test_an_export_reads_back(spark, tmp_path):
+    names = flatfiles.as_delivered("customers").names
+    row = tuple('say "so", then' if n == "customer_name" else "C1" if n == "customer_id" else None
+                for n in names)
+    df = spark.createDataFrame([row], ", ".join(f"{n} string" for n in names))
+    flatfiles.export_csv(df, f"{tmp_path}/customers.csv")
+    got = flatfiles.read_delivered(spark, str(tmp_path), "customers").first()
+    assert got["customer_name"] == 'say "so", then'

@@ -34,11 +34,15 @@ def _typed(column: str, kind: T.DataType) -> Column:
     return text.try_cast(kind).alias(column)
 
 
-def read_delivered(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """The file's columns, found by their names in the header, and the row sequence."""
+def read_delivered(spark: SparkSession, folder: str, table: str,
+                   multi_line: bool = False) -> DataFrame:
+    """The file's columns, found by their names in the header, and the row sequence. A quote inside a
+    quoted value is doubled. Files with line breaks inside of quotes need ``multi_line``; such a file
+    is read by one task."""
     path = f"{folder.rstrip('/')}/{table}.csv"
     try:
-        rows = spark.read.option("header", True).csv(path)
+        rows = (spark.read.option("header", True).option("escape", '"')
+                .option("multiLine", multi_line).csv(path))
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise MissingSource(f"required source file is missing: {path}") from error
@@ -53,11 +57,12 @@ def read_delivered(spark: SparkSession, folder: str, table: str) -> DataFrame:
                        F.monotonically_increasing_id().alias("_line"))
 
 
-def read_all_delivered(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {table: read_delivered(spark, folder, table) for table in SOURCE_TABLES}
+def read_all_delivered(spark: SparkSession, folder: str,
+                       multi_line: bool = False) -> dict[str, DataFrame]:
+    return {table: read_delivered(spark, folder, table, multi_line) for table in SOURCE_TABLES}
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a whole report block for a spreadsheet: every value quoted, null as empty."""
     (df.write.mode("overwrite").option("header", True).option("quoteAll", True)
-     .option("nullValue", "").option("emptyValue", "").csv(path))
+     .option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(path))
