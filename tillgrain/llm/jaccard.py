@@ -162,6 +162,21 @@ def point(shingle_set: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount((shingle_set & np.uint64(groups - 1)).astype(np.intp), minlength=groups)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A point as bytes: two counts a byte where all are below 16, else four bytes a count."""
+    if counts.max(initial=0) < 16:
+        half = counts.astype(np.uint8)
+        return b"\0" + (half[0::2] | half[1::2] << 4).tobytes()
+    return b"\1" + counts.astype("<u4").tobytes()
+
+
+def unpacked(body) -> np.ndarray:
+    if bytes(body[:1]) == b"\1":
+        return np.frombuffer(body, "<u4", offset=1).astype(np.int64)
+    half = np.frombuffer(body, np.uint8, offset=1)
+    return np.stack([half & 15, half >> 4], axis=1).ravel().astype(np.int64)
+
+
 def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(*counts.shape[:-1], -1, groups).sum(axis=-2)
 
@@ -233,7 +248,7 @@ def prepare(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
                 sizes.append(len(own))
                 marks.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                 keys.append(range_keys(own, percent).view(np.int64) if len(own) else [])
-                points.append(point(own, groups_of(len(own))).astype("<u2").tobytes())
+                points.append(packed(point(own, groups_of(len(own)))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(points, pa.binary())],
@@ -249,61 +264,58 @@ def _sent(ids: DataFrame, count: int) -> DataFrame:
     return F.broadcast(ids) if count <= BROADCAST_IDS else ids
 
 
-def _sets(docs: DataFrame, id: str, text: str, width: int, wanted: DataFrame,
-          count: int) -> DataFrame:
-    """Sets of the wanted documents."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(body.as_py(), width).tobytes() for body in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())],
-                                             ["rep", "shingles"])
-
+def _texts(docs: DataFrame, id: str, text: str, wanted: DataFrame, count: int) -> DataFrame:
+    """Texts of the wanted documents. A text is about half as large as the hashes of its shingles."""
     return (docs.select(F.col(f"`{id}`").cast("long").alias("rep"), whole_text(text).alias("text"))
-            .join(_sent(wanted, count), "rep", "leftsemi")
-            .mapInArrow(work, "rep bigint, shingles binary"))
+            .join(_sent(wanted, count), "rep", "leftsemi"))
 
 
-def _met(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+def _met(pairs: DataFrame, sides: DataFrame, column: str) -> DataFrame:
     """u, v and the column of both."""
-    side = lambda end: sets.select(F.col("rep").alias(end),
-                                   F.col(column).alias(f"{column}_{end}"))
+    side = lambda end: sides.select(F.col("rep").alias(end),
+                                    F.col(column).alias(f"{column}_{end}"))
     return pairs.join(side("u"), "u").join(side("v"), "v").select(
         "u", "v", f"{column}_u", f"{column}_v")
 
 
 def _filtered(pairs: DataFrame, judge) -> DataFrame:
-    """The pairs that the judge of two byte buffers accepts."""
+    """The pairs that the judge of two values accepts."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [judge(a.as_buffer(), b.as_buffer()) for a, b in zip(*batch.columns[2:])]
+            keep = [judge(a.as_py(), b.as_py()) for a, b in zip(*batch.columns[2:])]
             kept = pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"])
             yield kept.filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(work, "u bigint, v bigint")
 
 
-def _verified(pairs: DataFrame, points: DataFrame, percent: int, sets_of) -> DataFrame:
-    """The pairs that link: by the bound of their points, then by the sets of the documents that the
-    bound has left, which ``sets_of`` makes from their ids."""
+def _reaching(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose points' bound reaches what they need."""
     law = Law(percent)
 
-    def reaches(first, second) -> bool:
-        x, y = (np.frombuffer(p, "<u2").astype(np.int64) for p in (first, second))
+    def reaches(first: bytes, second: bytes) -> bool:
+        x, y = unpacked(first), unpacked(second)
         groups = min(len(x), len(y))
         common = int(np.minimum(_folded(x, groups), _folded(y, groups)).sum())
         return common >= law.least(int(x.sum()), int(y.sum()))
 
-    def links(first, second) -> bool:
-        a, b = np.frombuffer(first, np.uint64), np.frombuffer(second, np.uint64)
-        need = law.least(len(a), len(b))
-        return len(np.intersect1d(a, b, assume_unique=True)) >= need
+    return _filtered(_met(pairs, points, "point"), reaches)
+
+
+def _verified(pairs: DataFrame, percent: int, width: int, texts_of) -> DataFrame:
+    """The pairs that link, by the sets of their documents, whose texts ``texts_of`` finds by id."""
+    law = Law(percent)
+
+    def links(first: str, second: str) -> bool:
+        a, b = shingles(first, width), shingles(second, width)
+        return len(np.intersect1d(a, b, assume_unique=True)) >= law.least(len(a), len(b))
 
-    near = pin(_filtered(_met(pairs, points, "point"), reaches))
+    near = pin(pairs)
     ids = pin(near.select(F.explode(F.array("u", "v")).alias("rep")).distinct())
     count = ids.count()
     if not count:
         return near
-    return _filtered(_met(near, pin(sets_of(ids, count)), "shingles"), links)
+    return _filtered(_met(near, texts_of(ids, count), "text"), links)
 
 
 def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
@@ -343,8 +355,7 @@ def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
                     if (made := close()) is not None:
                         yield made
                     held, tile = [], here
-                held.append((rep[n], label[n], part[n],
-                             np.frombuffer(body.as_py(), "<u2")))
+                held.append((rep[n], label[n], part[n], unpacked(body.as_py())))
         if (made := close()) is not None:
             yield made
 
@@ -379,8 +390,11 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
     slim = base.select("doc_id", "n_shingles", "mark")
     full = base.where("doc_id is not null and mark is not null")
     reps = full.groupBy("mark").agg(F.min("doc_id").alias("rep"))
-    keyed = (full.join(reps, [full["mark"] == reps["mark"], full["doc_id"] == reps["rep"]])
-             .select("rep", F.col("n_shingles").cast("int").alias("size"),
+    # Only classes go on: the other rows are taken out by their ids.
+    copies = pin(full.select("doc_id", "mark").join(reps, "mark").where("doc_id != rep")
+                 .select("doc_id", "mark").distinct())
+    keyed = (full.join(_sent(copies, copies.count()), ["doc_id", "mark"], "leftanti")
+             .select(F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("size"),
                      F.explode("keys").alias("key")))
     same_key = Window.partitionBy("key")
     shared = pin(keyed.withColumns({"members": F.count("*").over(same_key),
@@ -391,8 +405,8 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
     points = base.where("mark is not null").select(F.col("doc_id").alias("rep"), "point")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, points, percent,
-                         lambda ids, count: _sets(docs, id, text, width, ids, count))
+        return _verified(pairs, percent, width,
+                         lambda ids, count: _texts(docs, id, text, ids, count))
 
     # Sizes too far apart can't link.
     sizes_fit = f"{percent}L * (size + least_size) <= {100 + percent}L * least(size, least_size)"
@@ -405,8 +419,9 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
     tied = (full.join(reps, "mark").join(several, "doc_id")
             .select(F.col("rep").alias("u"), "v").unionAll(
                 several.select(F.col("doc_id").alias("u"), "v")))
-    edges = verified(star).unionAll(tied)
+    edges = verified(_reaching(star, points, percent)).unionAll(tied)
     roots = components(edges)
+    # Pairs of the trees have met this bound already.
     for middle in (True, False):
         rows = _open_rows(shared, roots, points, tile)
         more = pin(verified(_tree_pairs(rows, percent, middle)))
