@@ -13,8 +13,8 @@ in these steps:
 * Sets that share a range meet there. First each meets the range's smallest id; these pairs are
   verified, and what links becomes a component.
 * Where a range still holds several components, an R-tree over the points finds the pairs of
-  different components whose bound reaches what is needed: first those of the member in the middle,
-  then, after another round of components, all others. They are verified too, so no link between two
+  different components whose bound reaches what is needed: in larger ranges first those of the member in
+  the middle, then, after another round of components, all others. They are verified too, so no link between two
   components is lost, and pairs inside one need no look. Ranges with very many members are dealt out
   in tiles, each pair of parts to a task.
 
@@ -49,6 +49,8 @@ MIX = _RNG.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
 TILE = 4_096
 FANOUT = 8
 TREE_GROUPS = 64
+#: The round of middle members is for ranges with more members; smaller ones go to the trees at once.
+MIDDLE_FROM = 64
 #: So many ids at most are sent to all executors.
 BROADCAST_IDS = 250_000
 
@@ -368,8 +370,9 @@ def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
 def _open_rows(shared: DataFrame, roots: DataFrame, points: DataFrame, tile: int) -> DataFrame:
     """Members of ranges that hold several components, without the smallest member, which has met
     all the others; in tiles where they are many."""
+    known = roots.withColumnRenamed("node", "rep")
     labelled = (shared.where("rep != least")
-                .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+                .join(_sent(known, known.count()), "rep", "left")
                 .withColumn("label", F.coalesce("root", "rep")).drop("root"))
     many = (labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .where("low != high").select("key"))
@@ -423,7 +426,8 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
     roots = components(edges)
     # Pairs of the trees have met this bound already.
     for middle in (True, False):
-        rows = _open_rows(shared, roots, points, tile)
+        among = shared.where(F.col("members") > MIDDLE_FROM) if middle else shared
+        rows = _open_rows(among, roots, points, tile)
         more = pin(verified(_tree_pairs(rows, percent, middle)))
         if more.isEmpty():
             continue
