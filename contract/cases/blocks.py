@@ -241,23 +241,23 @@ for _id, _name, _expr in (
         ("M04", "total_orders", "count(distinct order_id)")):
     case(f"{_id}_{_name}", lambda s, name=_name: m.measure(s, name, ["region", "category"]),
          sql(f"select region, category, {_expr} as {_name} from o group by region, category", **ALL))
-_ROUND6 = "decimal(38,10)"
-case("M03_profit_margin_pct", lambda s: m.measure(s, "profit_margin_pct", ["category"]).select(
-    "category", F.round("profit_margin_pct", 4).alias("profit_margin_pct")), sql(
-    f"select category, coalesce({pct('sum(pc)', 'sum(rc)', 4)}, 0) as profit_margin_pct from o group by category", **ALL))
+case("M03_profit_margin_pct", lambda s: m.measure(s, "profit_margin_pct", ["category"]), sql(
+    f"select category, coalesce({pct('sum(pc)', 'sum(rc)', 6)}, 0) as profit_margin_pct from o group by category", **ALL))
 case("M05_total_customers", lambda s: m.total_customers(s, ["region"]), sql(
     "select region, count(distinct customer_id) as total_customers from customers group by region", "customers"))
-case("M06_average_order_value", lambda s: m.measure(s, "average_order_value", ["region"]).select(
-    "region", F.round("average_order_value", 4).alias("average_order_value")), sql(
-    f"select region, {mean('sum(rc)', 'count(distinct order_id)', 100, 4)} as average_order_value from o group by region", **ALL))
-_SHIFT = """(select a.month, a.rc, p.rc as pr from by_month a left join by_month p on p.month = a.month - interval {} month)"""
-case("M07_revenue_growth_yoy", lambda s: m.year_on_year_growth(s).select(
-    "month", F.round("revenue_growth_yoy", 4).alias("revenue_growth_yoy")), sql(
-    f"select month, coalesce({pct('rc-pr', 'pr', 4)}, 0) as revenue_growth_yoy from {_SHIFT.format(12)}", "by_month"))
+case("M06_average_order_value", lambda s: m.measure(s, "average_order_value", ["region"]), sql(
+    f"select region, {mean('sum(rc)', 'count(distinct order_id)', 100, 6)} as average_order_value from o group by region", **ALL))
+# Every month of the calendar in which the month itself or the earlier one has revenue.
+_SHIFT = """(select s.month, a.rc, p.rc as pr from (select distinct cast(date_trunc('month', date) as date) as month from calendar) s
+  left join by_month a on a.month = s.month left join by_month p on p.month = s.month - interval {} month
+  where a.rc is not null or p.rc is not null)"""
+case("M07_revenue_growth_yoy", m.year_on_year_growth, sql(
+    f"select month, coalesce({pct('coalesce(rc,0)-pr', 'pr', 6)}, 0) as revenue_growth_yoy from {_SHIFT.format(12)}",
+    "by_month", "calendar"))
 case("M08_yoy_revenue", m.year_ago_revenue, sql(
-    f"select month, {money('rc')} as revenue, {money('pr')} as yoy_revenue from {_SHIFT.format(12)}", "by_month"))
+    f"select month, {money('rc')} as revenue, {money('pr')} as yoy_revenue from {_SHIFT.format(12)}", "by_month", "calendar"))
 case("M09_mom_revenue", m.month_ago_revenue, sql(
-    f"select month, {money('rc')} as revenue, {money('pr')} as mom_revenue from {_SHIFT.format(1)}", "by_month"))
+    f"select month, {money('rc')} as revenue, {money('pr')} as mom_revenue from {_SHIFT.format(1)}", "by_month", "calendar"))
 case("M10_target_achievement", m.target_achievement, sql(f"""
 select e.employee_id, coalesce({pct('rc', 'tc', 6)}, 0) as target_achievement_pct from employees e
 left join plan t on t.employee_id=e.employee_id left join emp k on k.employee_id=e.employee_id""", "employees", "plan", "emp"))
@@ -271,8 +271,11 @@ case("M13_revenue_per_customer", lambda s: m.revenue_per_customer(s, ["region"])
 select region, {mean('coalesce(sum(rc),0)', 'count(*)', 100, 6)} as revenue_per_customer
 from customers c left join cust k on k.customer_id=c.customer_id group by region""", "customers", "cust"))
 case("M08_yoy_revenue_by_category", lambda s: m.year_ago_revenue(s, ["category"]), sql(f"""
-select a.category, a.month, {money('a.c')} as revenue, {money('p.c')} as yoy_revenue from g a left join g p on p.category=a.category
-  and p.month = a.month - interval 12 month""", g=(("sold", "products"), """
+select k.category, k.month, {money('a.c')} as revenue, {money('p.c')} as yoy_revenue from (
+  select distinct category, cast(date_trunc('month', date) as date) as month from (select distinct category from g) cross join calendar) k
+left join g a on a.category=k.category and a.month=k.month
+left join g p on p.category=k.category and p.month = k.month - interval 12 month
+where a.c is not null or p.c is not null""", "calendar", g=(("sold", "products"), """
 select category, m as month, sum(rc) as c from sold join products using (product_id) group by category, m""")))
 case("M10_target_achievement_by_region", lambda s: m.target_achievement(s, ["region"]), sql(f"""
 select region, coalesce({pct('sum(rc)', 'sum(tc)', 6)}, 0) as target_achievement_pct from employees e

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import by, d, make_star, order, rows
+from tillgrain.functions.ratios import pct, per
 from tillgrain.operators.rollup import by_attribute, sold
 from tillgrain.operators.scope import Filters, matches, page_info, page_of, scoped_orders
 from tillgrain.plans import blocks, client, insights, kpis, measures, queries, views
+from tillgrain.sources.star import Star
 
 M = Decimal
 
@@ -204,3 +206,30 @@ def test_mean_rounds_halves_up(spark):
     tie = make_star(spark, [order("O1", "2024-01-10", "C1", revenue="0.01"),
                             order("O2", "2024-01-10", "C1", revenue="0.02")])
     assert rows(kpis.average_order_value(tie)) == [{"avg_order_value": M("0.02")}]
+
+
+def test_quotients_are_rounded_once(spark):
+    near_tie = spark.createDataFrame([(M("123449999996.00"), M("1000000000000.00"))],
+                                     "part decimal(34,2), whole decimal(34,2)")
+    got = near_tie.select(pct(F.col("part"), F.col("whole")).alias("up"),
+                          pct(-F.col("part"), F.col("whole")).alias("down"),
+                          per(F.lit(1), F.lit(8)).alias("tie"),
+                          per(F.lit(1), F.lit(0)).alias("nothing")).first()
+    assert tuple(got) == (M("12.34"), M("-12.34"), M("0.13"), None)
+
+
+def test_growth_keeps_months_and_groups_without_revenue_or_name(spark):
+    sold_in = make_star(spark, [order("O1", "2023-01-10", "C1"), order("O2", "2023-02-10", "C1"),
+                                order("O3", "2024-01-10", "C2")],
+                        customers=[("C1", None, "X"), ("C2", "South", "X")])
+    calendar = spark.sql("select explode(sequence(date'2023-01-01', date'2024-03-31')) as date")
+    tables = {**sold_in.tables(), "date_dimension": calendar}
+    got = {(r["region"], str(r["month"])[:7]): (r["revenue"], r["yoy_revenue"])
+           for r in rows(measures.year_ago_revenue(Star(**tables), ["region"]))}
+    hundred = M("100.00")
+    assert got == {(None, "2023-01"): (hundred, None), (None, "2023-02"): (hundred, None),
+                   (None, "2024-01"): (None, hundred), (None, "2024-02"): (None, hundred),
+                   ("South", "2024-01"): (hundred, None)}
+    kept = {(r["region"], str(r["month"])[:7]): r["customer_retention_pct"]
+            for r in rows(measures.customer_retention(Star(**tables), ["region"]))}
+    assert kept[(None, "2023-02")] == 100 and kept[(None, "2023-01")] == 0

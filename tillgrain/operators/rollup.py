@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillgrain.functions.ratios import counts_as_revenue
 
 
+# One type per sum, whether it was taken in one step or two.
+SUMS = {"revenue": "decimal(24,2)", "profit": "decimal(24,2)", "discounts": "decimal(25,4)"}
+
+
 def measures(*names: str) -> list[Column]:
     """Named sums over order rows. order_id is the fact's key, so counting rows counts orders."""
     known = {
@@ -23,7 +27,7 @@ def measures(*names: str) -> list[Column]:
         "first_purchase": F.min("order_date"),
         "last_purchase": F.max("order_date"),
         "buyers": F.count_distinct("customer_id"),
-        "discounts": F.sum("discount"),
+        "discounts": F.sum("discount").cast(SUMS["discounts"]),
         "discounted": F.count("discount"),
     }
     return [known[n].alias(n) for n in names]
@@ -32,7 +36,8 @@ def measures(*names: str) -> list[Column]:
 def again(*names: str) -> list[Column]:
     """The same measures taken over rows that are already sums."""
     known = {"first_purchase": F.min, "last_purchase": F.max}
-    return [known.get(n, F.sum)(n).alias(n) for n in names]
+    taken = {n: known.get(n, F.sum)(n) for n in names}
+    return [(c.cast(SUMS[n]) if n in SUMS else c).alias(n) for n, c in taken.items()]
 
 
 def sold(orders: DataFrame) -> DataFrame:
@@ -43,35 +48,24 @@ def by_key(orders: DataFrame, keys: list[str | Column], *names: str) -> DataFram
     return orders.groupBy(*keys).agg(*measures(*names))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's own size estimate lets this frame be broadcast."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size <= limit
-
-
 def by_attribute(orders: DataFrame, dimension: DataFrame, key: str, attributes: list[str],
                  names: list[str], extra: list[str | Column] | None = None,
                  members: str | None = None) -> DataFrame:
     """Measures per dimension attribute and per the ``extra`` grouping columns.
 
-    While the dimension is small enough to be broadcast, orders look up their attribute without a
-    shuffle. Beyond that the fact goes to key grain first and meets the dimension there, so a key
-    with a third of the orders is combined before it is shuffled.
+    The fact goes to key grain first and meets the dimension there, so a key with a third of the
+    orders is combined before it is shuffled, and the plan is the same at every size.
 
     ``members`` names a column for the number of distinct keys that contribute. It is the row count
     at key grain and needs no distinct step; it excludes ``extra``.
     """
     extra = extra or []
-    looked_up = dimension.select(key, *attributes)
-    if not members and fits_broadcast(looked_up):
-        return (orders.join(looked_up, key).groupBy(*attributes, *extra).agg(*measures(*names)))
     keyed = by_key(orders, [key, *extra], *names)
     carried = [c for c in keyed.columns if c != key and c not in names]
     aggregates = again(*names)
     if members:
         aggregates.append(F.count(F.lit(1)).alias(members))
-    return keyed.join(looked_up, key).groupBy(*attributes, *carried).agg(*aggregates)
+    return keyed.join(dimension.select(key, *attributes), key).groupBy(*attributes, *carried).agg(*aggregates)
 
 
 def returns_per_order(returns: DataFrame) -> DataFrame:

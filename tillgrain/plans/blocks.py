@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillgrain.functions.labels import PERFORMANCE_TIERS, performance_tier
-from tillgrain.functions.ratios import growth_pct, or_zero, pct
+from tillgrain.functions.ratios import growth_pct, mean_of, or_zero, pct
 from tillgrain.operators import rfm
 from tillgrain.operators.ordering import with_rank
 from tillgrain.operators.quality import REPORT_SCHEMA, quality_summary
@@ -309,8 +309,7 @@ def employees(star: Star) -> dict[str, DataFrame]:
 # ---- churn
 
 def _mean_probability() -> Column:
-    rows = F.count("churn_probability")
-    return F.round(F.sum("churn_probability") / F.nullif(rows, F.lit(0)), 4)
+    return mean_of("churn_probability", 4)
 
 
 def risk_summary(star: Star) -> DataFrame:
@@ -359,8 +358,7 @@ def churn(star: Star, risk_level: str | None = None, page: int = 1, page_size: i
 
 def segment_profile(segments: DataFrame) -> DataFrame:
     def mean(column: str, places: int) -> Column:
-        total = F.sum(F.col(column).cast("decimal(24,2)"))
-        return F.round(total / F.nullif(F.count(column), F.lit(0)), places)
+        return mean_of(F.col(column).cast("decimal(24,2)"), places)
     return (segments.groupBy("segment")
             .agg(F.count(F.lit(1)).alias("count"),
                  mean("monetary", 2).alias("avg_monetary"),

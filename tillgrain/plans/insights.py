@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillgrain.functions.ratios import pct
+from tillgrain.functions.ratios import pct, per
 from tillgrain.operators.rollup import by_key, returns_by, sold
 from tillgrain.plans.blocks import trailing_growth
 from tillgrain.plans.queries import by_category, by_region, order_margin
@@ -52,13 +52,14 @@ def thin_margin_category(star: Star) -> DataFrame:
     ranked = sums.select(
         "*", F.row_number().over(Window.orderBy(F.desc_nulls_first("revenue"), "category"))
         .alias("place"),
-        (F.sum(F.col("margin_pct").cast("decimal(24,2)")).over(everything)
-         / F.nullif(F.count("margin_pct").over(everything), F.lit(0))).alias("mean_margin"))
-    rows = ranked.where((F.col("place") == 1) & (F.col("margin_pct") < F.col("mean_margin")))
+        F.sum(F.col("margin_pct").cast("decimal(24,2)")).over(everything).alias("margins"),
+        F.count("margin_pct").over(everything).alias("categories"))
+    rows = ranked.where((F.col("place") == 1)
+                        & (F.col("margin_pct") * F.col("categories") < F.col("margins")))
     return _insight(rows, 3, "Product", F.col("margin_pct"), F.col("category"),
                     " has the highest revenue but a below-average profit margin of ",
                     F.col("margin_pct").cast("decimal(20,2)").cast("string"), "% versus a ",
-                    _one(F.col("mean_margin")), "% average across categories.")
+                    _one(per(F.col("margins"), F.col("categories"), 1)), "% average across categories.")
 
 
 def churn_share(star: Star) -> DataFrame:
@@ -117,7 +118,6 @@ def most_returned_name(star: Star, more_than: int = 20) -> DataFrame:
     """By product name, over all orders."""
     sums = by_key(star.orders, ["product_id"], "orders")
     returned = returns_by(star.orders, star.returns, "product_id")
-    rate = F.col("returned") * 100 / F.nullif(F.col("ordered"), F.lit(0))
     rows = (sums.join(returned, "product_id", "left")
             .join(star.products.select("product_id", "product_name"), "product_id")
             .groupBy("product_name")
@@ -125,9 +125,10 @@ def most_returned_name(star: Star, more_than: int = 20) -> DataFrame:
                  F.coalesce(F.sum("return_count"), F.lit(0)).cast("decimal(20,0)")
                  .alias("returned"))
             .where(F.col("ordered") > more_than)
-            .select("product_name", rate.alias("rate"))
-            .orderBy(F.desc("rate"), "product_name").limit(1).where("rate > 0"))
-    return _insight(rows, 8, "Product", F.round("rate", 1), F.col("product_name"),
+            .where("returned > 0")
+            .orderBy(F.desc(F.col("returned") / F.col("ordered")), "product_name").limit(1)
+            .select("product_name", pct(F.col("returned"), F.col("ordered"), 1).alias("rate")))
+    return _insight(rows, 8, "Product", F.col("rate"), F.col("product_name"),
                     " has the highest return rate at ", _one(F.col("rate")),
                     "% among frequently ordered products.")
 

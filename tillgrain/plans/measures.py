@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillgrain.functions.dates import month_label, month_of
 from tillgrain.functions.labels import margin_band
-from tillgrain.functions.ratios import divide_or_zero, or_zero
+from tillgrain.functions.ratios import or_zero, pct, per
 from tillgrain.operators.scope import Filters, enriched_orders, scoped_orders, where_all
 from tillgrain.sources.star import Star
 
+PLACES = 6
+
 
 def _sums() -> dict[str, Column]:
     revenue, profit, orders = F.sum("revenue"), F.sum("profit"), F.count(F.lit(1))
     return {
         "total_revenue": revenue,
         "total_profit": profit,
-        "profit_margin_pct": divide_or_zero(profit, revenue) * 100,
+        "profit_margin_pct": or_zero(pct(profit, revenue, PLACES)),
         "total_orders": orders,
-        "average_order_value": divide_or_zero(revenue, orders),
+        "average_order_value": or_zero(per(revenue, orders, PLACES)),
     }
 
 
@@ -53,13 +55,20 @@ def _months(star: Star, by: list[str] | None, filters: Filters | None) -> DataFr
 
 def _with_earlier(star: Star, back: int, name: str, by: list[str] | None,
                   filters: Filters | None) -> DataFrame:
-    """Each month beside the revenue of the month ``back`` calendar months earlier, null where there
-    was none."""
+    """Each calendar month beside the revenue of the month ``back`` months earlier. A group has a row
+    for every month of the calendar in which one of the two exists; the other one is then null. The
+    two meet by grouping, so that a group without a name meets itself as well."""
+    by = by or []
     months = _months(star, by, filters)
-    keys = [*(by or []), "month"]
-    earlier = months.select(*(by or []), F.add_months("month", back).alias("month"),
-                            F.col("revenue").alias(name))
-    return months.join(earlier, keys, "left").orderBy(*keys)
+    nothing = F.lit(None).cast("decimal(24,2)")
+    earlier = months.select(*by, F.add_months("month", back).alias("month"),
+                            nothing.alias("revenue"), F.col("revenue").alias(name))
+    calendar = (star.date_dimension.select(month_of("date").alias("month")).distinct()
+                .unionAll(months.select("month").distinct()))
+    return (months.withColumn(name, nothing).unionByName(earlier).groupBy(*by, "month")
+            .agg(*[F.sum(c).cast("decimal(24,2)").alias(c) for c in ("revenue", name)])
+            .join(calendar, "month", "left_semi").select(*by, "month", "revenue", name)
+            .orderBy(*by, "month"))
 
 
 def year_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters | None = None
@@ -70,7 +79,7 @@ def year_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters |
 def year_on_year_growth(star: Star, by: list[str] | None = None, filters: Filters | None = None
                         ) -> DataFrame:
     prior = F.col("yoy_revenue")
-    growth = divide_or_zero(F.col("revenue") - or_zero(prior), prior) * 100
+    growth = or_zero(pct(or_zero(F.col("revenue")) - prior, prior, PLACES))
     return year_ago_revenue(star, by, filters).select(*(by or []), "month",
                                                       growth.alias("revenue_growth_yoy"))
 
@@ -85,17 +94,16 @@ def customer_retention(star: Star, by: list[str] | None = None, filters: Filters
                        ) -> DataFrame:
     """Per month: buyers who also bought the month before, over all buyers.
 
-    The two sets meet in an equi-join on (customer, month), an intersection per month.
+    Orders are reduced to one row per (group, customer, month) first, so the window over a customer
+    holds at most a row per calendar month.
     """
     by = by or []
     buyers = (enriched_orders(star, filters, sorted({*by, "customer_id", "order_date"}))
               .select(*by, "customer_id", month_of("order_date").alias("month")).distinct())
-    before = buyers.select(*by, "customer_id", F.add_months("month", 1).alias("month"),
-                           F.lit(1).alias("stayed"))
-    kept = F.count("stayed").cast("decimal(20,0)")
-    share = divide_or_zero(kept, F.count(F.lit(1))) * 100
-    return (buyers.join(before, [*by, "customer_id", "month"], "left").groupBy(*by, "month")
-            .agg(F.round(share, 6).alias("customer_retention_pct")).orderBy(*by, "month"))
+    before = F.lag("month").over(Window.partitionBy(*by, "customer_id").orderBy("month"))
+    share = or_zero(pct(F.count_if("stayed"), F.count(F.lit(1)), PLACES))
+    return (buyers.withColumn("stayed", before == F.add_months("month", -1)).groupBy(*by, "month")
+            .agg(share.alias("customer_retention_pct")).orderBy(*by, "month"))
 
 
 # ---- measures over other tables
@@ -111,17 +119,16 @@ def target_achievement(star: Star, by: list[str] | None = None, filters: Filters
               .agg(F.sum("revenue").alias("revenue")))
     staff = where_all(star.employees, filters.on_employees()).select(
         *dict.fromkeys(["employee_id", *by]))
-    share = divide_or_zero(F.sum("revenue").cast("decimal(24,2)"),
-                           F.sum("planned").cast("decimal(24,2)")) * 100
+    share = or_zero(pct(F.sum("revenue"), F.sum("planned"), PLACES))
     return (staff.join(planned, "employee_id", "left").join(actual, "employee_id", "left")
-            .groupBy(*by).agg(F.round(share, 6).alias("target_achievement_pct")))
+            .groupBy(*by).agg(share.alias("target_achievement_pct")))
 
 
 def customer_churn(star: Star, by: list[str] | None = None, filters: Filters | None = None
                    ) -> DataFrame:
     """Predicted leavers over all predictions, per group of customer attributes."""
-    lost = F.count_if(F.col("churn_prediction") == 1).cast("decimal(20,0)")
-    share = F.round(divide_or_zero(lost, F.count(F.lit(1))) * 100, 6)
+    lost = F.count_if(F.col("churn_prediction") == 1)
+    share = or_zero(pct(lost, F.count(F.lit(1)), PLACES))
     scores = star.churn
     if by or (filters and filters.on_customers()):
         scores = scores.join(_listed(star, filters).select(
@@ -134,9 +141,9 @@ def revenue_per_customer(star: Star, by: list[str] | None = None, filters: Filte
     """Revenue over the customers of the dimension, buyers or not."""
     bought = (scoped_orders(star, filters).groupBy("customer_id")
               .agg(F.sum("revenue").alias("revenue")))
-    share = divide_or_zero(F.sum("revenue").cast("decimal(24,2)"), F.count(F.lit(1)))
+    share = or_zero(per(F.sum("revenue"), F.count(F.lit(1)), PLACES))
     return (_listed(star, filters).join(bought, "customer_id", "left").groupBy(*(by or []))
-            .agg(F.round(share, 6).alias("revenue_per_customer")))
+            .agg(share.alias("revenue_per_customer")))
 
 
 def with_order_month(orders: DataFrame) -> DataFrame:

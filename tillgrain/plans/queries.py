@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillgrain.functions.dates import as_of_column, month_of
 from tillgrain.functions.labels import discount_band
-from tillgrain.functions.ratios import growth_pct, mean_of, or_zero, pct
+from tillgrain.functions.ratios import growth_pct, mean_of, or_zero, pct, per
 from tillgrain.operators.ordering import with_ntile, with_rank
 from tillgrain.operators import rfm
 from tillgrain.operators.rollup import by_attribute, by_key, returns_by, sold
@@ -121,14 +121,10 @@ def repeat_customers(star: Star) -> DataFrame:
 def order_value_by_segment(star: Star) -> DataFrame:
     keyed = by_attribute(sold(star.orders), star.customers, "customer_id", ["customer_segment"],
                          ["revenue", "orders"])
-    return keyed.select("customer_segment", _mean(F.col("revenue"), F.col("orders"))
+    return keyed.select("customer_segment", per(F.col("revenue"), F.col("orders"))
                         .alias("avg_order_value"))
 
 
-def _mean(total: Column, count: Column) -> Column:
-    return F.round(total / F.nullif(count, F.lit(0)), 2)
-
-
 def running_revenue(star: Star) -> DataFrame:
     upto = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (monthly(sold(star.orders), "revenue")
