@@ -74,6 +74,42 @@ def test_the_filters_lose_no_block():
         assert ready.matches(block) == pytest.approx(brute)
 
 
+def test_wrapped_and_commented_notices_are_blocks(documents):
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are "
+           "permitted provided that the following conditions are met:")
+    draw = random.Random(11)
+    texts = [bsd, "x = 1\n\n" + bsd + "\n\ny = 2", bsd.replace("without\n", "without\n\n")]
+    for label in sorted(licenses.TEMPLATES):
+        words = licenses.TEMPLATES[label].split()
+        for mark in ("", "# ", " * ", "// "):
+            at = sorted(draw.sample(range(1, len(words)), min(3, len(words) - 1)))
+            lines = [mark + " ".join(words[a:b]) for a, b in zip([0, *at], [*at, len(words)])]
+            drop = draw.choice([0, 0, 1])
+            texts.append("\n".join(["import os", mark.rstrip(), *lines[drop:], mark.rstrip(), "end"]))
+    rows = {r["doc_id"]: r for r in licenses.scan(documents(list(enumerate(texts)))).collect()}
+    sets = {label: set(licenses.words_of(t.encode())) for label, t in licenses.TEMPLATES.items()}
+    for n, text in enumerate(texts):
+        lines = [set(licenses.words_of(line.encode())) for line in text.split("\n")]
+        blocks = [(k, {k}, words) for k, words in enumerate(lines)]
+        for a in range(len(lines)):
+            for b in range(a + 2, len(lines) + 1):
+                if all(lines[a:b]) and not (a and lines[a - 1]) and not (lines[b:] and lines[b]):
+                    blocks.append((a, set(range(a, b)), set().union(*lines[a:b])))
+        met = {(label, k, frozenset(own)) for k, own, words in blocks for label, t in sets.items()
+               if len(t & words) >= 0.9 * len(t) - 1e-9}
+        row = rows[n]
+        assert set(row["labels"].split(",")) - {""} == \
+            {label for label, _, _ in met} | set(row["base_labels"].split(",")) - {""}
+        assert row["blocks"] == sorted({k for label, k, own in met if len(own) == 1 or not any(
+            label == other and len(one) == 1 and one < own for other, _, one in met)})
+        if not row["n_base"]:
+            assert row["score"] == pytest.approx(max([len(sets[label] & words) / len(sets[label])
+                for label in sets for _, _, words in blocks
+                if len(sets[label] & words) >= 0.9 * len(sets[label]) - 1e-9], default=0))
+    assert rows[0]["labels"] == rows[1]["labels"] == "bsd-notice" and rows[2]["labels"] == ""
+    assert rows[0]["blocks"] == [0] and rows[1]["blocks"] == [2]
+
+
 def edits(pattern, text):
     """Fewest edits between the pattern and a part of the text, by the plain table."""
     row = list(range(len(pattern) + 1))

@@ -1,7 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, as the set of its words; a template meets it if the block holds at least
-``threshold`` of the template's distinct words. Words are ordered by how many blocks of the corpus
+A block is a line of a text or a paragraph, as the set of its words; a template meets it if the block
+holds at least ``threshold`` of the template's distinct words. A paragraph is a run of two lines or more
+that hold words, so that a wrapped notice is one block; the marks of a comment are no words, so a line
+of nothing else ends a paragraph as an empty one does. Words are ordered by how many blocks of the corpus
 hold them, rarest first. A block that meets a template of m words with at least o of them holds one
 of the template's first m - o + 1 words (prefix filter), has o words or more (length filter), and
 after its first common word at place i of the template at most m - i - 1 more can follow (positional
@@ -112,8 +114,12 @@ def _counts(batches: Iterator[pa.RecordBatch], vocabulary: frozenset) -> Iterato
     seen: Counter = Counter()
     for batch in batches:
         for text in batch.column(0):
-            for line in text.as_py().encode().translate(TO_LINES).split(b"\n"):
-                seen.update(vocabulary.intersection(line.split()))
+            for _, lines in runs_of_lines(text.as_py().encode().translate(TO_LINES)):
+                held = [vocabulary.intersection(line) for line in lines]
+                for block in held:
+                    seen.update(block)
+                if len(held) > 1:
+                    seen.update(frozenset().union(*held))
     yield pa.RecordBatch.from_pydict({
         "word": pa.array([w.decode() for w in seen], pa.string()),
         "blocks": pa.array(list(seen.values()), pa.int64())})
@@ -123,6 +129,20 @@ def _counts(batches: Iterator[pa.RecordBatch], vocabulary: frozenset) -> Iterato
 TO_LINES = TO_WORDS[:10] + b"\n" + TO_WORDS[11:]
 
 
+def runs_of_lines(body: bytes) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """The runs of lines that hold words: the number of the first line, and each line's words."""
+    run: list[list[bytes]] = []
+    number = -1
+    for number, line in enumerate(body.split(b"\n")):
+        if words := line.split():
+            run.append(words)
+        elif run:
+            yield number - len(run), run
+            run = []
+    if run:
+        yield number + 1 - len(run), run
+
+
 def block_frequency(docs: DataFrame, templates: dict[str, str], text: str = "text",
                     ) -> dict[bytes, int]:
     """In how many blocks of all documents each word of the templates stands; as many rows reach the
@@ -154,7 +174,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
          base: dict[str, str] = BASE, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: its words, the places of base phrases, the labels of phrases and templates, the
     largest share of a template that a block holds (1 for a phrase), and the numbers of the lines
-    that meet a template."""
+    that meet a template; a paragraph counts by its first line where it meets one that none of its
+    lines meets."""
     ready = Templates(templates, threshold, block_frequency(docs, templates, text))
     phrases = [(words_of(p.encode()), label) for p, label in base.items()]
 
@@ -171,11 +192,17 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
                         starts += at
                         base_labels.add(label)
                 if not held.isdisjoint(ready.prefix_words):
-                    for number, line in enumerate(body.split(b"\n")):
-                        if shares := ready.matches(set(line.split())):
-                            lines.append(number)
-                            for label, share in shares.items():
-                                met[label] = max(share, met.get(label, 0.0))
+                    for number, run in runs_of_lines(body):
+                        # A paragraph holds what its lines hold: if it meets nothing, none does.
+                        whole = ready.matches({w for line in run for w in line})
+                        for label, share in whole.items():
+                            met[label] = max(share, met.get(label, 0.0))
+                        if whole:
+                            each = [ready.matches(set(line)) for line in run]
+                            if whole.keys() - set().union(*each):
+                                lines.append(number)
+                            lines += [number + n for n, shares in enumerate(each)
+                                      if shares and number + n not in lines[-1:]]
                 rows.append((doc_id, len(words), len(starts), min(starts, default=None),
                              max(starts, default=None), ",".join(sorted(base_labels)),
                              ",".join(sorted(base_labels | set(met))),
