@@ -185,6 +185,24 @@ def test_main_text_of_pages(spark):
     assert all(n == len(t) for _, t, n in got)
 
 
+@pytest.mark.parametrize("tag,kept", [
+    ('<p class="x"">', True), ("<p title=Don't>", True), ("<p data-a='b'' c>", True),
+    ('<p title=a="b>', True), ('<p "quoted" x>', True), ("<p title='5 > 4'>", True),
+    ('<p title="The hidden cost of sugar">', True), ('<p class="mb-4 hidden md:block">', True),
+    ('<p title="aria-hidden=true display:none id=ad">', True), ('<section id="related-work">', True),
+    ('<section id="search">', True), ('<h2 id="navigation">', True),
+    ('<div class="section" id="notice">', True), ("<p title = 'x' hidden>", False),
+    ('<p HIDDEN="">', False), ("<p aria-hidden=true>", False), ('<p style="display: none">', False),
+    ('<section class="related-posts">', False), ("<section role=search>", False),
+    ('<div id="comments">', False), ("<div class=ad>", False)])
+def test_an_article_keeps_its_passages(tag, kept):
+    name = re.match(r"<(\w+)", tag)[1]
+    page = (f"<body><div>Menu</div><article><p>Before it.</p>{tag}Passage of it.</{name}>"
+            "<p>What \"they\" don't say.</p></article><div id='comments'>First</div></body>")
+    wanted = ["Before it.", *["Passage of it."] * kept, 'What "they" don\'t say.']
+    assert html_text.main_text(page, html_text.DEFAULT) == "\n\n".join(wanted)
+
+
 def test_the_best_run_is_the_best_of_all_runs():
     draw = random.Random(2)
     for _ in range(100):

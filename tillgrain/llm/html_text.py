@@ -47,13 +47,17 @@ BLOCK_TAGS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option "
     "p pre section summary table tbody tfoot thead tr ul title head script style noscript".split())
 SPACE_TAGS = frozenset("br td th img wbr".split()) - {"wbr"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: An attribute: a name and, after "=", its value. A quote opens only as the first of a value.
+VALUE = r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)"
+    rf"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE})?+)?+)*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({VALUE})?+)?+")
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW_TAGS}
-MARK = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 PARTS = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 DEFAULT = {"": 1.0, "p": -0.2, "b": -0.1, "i": -0.1, "em": -0.1, "strong": -0.1, "br": -0.1,
            "h1": -0.5, "h2": -0.5, "h3": -0.5, "a": -1.5, "li": -2.0, "div": -2.0, "span": -0.5}
 OTHER_TAG = -2.0
@@ -61,13 +65,29 @@ OTHER_TAG = -2.0
 SAMPLE_PAGES = 5_000
 
 
-def _marked(attributes: str) -> bool:
-    if not attributes.strip():
+def _attributes(source: str) -> dict[str, str]:
+    """The attributes of a tag; of those that repeat a name the first counts."""
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(source):
+        if value[:1] in ("'", '"'):
+            value = value[1:].removesuffix(value[0])
+        found.setdefault(name.lower(), value)
+    return found
+
+
+def _marked(tag: str, source: str, inside: bool) -> bool:
+    """Whether the attributes mark an element that is no article text. Inside of an article the id of
+    a section or a heading is an anchor made of its title, and marks nothing."""
+    if not source.strip():
         return False
-    if HIDDEN.search(attributes):
+    own = _attributes(source)
+    if "hidden" in own or own.get("aria-hidden", "").strip().lower() == "true" \
+            or HIDDEN.search(own.get("style", "")):
         return True
-    for _, value in MARK.findall(attributes):
-        for word in value.strip("\"'").lower().split():
+    anchor = inside and (tag == "section" or tag in HEADINGS
+                         or "section" in own.get("class", "").lower().split())
+    for name in ("class", "role") if anchor else ("class", "id", "role"):
+        for word in own.get(name, "").lower().split():
             if word in JUNK_WORDS or JUNK_WORDS.intersection(re.split(r"[-_]", word)[:1]) \
                     or any(part in JUNK_WORDS for part in re.split(r"[-_]", word)[-1:]):
                 return True
@@ -119,7 +139,7 @@ class Page:
             inside = any(name in CONTENT_TAGS for name, _, _ in stack)
             bad = tag in JUNK_TAGS and not (tag == "header" and inside)
             if not bad and tag not in CONTENT_TAGS and tag not in ("html", "body"):
-                bad = _marked(attributes)
+                bad = _marked(tag, attributes, inside)
             junk = junk or bad
             if tag in RAW_TAGS:
                 end = RAW_END[tag].search(source, at)
