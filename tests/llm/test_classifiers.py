@@ -43,6 +43,25 @@ def test_held_out_documents_are_judged_right(spark, documents, planted):
     assert len(wrong) <= 10 and {900, 901, None} <= set(left)
 
 
+def test_few_labels_beside_many_documents(spark, documents, planted, monkeypatch):
+    """The size bounds labelled documents only, and all others are judged in every round."""
+    texts, labels = planted
+    known = spark.createDataFrame(labels[:60], LABEL)
+    docs = documents(texts)
+    read, plain = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, *more: (
+        read.append(sorted(r[0] for r in rows.select(more[1]).collect())), plain(rows, *more))[1])
+    model = quality.learn(docs, known, size=60)
+    bad = sum(not q for _, q, _ in labels[:60])
+    aside = len(read[-1])
+    assert len(read[0]) + aside == 60
+    assert read[0].count(0) + read[-1].count(0) == bad
+    # The metadata are taught by the texts, which are sure of nearly all of the 540.
+    assert len(read[3]) > 400 and len(read[5]) > 400
+    kept = {r["doc_id"] for r in quality.good_ones(docs, model).collect()}
+    assert sum((i in kept) != bool(q) for i, q, _ in labels[60:]) <= 10
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, None, None)], [(77, 0, 1)]])
 def test_without_labels_of_both_kinds(spark, documents, labels):
     docs = documents([(1, "some words here"), (2, None), (1, "some words here")])

@@ -5,8 +5,9 @@ that it is sure of for the other, which is fitted again with them. On labelled d
 the margins of both are calibrated and a last model learns how much each view counts; it scores all
 documents.
 
-The sample is about ``SAMPLE_DOCS`` documents, labelled or not, taken by a hash of the id; every
-fourth labelled one is kept aside. Labels of several rows for one id: the lowest quality counts; null
+Of the labelled documents about ``SAMPLE_DOCS`` are taken by a hash of the id, all of them if they are
+fewer; every fourth one is kept aside. How many documents have no label changes nothing about that, and
+in every round both views judge all of those, with the exception of documents without an id. Labels of several rows for one id: the lowest quality counts; null
 labels are passed over. Of documents that repeat an id one is learned from, all are scored. Null and
 empty texts count as no words; metadata that is null is a value of its own. Without labels of both
 kinds all documents get the same score, and are kept unless the only label is 0. Extra columns stay
@@ -32,6 +33,8 @@ from tillgrain.llm.tables import query, table, whole_text
 from tillgrain.session import pin
 
 SAMPLE_DOCS = 16_000
+#: Unlabelled documents that one task of a fit reads.
+TASK_ROWS = 20_000
 ROUNDS = 2
 SURE = 0.95
 LANGUAGES, SOURCES = 16, 64
@@ -83,11 +86,6 @@ def metadata_view(lang: pa.Array, source: pa.Array, chars: pa.Array) -> pa.Array
         lang.to_pylist(), source.to_pylist(), chars.to_pylist())], pa.list_(pa.float64()))
 
 
-def _views(text: str) -> tuple[Column, Column]:
-    return content_view(whole_text(text)), metadata_view(
-        F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long"))
-
-
 @dataclass(frozen=True)
 class Cotrained:
     content: Linear
@@ -97,24 +95,37 @@ class Cotrained:
     combined: Linear
 
 
-def _sample(docs: DataFrame, labels: DataFrame, size: int, text: str) -> DataFrame:
-    share = min(1.0, size / max(docs.count(), 1))
-    here = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    content, metadata = _views(text)
-    given = (labels.where("quality is not null").where(here).groupBy("doc_id")
+def _documents(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
+    """One row per id with both views, and the label or null."""
+    given = (labels.where("quality is not null and doc_id is not null")
+             .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.min(F.col("quality").cast("int")).alias("label")))
-    return (docs.where("doc_id is not null").where(here)
-            .select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content"),
-                    metadata.alias("metadata"))
+    return (docs.where("doc_id is not null")
+            .select(F.col("doc_id").cast("long").alias("doc_id"),
+                    content_view(whole_text(text)).alias("content"),
+                    F.col("lang").cast("string").alias("lang"),
+                    F.col("source").cast("string").alias("source"),
+                    F.col("n_chars").cast("long").alias("n_chars"))
             .dropDuplicates(["doc_id"]).join(given, "doc_id", "left")
-            .withColumn("aside", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0))
+            .select("doc_id", "content", metadata_view("lang", "source", "n_chars").alias("metadata"),
+                    "label"))
+
+
+def _in_tasks(rows: DataFrame, count: int) -> DataFrame:
+    return rows.coalesce(max(SAMPLE_TASKS, -(-count // TASK_ROWS)))
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", size: int = SAMPLE_DOCS,
           rounds: int = ROUNDS, sure: float = SURE) -> Cotrained:
-    pool = pin(_sample(docs, labels, size, text).coalesce(SAMPLE_TASKS))
-    known = pool.where("label is not null and not aside")
-    open_ = pool.where("label is null")
+    every = pin(_documents(docs, labels, text))
+    counts = every.agg(F.count("label").alias("labelled"), F.count(F.lit(1)).alias("all")).first()
+    share = min(1.0, size / max(counts["labelled"], 1))
+    taken = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    pool = pin(every.where(F.col("label").isNotNull() & taken)
+               .withColumn("aside", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0)
+               .coalesce(SAMPLE_TASKS))
+    known = pool.where("not aside").drop("aside")
+    open_ = _in_tasks(every.where("label is null"), counts["all"] - counts["labelled"])
     content = fit(known, "content", "label", CONTENT)
     metadata = fit(known, "metadata", "label", METADATA)
     edge = float(np.log(sure / (1 - sure)))
@@ -128,7 +139,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", size: int = SA
         by_content, by_metadata = taught(content, "content"), taught(metadata, "metadata")
         content = fit(known.unionByName(by_metadata), "content", "label", CONTENT)
         metadata = fit(known.unionByName(by_content), "metadata", "label", METADATA)
-    held = pin(pool.where("label is not null and aside").select(
+    held = pin(pool.where("aside").select(
         "label", F.array(margin_of(content, "content")).alias("a"),
         F.array(margin_of(metadata, "metadata")).alias("b")))
     calibrated = fit(held, "a", "label", 1), fit(held, "b", "label", 1)
