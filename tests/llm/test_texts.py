@@ -164,6 +164,35 @@ def test_leaks_with_their_characters(documents, spark):
     assert many.count() == len(found)
 
 
+def test_short_items_are_found_as_whole_words(documents, spark, caplog):
+    items = [(1, "Who wrote Emma?"), (2, "E = mc^2"), (3, "今天天气怎么样？"), (4, "ha ha"), (5, "?! -"),
+             (6, None), (7, "Solve for x: 3x + 5 = 20"), (8, "one more item of 24 chars or so")]
+    texts = ["He asks: who  WROTE emma", "who wrote emmaline", "awho wrote emma", "so E=mc^2 holds",
+             "e mc 22", "他问：今天天气怎么样。", "ha, ha! ha", "who wrote emna", "?! -", None,
+             "solve for x 3x 5 21", "Solve for X, 3x+5=20.", "one more item of 24 charz or so"]
+    marks = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents(list(enumerate(texts)))
+    want = []
+    for n, text in enumerate(texts):
+        words = decontaminate.normal(text or "").split()
+        for i, item in items[:-1]:
+            own = decontaminate.normal(item or "").split()
+            want += [(n, i, 0) for a in range(len(words)) if own and words[a:a + len(own)] == own]
+    want.append((12, 8, 1))
+    with caplog.at_level("WARNING"):
+        found = decontaminate.find_leaks(docs, marks).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in found) == sorted(want)
+    assert {(0, 1), (3, 2), (5, 3), (6, 4), (11, 7)} <= {(n, i) for n, i, _ in want}
+    assert "2 items without any word" in caplog.text
+    for r in found:
+        if r["item_id"] != 8:
+            assert decontaminate.normal(texts[r["doc_id"]][r["start"]:r["end"]]) == \
+                decontaminate.normal(dict(items)[r["item_id"]])
+    left = {r["doc_id"] for r in decontaminate.without_leaks(docs, marks).collect()}
+    assert left == set(range(len(texts))) - {n for n, _, _ in want}
+    assert decontaminate.item_counts(marks) == {"edits": 1, "exact": 5, "none": 2}
+
+
 PAGE = ("<html><head><title>T</title></head><body><nav><ul><li><a>Home</a></li></ul></nav>"
         "<div class='ad'>Buy now</div><article><h1>A &amp; B</h1><p>One  two\nthree four <b>five</b>"
         "<br>six<p>Seven eight nine ten</p><form>Name</form></article>"

@@ -6,16 +6,17 @@ it stands with k edits or fewer, one piece stands unchanged. All pieces of all i
 once (Aho-Corasick), and the text around a hit is verified with Myers' bit-parallel distance.
 
 Items go to the executors in blocks of bounded size, one pass over the documents for each block.
-Items shorter than ``min_chars`` can't be told from chance and aren't searched. Null and empty texts
-match nothing; rows that repeat a document or an item match each; empty tables give no matches. Rows
+Items shorter than ``min_chars`` are searched without edits and as whole words only. Null and empty texts
+and items without any word match nothing; of the latter the number is logged, and ``item_counts`` gives it; rows that repeat a document or an item match each; empty tables give no matches. Rows
 of the benchmark without an id are searched and reported with a null id.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from bisect import bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -28,7 +29,9 @@ from pyspark.sql.functions import arrow_udf
 from tillgrain.llm.tables import query, table, whole_text
 from tillgrain.session import pin
 
+log = logging.getLogger(__name__)
 RATE = 0.05
+#: Characters from which an item may stand with edits.
 MIN_CHARS = 24
 #: Characters of the items that one pass over the documents takes along.
 BLOCK_CHARS = 8_000_000
@@ -78,7 +81,8 @@ class Items:
     """Pieces of a block of items, ready to search."""
 
     def __init__(self, items: tuple[tuple[int, str], ...], rate: float, min_chars: int):
-        self.items = [(i, t, int(rate * len(t))) for i, t in items if len(t) >= min_chars]
+        self.items = [(i, t, int(rate * len(t)) if len(t) >= min_chars else 0) for i, t in items if t]
+        self.exact = {n for n, (_, t, _) in enumerate(self.items) if len(t) < min_chars}
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for n, (_, text, k) in enumerate(self.items):
             cuts = [len(text) * j // (k + 1) for j in range(k + 2)]
@@ -96,8 +100,14 @@ class Items:
         if not self.items:
             return []
         windows: dict[int, list[list[int]]] = defaultdict(list)
+        found = []
         for last, (length, where) in self.tree.iter(text):
             for n, offset in where:
+                if n in self.exact:
+                    a, b = last + 1 - length, last + 1
+                    if text[a - 1:a] in ("", " ") and text[b:b + 1] in ("", " "):
+                        found.append((n, a, b, 0))
+                    continue
                 _, item, k = self.items[n]
                 start = last + 1 - length - offset
                 span = [max(0, start - k), min(len(text), start + len(item) + k)]
@@ -106,8 +116,8 @@ class Items:
                     own[-1] = [min(own[-1][0], span[0]), max(own[-1][1], span[1])]
                 else:
                     own.append(span)
-        return [(n, *place) for n, spans in windows.items() for a, b in _merged(spans)
-                for place in self._places(n, text, a, b)]
+        return found + [(n, *place) for n, spans in windows.items() for a, b in _merged(spans)
+                        for place in self._places(n, text, a, b)]
 
     def _places(self, n: int, text: str, a: int, b: int) -> Iterator[tuple[int, int, int]]:
         """The best place in the window, then what lies before and after it."""
@@ -171,11 +181,26 @@ def item_blocks(benchmark: DataFrame, id: str = "item_id", text: str = "text",
                              whole_text(text).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
+    bare = 0
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = part.orderBy("item_id", "text").collect()
         if rows:
-            yield tuple((r["item_id"], normal(r["text"])) for r in rows)
+            made = tuple((r["item_id"], normal(r["text"])) for r in rows)
+            bare += sum(not t for _, t in made)
+            yield made
+    if bare:
+        log.warning("%d items without any word are not searched", bare)
+
+
+def item_counts(benchmark: DataFrame, id: str = "item_id", text: str = "text",
+                min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> dict[str, int]:
+    """How many items are searched with edits, how many exactly, and how many hold no word."""
+    counts = Counter({"edits": 0, "exact": 0, "none": 0})
+    for items in item_blocks(benchmark, id, text, block_chars):
+        counts.update("none" if not t else "exact" if len(t) < min_chars else "edits"
+                      for _, t in items)
+    return dict(counts)
 
 
 def add_matches(docs: DataFrame, items: tuple, text: str, into: str, rate: float,
