@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 from collections import Counter, defaultdict
+from math import isqrt
 
 import numpy as np
 import pytest
@@ -170,6 +171,30 @@ def test_top_k_is_exact(spark, shard_rows, block):
     assert got == want
 
 
+@pytest.mark.parametrize("shard_rows,block", [(8192, 2048), (9, 2)])
+def test_top_k_of_repeated_queries_and_large_components(spark, shard_rows, block):
+    draw = random.Random(12)
+    side = isqrt((2**63 - 1) // 2) / 1024  # two of them stay just within a long
+    rows = [(n, [draw.uniform(-2, 2) for _ in range(4)]) for n in range(60)]
+    rows += [rows[0], rows[0], (10, [1.5, -1.0, 0.25, 0.0]), (10, [-0.5, 2.0, 1.0, 1.0]), rows[10]]
+    rows += [(70 + n, [draw.choice([-1, 1]) * draw.uniform(16_384, 1e6) for _ in range(4)])
+             for n in range(20)]
+    rows += [(80, rows[-1][1]), (101, [side, side]), (102, [-side, side]), (103, [side, -side, 0.5, 0.0]),
+             (110, [side, side]), (120, [side, side, 128.0]), (121, [0.0, 2966136.0]), (122, [1e300])]
+    whole = [(i, [int(np.floor(x * 1024)) for x in v] + [0] * (4 - len(v))) for i, v in rows]
+    whole = [(i, v) for i, v in whole if sum(x * x for x in v) < 2**63]
+    assert not {120, 121, 122} & {i for i, _ in whole} and {101, 102, 103} <= {i for i, _ in whole}
+    want = Counter()
+    for q, a in whole:
+        if q % 10 == 0:
+            hits = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q)[:10]
+            want.update((q, n + 1, i, -s) for n, (s, i) in enumerate(hits))
+    ready = maxscore.integers(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = maxscore.top_k(ready, ready.where("vec_id % 10 = 0"), 10, shard_rows, block)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert Counter(map(tuple, got.collect())) == want
+
+
 def test_top_k_of_few_rows(spark):
     ready = maxscore.integers(vectors(spark, [(0, [1.0], 1), (3, [-2.0], 1)]))
     got = maxscore.top_k(ready, ready.where("vec_id = 0")).collect()
