@@ -56,6 +56,53 @@ def test_failing_rules_publish_nothing(spark, star, tmp_path):
     assert not os.path.exists(f"{tmp_path}/out")
 
 
+def planted(star, path, values):
+    """The star's files, with texts in place of amounts of orders: order id, column, text."""
+    tables = star.tables()
+    orders = tables["orders"]
+    for order_id, column, text in values:
+        orders = orders.withColumn(column, F.when(F.col("order_id") == order_id, F.lit(text))
+                                   .otherwise(F.col(column).cast("string")))
+    tables["orders"] = orders
+    write_csv(Star(**tables), path)
+
+
+def test_amounts_are_judged_as_they_are_delivered(spark, star, tmp_path):
+    planted(star, f"{tmp_path}/in", [
+        ("O1", "discount", "15"), ("O2", "discount", "-20"), ("O3", "revenue", "-1234567890123456.5"),
+        ("O4", "quantity", "-2.5"), ("O5", "quantity", "-3000000000"), ("O6", "quantity", "2.5")])
+    report = by(etl.judge_delivered(spark, f"{tmp_path}/in", f"{tmp_path}/reports"), "Rule")
+    failed = {rule: r["Failed Records"] for rule, r in report.items()}
+    assert failed["Discount outside [0,1] range"] == 2
+    assert failed["Negative revenue"] == 1 and failed["Negative or zero quantity"] == 2
+    assert failed["Missing values in orders"] == 0
+
+
+@pytest.mark.parametrize("column,text", [
+    ("discount", "15"), ("revenue", "1234567890123456.5"), ("quantity", "2.5")])
+def test_a_value_that_cannot_be_stored_stops_the_load(spark, star, tmp_path, column, text):
+    planted(star, f"{tmp_path}/in", [("O1", column, text)])
+    with pytest.raises(flatfiles.UnfitValue, match=f"1 in {column}"):
+        etl.run_load(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/reports", "2024-06-01")
+    assert not os.path.exists(f"{tmp_path}/out")
+
+
+def test_a_load_reads_quoted_line_breaks(spark, star, tmp_path):
+    for table, df in star.tables().items():
+        if table in flatfiles.SOURCE_TABLES and table != "customers":
+            df.write.option("header", True).csv(f"{tmp_path}/in/{table}.csv")
+    names = flatfiles.as_delivered("customers").names
+    with open(f"{tmp_path}/in/customers.csv", "w") as out:
+        out.write(",".join(names) + "\n" + "".join(
+            f'C{n},"Ann\nLee",a@x.com,c,s,North,Consumer,2023-01-15,Active\n' for n in (1, 2, 3)))
+    loaded = etl.run_load(spark, f"{tmp_path}/in", f"{tmp_path}/out", None, "2024-06-01",
+                          multi_line=True)
+    assert {r["customer_name"] for r in loaded.customers.collect()} == {"Ann\nLee"}
+    report = by(etl.judge_delivered(spark, f"{tmp_path}/in", f"{tmp_path}/reports",
+                                    multi_line=True), "Rule")
+    assert report["Missing values in customers"]["Failed Records"] == 0
+
+
 def test_date_filter_reads_only_its_months(spark, star, tmp_path):
     warehouse.store_all(star.tables(), str(tmp_path))
     stored = warehouse.open_star(spark, str(tmp_path))

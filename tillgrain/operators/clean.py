@@ -51,7 +51,7 @@ def sound_amounts(orders: DataFrame) -> DataFrame:
 
 def with_profit(orders: DataFrame) -> DataFrame:
     return orders.withColumn(
-        "profit", F.round(F.col("revenue") - F.col("cost"), 2).cast("decimal(14,2)"))
+        "profit", F.round(F.col("revenue") - F.col("cost"), 2).try_cast("decimal(14,2)"))
 
 
 def clean_customers(raw: DataFrame, sequence: list[str]) -> DataFrame:

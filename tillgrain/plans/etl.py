@@ -10,34 +10,38 @@ from tillgrain.operators import clean
 from tillgrain.operators.quality import gate, quality_report
 from tillgrain.plans.views import register_views
 from tillgrain.session import pin, scratch_path
-from tillgrain.sources.flatfiles import SEQUENCE, read_all_delivered
+from tillgrain.sources.flatfiles import (JUDGED, SEQUENCE, narrowed, read_all_delivered,
+                                         to_stored_places)
 from tillgrain.sources.star import Star
 from tillgrain.sources.warehouse import load_table, open_star, store_all, write_report
 
 
 def run_load(spark: SparkSession, delivered: str, warehouse: str, reports: str | None = None,
-             as_of: dt.date | str | None = None) -> Star:
+             as_of: dt.date | str | None = None, multi_line: bool = False) -> Star:
     """Load delivered files into the warehouse folder and register the views.
 
     Cleaned rows are staged on shared storage, each table once, so that later tables, validation
     and load read files instead of repeating the cleaning. A failing rule raises before the
-    warehouse is touched.
+    warehouse is touched, and so does an amount that passes the rules and can't be stored.
+    Files with line breaks inside of quotes need ``multi_line``.
     """
-    staged = clean_and_stage(spark, read_all_delivered(spark, delivered))
+    raw = read_all_delivered(spark, delivered, multi_line, wide=True)
+    staged = clean_and_stage(spark, raw | {t: to_stored_places(raw[t], t) for t in JUDGED})
     report = pin(quality_report(staged, as_of))
     if reports:
         write_report(report.coalesce(1), reports, "data_quality_report")
     gate(report)
-    store_all(staged, warehouse)
+    store_all(staged | {t: narrowed(staged[t], t) for t in JUDGED}, warehouse)
     star = open_star(spark, warehouse)
     register_views(spark, star, as_of)
     return star
 
 
 def judge_delivered(spark: SparkSession, delivered: str, reports: str,
-                    as_of: dt.date | str | None = None) -> DataFrame:
+                    as_of: dt.date | str | None = None, multi_line: bool = False) -> DataFrame:
     """The quality rules on the files as they were delivered, without cleaning or loading."""
-    raw = {t: df.drop(*SEQUENCE) for t, df in read_all_delivered(spark, delivered).items()}
+    raw = {t: df.drop(*SEQUENCE)
+           for t, df in read_all_delivered(spark, delivered, multi_line, wide=True).items()}
     report = pin(quality_report(raw, as_of))
     write_report(report.coalesce(1), reports, "data_quality_report")
     return report

@@ -25,20 +25,58 @@ class MissingColumn(ValueError):
     """A source file lacks a required column."""
 
 
-def _typed(column: str, kind: T.DataType) -> Column:
+# Numbers of a table whose rules look at amounts are read in this type, so that a value that its
+# column can't store is judged as it is.
+WIDE = T.DecimalType(38, 12)
+JUDGED = ("orders",)
+
+
+class UnfitValue(ValueError):
+    """A delivered number passed the rules and can't be stored in its column."""
+
+
+def _typed(column: str, kind: T.DataType, wide: bool = False) -> Column:
     """The text as a value of its type; a text that is none becomes null and counts as missing."""
     text = F.when(~F.col(column).isin(*MISSING), F.col(column))
+    if wide and isinstance(kind, (T.IntegerType, T.DecimalType)):
+        return text.try_cast(WIDE).alias(column)
     if isinstance(kind, T.IntegerType):
         number = text.try_cast("decimal(20,4)")
         return F.when(number == F.floor(number), number.try_cast("int")).alias(column)
     return text.try_cast(kind).alias(column)
 
 
+def to_stored_places(df: DataFrame, table: str) -> DataFrame:
+    """Wide numbers, rounded to the places of the columns that will store them."""
+    kinds = {f.name: f.dataType for f in as_delivered(table).fields}
+    return df.select(*[
+        F.round(c, kinds[c].scale).cast(WIDE).alias(c)
+        if isinstance(kinds.get(c), T.DecimalType) else F.col(c) for c in df.columns])
+
+
+def narrowed(df: DataFrame, table: str) -> DataFrame:
+    """Wide numbers in the types of their columns; one that doesn't fit stops the job."""
+    def stored(c: str, kind: T.DataType) -> Column:
+        value = F.col(c)
+        if isinstance(kind, T.IntegerType):
+            return F.when(value == F.floor(value), value.try_cast(kind))
+        return value.try_cast(kind) if isinstance(kind, T.DecimalType) else value
+
+    kinds = {f.name: f.dataType for f in as_delivered(table).fields}
+    made = {c: stored(c, kinds[c]) for c in df.columns}
+    unfit = df.agg(*[F.count_if(F.col(c).isNotNull() & made[c].isNull()).alias(c)
+                     for c in df.columns]).first().asDict()
+    if any(unfit.values()):
+        raise UnfitValue(f"{table} has values that its columns can't store: "
+                         + ", ".join(f"{n} in {c}" for c, n in unfit.items() if n))
+    return df.select(*[value.alias(c) for c, value in made.items()])
+
+
 def read_delivered(spark: SparkSession, folder: str, table: str,
-                   multi_line: bool = False) -> DataFrame:
+                   multi_line: bool = False, wide: bool = False) -> DataFrame:
     """The file's columns, found by their names in the header, and the row sequence. A quote inside a
     quoted value is doubled. Files with line breaks inside of quotes need ``multi_line``; such a file
-    is read by one task."""
+    is read by one task. ``wide`` numbers have room for values that their columns can't store."""
     path = f"{folder.rstrip('/')}/{table}.csv"
     try:
         rows = (spark.read.option("header", True).option("escape", '"')
@@ -51,15 +89,17 @@ def read_delivered(spark: SparkSession, folder: str, table: str,
     lacking = sorted(set(schema.names) - set(rows.columns))
     if lacking:
         raise MissingColumn(f"{path} lacks the columns {lacking}")
-    return rows.select(*[_typed(f.name, f.dataType) for f in schema.fields],
+    return rows.select(*[_typed(f.name, f.dataType, wide) for f in schema.fields],
                        F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_block_start").alias("_block"),
                        F.monotonically_increasing_id().alias("_line"))
 
 
 def read_all_delivered(spark: SparkSession, folder: str,
-                       multi_line: bool = False) -> dict[str, DataFrame]:
-    return {table: read_delivered(spark, folder, table, multi_line) for table in SOURCE_TABLES}
+                       multi_line: bool = False, wide: bool = False) -> dict[str, DataFrame]:
+    """All files; ``wide`` holds for the tables that rules look into for amounts."""
+    return {table: read_delivered(spark, folder, table, multi_line, wide and table in JUDGED)
+            for table in SOURCE_TABLES}
 
 
 def export_csv(df: DataFrame, path: str) -> None:
