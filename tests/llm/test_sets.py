@@ -101,6 +101,49 @@ def test_the_tree_finds_all_pairs_that_the_bound_leaves():
         assert {tuple(sorted(p)) for p in found.tolist()} == want
 
 
+@pytest.mark.parametrize("size,most", [(1, 0), (4, 0), (5, 0), (6, 300), (10, 300)])
+def test_small_different_sets_hardly_meet(size, most):
+    draw = np.random.default_rng(7)
+    met = Counter(key for _ in range(3000) for key in jaccard.range_keys(
+        np.unique(draw.integers(0, 1 << 64, size, dtype=np.uint64)), 85).tolist())
+    assert sum(n * (n - 1) // 2 for n in met.values()) <= most
+
+
+def test_small_sets_that_link_meet():
+    draw = np.random.default_rng(8)
+    for percent in (50, 80, 85):
+        law = jaccard.Law(percent)
+        for _ in range(1500):
+            a = draw.integers(0, 1 << 64, draw.integers(1, 40), dtype=np.uint64)
+            b = np.append(a[draw.integers(0, 4):], draw.integers(0, 1 << 64, draw.integers(0, 4),
+                                                                dtype=np.uint64))
+            a, b = np.unique(a), np.unique(b)
+            if len(b) and not np.array_equal(a, b) \
+                    and len(np.intersect1d(a, b)) >= law.least(len(a), len(b)):
+                assert len(np.intersect1d(jaccard.range_keys(a, percent),
+                                          jaccard.range_keys(b, percent)))
+
+
+@pytest.mark.parametrize("apart", [1, 25])
+def test_members_of_the_largest_component_are_not_paired(spark, apart):
+    """One range with a component of 200 members and others, in tiles of 10."""
+    members = 200 + apart
+    shared = spark.createDataFrame([(5, n, 20, members + 1, 0, 20) for n in range(1, members + 1)],
+                                   "key bigint, rep bigint, size int, members bigint, least bigint, "
+                                   "least_size int")
+    roots = spark.createDataFrame([(n, 1) for n in range(1, 201)], "node bigint, root bigint")
+    points = shared.select("rep", "size").withColumnRenamed("size", "point")
+    tiles = defaultdict(list)
+    for r in jaccard._open_rows(shared, roots, points, 10).collect():
+        tiles[r["part_a"], r["part_b"]].append((r["rep"], r["part"]))
+    pairs = {tuple(sorted((u, v))) for (a, b), rows in tiles.items() for u, p in rows for v, q in rows
+             if u != v and (a == b or p != q)}
+    assert pairs >= {(u, v) for v in range(201, members + 1) for u in range(1, v)}
+    assert not any(u <= 200 and v <= 200 for u, v in pairs)
+    copies = -(-(apart + 1) // 10)
+    assert sum(map(len, tiles.values())) <= 200 * copies + apart * (20 + copies)
+
+
 def test_components_of_a_graph(spark):
     draw = random.Random(6)
     edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(150)]

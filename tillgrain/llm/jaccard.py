@@ -42,6 +42,8 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SLICE = 1 << 22
 #: Groups within a range of coordinates, with a random weight each: a range's counts as one number.
 RANGE_GROUPS = 256
+#: Below this level a range's shingles count one by one; few of them in 256 groups would often agree.
+GROUPED_LEVEL = 5
 _RNG = np.random.default_rng(20240229)
 WEIGHTS = _RNG.integers(0, 1 << 64, RANGE_GROUPS, dtype=np.uint64)
 MIX = _RNG.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
@@ -132,17 +134,19 @@ def _kept(percent: int, size: int, level: int) -> int:
 
 
 def range_keys(shingle_set: np.ndarray, percent: int) -> np.ndarray:
-    """The keys under which a set is found, at its own level and, if partners reach it, the next."""
+    """The keys under which a set is found, at its own level and, if partners reach it, the next. A set
+    that links with none but equal ones has no keys, since equal sets are one class already."""
     size = len(shingle_set)
     own = size.bit_length() - 1
     made = []
     for level in (own, own + 1):
         keep = _kept(percent, size, level)
-        if keep <= 0:
+        if keep <= 1:
             continue
         ranges = _ranges(percent, level)
         place = ((shingle_set >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-        weight = WEIGHTS[(shingle_set & np.uint64(RANGE_GROUPS - 1)).astype(np.intp)]
+        weight = (WEIGHTS[(shingle_set & np.uint64(RANGE_GROUPS - 1)).astype(np.intp)]
+                  if level >= GROUPED_LEVEL else _mixed(shingle_set * MIX[11]))
         full, starts = np.unique(place, return_index=True)
         sums = np.zeros(ranges, np.uint64)
         sums[full.astype(np.intp)] = np.add.reduceat(weight, starts)
@@ -369,17 +373,26 @@ def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
 
 def _open_rows(shared: DataFrame, roots: DataFrame, points: DataFrame, tile: int) -> DataFrame:
     """Members of ranges that hold several components, without the smallest member, which has met
-    all the others; in tiles where they are many."""
+    all the others. Where they are many, those outside of the largest component and those inside are
+    dealt into parts of their own; a tile is a pair of parts, of which one at least is outside."""
     known = roots.withColumnRenamed("node", "rep")
     labelled = (shared.where("rep != least")
                 .join(_sent(known, known.count()), "rep", "left")
                 .withColumn("label", F.coalesce("root", "rep")).drop("root"))
     many = (labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .where("low != high").select("key"))
-    rows = labelled.join(many, "key").withColumn(
-        "parts", F.ceil(F.col("members") / tile).cast("int"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    largest = (labelled.where(F.col("members") > tile).groupBy("key", "label")
+               .agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("key").agg(F.max(F.struct("n", "label")).alias("top")))
+    rows = labelled.join(many.join(largest, "key", "left"), "key")
+    inside = F.coalesce(F.col("label") == F.col("top.label"), F.lit(False))
+    parts = lambda n: F.greatest(F.ceil(n / tile), F.lit(1)).cast("int")
+    outer = parts(F.col("members") - F.coalesce("top.n", F.lit(0)))
+    inner = F.when(F.col("top").isNull(), 0).otherwise(parts(F.col("top.n")))
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    rows = rows.withColumn("part", F.when(inside, outer + dealt(inner)).otherwise(dealt(outer)))
+    rows = rows.withColumn("other", F.explode(F.sequence(
+        F.lit(0), F.when(inside, outer).otherwise(outer + inner) - 1)))
     # The point is joined last, on ids.
     return rows.join(points, "rep").select(
         "key", F.least("part", "other").alias("part_a"), F.greatest("part", "other").alias("part_b"),
