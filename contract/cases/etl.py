@@ -4,16 +4,17 @@ from pyspark.sql import functions as F
 
 from contract.cases.blocks import _PRODUCTS, _RISK, _SHOWN
 from contract.feed import ARRIVAL, delivered, write_csv
-from contract.mapping import money, sql
-from contract.registry import case, raw_case
+from contract.mapping import digest as digest_sql, money, sql
+from contract.registry import case, digest, raw_case
 from tillgrain.functions.dates import order_calendar
-from tillgrain.model import SOURCE_TABLES
+from tillgrain.model import SCHEMAS, SOURCE_TABLES
 from tillgrain.operators import clean, quality
 from tillgrain.plans import blocks
-from tillgrain.plans.etl import clean_and_stage, run_load
+from tillgrain.plans.etl import rows_removed, run_load
 from tillgrain.session import pin, scratch_path
 from tillgrain.sources import flatfiles, warehouse
 from tillgrain.sources.linestar import star_from_lines
+from tillgrain.sources.star import Star
 
 # ---- the raw delivery in SQL
 
@@ -115,7 +116,7 @@ raw_case("T10_targets_of_known_employees", lambda spark, folder: clean.clean_all
 
 def _removals(spark, folder):
     raw = delivered(spark, folder)
-    return clean.removal_report(raw, clean_and_stage(spark, raw, ARRIVAL))
+    return rows_removed(spark, raw, ARRIVAL)
 
 
 raw_case("T11_rows_removed", _removals, sql("\nunion all ".join(
@@ -130,21 +131,59 @@ select date, cast(extract(day from date) as int) as day, cast(extract(month from
   strftime(date,'%A') as weekday, cast(extract(year from date) + case when extract(month from date) >= 4 then 1 else 0 end as int) as fiscal_year
 from calendar""", "calendar"))
 
-_COUNTS = "\nunion all ".join(
-    f"select '{t}' as table_name, count(*) as row_count from {c}"
-    for t, c in (("date_dimension", "calendar"), ("customers", "customers"), ("products", "products"), ("employees", "employees"),
-                 ("orders", "orders_x"), ("returns", "returns"), ("targets", "targets")))
-_STAR = ("calendar", "customers", "products", "employees", "orders_x", "returns", "targets")
+_SOURCES = {"date_dimension": "days", "customers": "customers", "products": "products", "employees": "employees",
+            "orders": "orders_x", "returns": "returns", "targets": "targets"}
+_DAYS = (("calendar",), """
+select date, cast(extract(day from date) as int) as day, cast(extract(month from date) as int) as month, strftime(date,'%B') as month_name,
+  cast(extract(quarter from date) as int) as quarter, cast(extract(year from date) as int) as year, cast(extract(week from date) as int) as week,
+  strftime(date,'%A') as weekday, cast(extract(year from date) + case when extract(month from date) >= 4 then 1 else 0 end as int) as fiscal_year
+from calendar""")
+_STAR = ("customers", "products", "employees", "orders_x", "returns", "targets")
+# Every value of all seven tables.
+_DIGESTS = sql("\nunion all ".join(digest_sql(t, c, SCHEMAS[t].names) for t, c in _SOURCES.items()), *_STAR, days=_DAYS)
+
+
+def _digests(star):
+    return quality.stacked([digest(t, getattr(star, t), SCHEMAS[t].names) for t in SOURCE_TABLES])
 
 
 def _load(spark, folder):
     home = scratch_path(spark, "load")
     write_csv(star_from_lines(spark, folder), f"{home}/delivered")
     run_load(spark, f"{home}/delivered", f"{home}/warehouse", f"{home}/reports")
-    return warehouse.loaded_counts(spark, f"{home}/warehouse")
-
-
-raw_case("T13_load", _load, sql(_COUNTS, *_STAR))
+    # A second load publishes a new version over the first.
+    return _digests(run_load(spark, f"{home}/delivered", f"{home}/warehouse", f"{home}/reports"))
+
+
+raw_case("T13_load", _load, _DIGESTS)
+
+
+def _refused(spark, folder):
+    """What stops loads of files with one bad row each: after each, the version before is still read."""
+    home, star = scratch_path(spark, "refused"), star_from_lines(spark, folder)
+    warehouse.store_all({t: star.tables()[t] for t in SOURCE_TABLES}, f"{home}/warehouse")
+    one = star.orders.agg(F.min("order_id")).first()[0]
+    harm = {"orders": lambda df: df.withColumn("order_status", F.when(F.col("order_id") == one, "Pending").otherwise(F.col("order_status"))),
+            "targets": lambda df: df.withColumn("month", F.when(F.col("month") == 12, 13).otherwise(F.col("month")))}
+    lines = []
+    for table, change in harm.items():
+        tables = star.tables()
+        tables[table] = change(tables[table])
+        write_csv(Star(**{t: tables[t] for t in SOURCE_TABLES}), f"{home}/{table}")
+        try:
+            run_load(spark, f"{home}/{table}", f"{home}/warehouse")
+            said = "loaded"
+        except quality.ConstraintViolation as stop:
+            said = str(stop)
+        kept = warehouse.open_star(spark, f"{home}/warehouse")
+        lines.append(getattr(kept, table).agg(F.lit(said).alias("said"), F.count(F.lit(1)).alias("rows_kept")))
+    return quality.stacked(lines)
+
+
+raw_case("T13_refused_loads", _refused, sql("""
+select 'broken constraints: orders: order_status is Completed, Returned or Cancelled (1 rows)' as said, count(*) as rows_kept from orders_x
+union all select concat('broken constraints: targets: month between 1 and 12 (', count(*) filter (where month=12), ' rows)'), count(*) from targets""",
+    "orders_x", "targets"))
 
 # ---- quality
 
@@ -316,17 +355,59 @@ raw_case("V21_constraints", _constraints, sql(_constraint_sql(), cal=_CAL, **FEE
 # ---- sources and sinks
 
 
-def _csv_orders(spark, folder):
+def _quoted(star):
+    """The star with quotes, commas and blanks inside of the customers' names."""
+    tables = star.tables()
+    tables["customers"] = tables["customers"].withColumn("customer_name", F.concat(
+        "customer_name", F.lit(' "'), "customer_segment", F.lit('", '), "region"))
+    return Star(**{t: tables[t] for t in SOURCE_TABLES})
+
+
+def _csv_files(spark, folder):
     home = scratch_path(spark, "delivered")
-    write_csv(star_from_lines(spark, folder), home)
-    rows = flatfiles.read_all_delivered(spark, home)["orders"]
-    return rows.select("order_id", "order_date", F.col("customer_id").cast("bigint").alias("customer_id"), "quantity", "discount",
-                       "revenue", "profit", "payment_method", "order_status")
+    write_csv(_quoted(star_from_lines(spark, folder)), home)
+    read = flatfiles.read_all_delivered(spark, home)
+    return quality.stacked([digest(t, read[t], SCHEMAS[t].names) for t in SOURCE_TABLES])
+
+
+raw_case("S01_delivered_files", _csv_files, sql("\nunion all ".join(
+    digest_sql(t, "quoted" if t == "customers" else c, SCHEMAS[t].names) for t, c in _SOURCES.items()), *_STAR, days=_DAYS,
+    quoted=(("customers",), """
+select * replace (concat(customer_name,' "',customer_segment,'", ',region) as customer_name) from customers""")))
+
+
+def _broken_records(spark, folder):
+    """Order lines with a field too few, set aside by a load; the rest is loaded."""
+    home, star = scratch_path(spark, "broken"), star_from_lines(spark, folder)
+    write_csv(star, f"{home}/in")
+    short = star.returns.select(F.concat_ws(",", F.concat(F.lit("X"), F.substring("return_id", 2, 99)), "order_id",
+                                            F.col("return_date").cast("string"), "return_reason").alias("value"))
+    header = spark.createDataFrame([(",".join(SCHEMAS["returns"].names),)], "value string")
+    short.coalesce(1).withColumn("n", F.lit(1)).unionByName(header.withColumn("n", F.lit(0))).coalesce(1).sortWithinPartitions(
+        "n").select("value").write.mode("append").text(f"{home}/in/returns.csv")
+    loaded = run_load(spark, f"{home}/in", f"{home}/warehouse", quarantine=f"{home}/aside")
+    aside = spark.read.parquet(f"{home}/aside/broken_records")
+    return quality.stacked([
+        digest("broken", aside, ["table_name", "record"]), digest("returns", loaded.returns, SCHEMAS["returns"].names)])
+
+
+raw_case("S01_broken_records", _broken_records, sql(digest_sql("broken", "broken", ["table_name", "record"]) + "\nunion all "
+    + digest_sql("returns", "returns", SCHEMAS["returns"].names), "returns", broken=(("returns",), """
+select 'returns' as table_name, concat_ws(',', concat('X',substring(return_id,2)), order_id, cast(return_date as varchar), return_reason) as record
+from returns""")))
+
+
+def _slashed_dates(spark, folder):
+    """Files with dates of other forms, the same in a whole column."""
+    home, tables = scratch_path(spark, "dates"), star_from_lines(spark, folder).tables()
+    for t, column, form in (("orders", "order_date", "MM/dd/yyyy"), ("customers", "acquisition_date", "dd.MM.yyyy"),
+                            ("returns", "return_date", "yyyyMMdd")):
+        tables[t] = tables[t].withColumn(column, F.date_format(column, form))
+    write_csv(Star(**{t: tables[t] for t in SOURCE_TABLES}), f"{home}/in")
+    return _digests(run_load(spark, f"{home}/in", f"{home}/warehouse"))
 
 
-raw_case("S01_delivered_files", _csv_orders, sql(f"""
-select order_id, cast(order_date as varchar) as order_date, customer_id, quantity, cast(discount as double) as discount, {money('rc')} as revenue,
-  {money('pc')} as profit, payment_method, order_status from orders_x""", "orders_x"))
+raw_case("T03_date_forms", _slashed_dates, _DIGESTS)
 
 
 def _report_back(spark, folder):
@@ -345,7 +426,9 @@ def _stored(spark, folder):
     return home
 
 
-raw_case("S03_full_refresh", lambda spark, folder: warehouse.loaded_counts(spark, _stored(spark, folder)), sql(_COUNTS, *_STAR))
+raw_case("S03_full_refresh", lambda spark, folder: _digests(warehouse.open_star(spark, _stored(spark, folder))), _DIGESTS)
+raw_case("S03_loaded_counts", lambda spark, folder: warehouse.loaded_counts(spark, _stored(spark, folder)),
+         f"select table_name, row_count from ({_DIGESTS})")
 raw_case("S04_stored_fact", lambda spark, folder: warehouse.open_star(spark, _stored(spark, folder)).orders.where(
     "order_status <> 'Cancelled'").select("customer_id", "order_date", "revenue"),
     sql(f"select customer_id, order_date, {money('rc')} as revenue from sold", "sold"))

@@ -63,4 +63,5 @@ def write_csv(star: Star, folder: str) -> None:
     """The star as seven delivered files."""
     tables = star.tables()
     for table in SOURCE_TABLES:
-        tables[table].write.option("header", True).csv(f"{folder}/{table}.csv")
+        (tables[table].write.option("header", True).option("escape", '"')
+         .csv(f"{folder}/{table}.csv"))

@@ -119,3 +119,10 @@ def mean(total: str, count: str, units: int = 100, places: int = 2) -> str:
 def text1(tenths: str) -> str:
     """A non-negative number of tenths as text with one decimal."""
     return f"concat(cast(({tenths})//10 as varchar),'.',cast(({tenths})%10 as varchar))"
+
+
+def digest(table: str, source: str, columns: list[str]) -> str:
+    """The SQL of ``registry.digest``."""
+    cells = ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in columns)
+    return (f"select '{table}' as table_name, count(*) as row_count, cast(coalesce(sum("
+            f"cast('0x' || left(md5(concat_ws('|', {cells})), 8) as bigint)), 0) as bigint) as digest from {source}")

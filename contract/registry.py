@@ -34,3 +34,11 @@ def raw_case(key: str, run: Query, oracle: str | None = None) -> None:
 def case(key: str, run: Callable[[Star], DataFrame], oracle: str | None = None) -> None:
     """A query over the star mapped from the folder's tables."""
     raw_case(key, lambda spark, folder: run(star_from_lines(spark, folder)), oracle)
+
+
+def digest(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a table, and a sum over them that depends on every value of the columns."""
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in columns]
+    part = F.conv(F.substring(F.md5(F.concat_ws("|", *cells).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                  F.coalesce(F.sum(part), F.lit(0)).alias("digest"))

@@ -12,7 +12,7 @@ JOBS = {
     "validate": lambda spark, a: etl.judge_delivered(
         spark, a.delivered, a.reports, a.as_of, a.multi_line).show(50, False),
     "load": lambda spark, a: etl.run_load(spark, a.delivered, a.warehouse, a.reports, a.as_of,
-                                          a.multi_line),
+                                          a.multi_line, a.quarantine),
     "segments": lambda spark, a: jobs.run_segments(open_star(spark, a.warehouse), a.reports).show(),
     "churn": lambda spark, a: jobs.run_churn(open_star(spark, a.warehouse), a.warehouse, a.reports),
     "forecast": lambda spark, a: jobs.run_forecast(open_star(spark, a.warehouse), a.reports),
@@ -29,6 +29,8 @@ def main() -> None:
     parser.add_argument("--as-of", default=None, help="day to count from; today if not given")
     parser.add_argument("--multi-line", action="store_true",
                         help="delivered files hold line breaks inside of quotes")
+    parser.add_argument("--quarantine", default=None,
+                        help="folder for records with a wrong number of fields; without it they stop a load")
     parser.add_argument("--master", default=None)
     arguments = parser.parse_args()
     spark = build_session(f"tillgrain-{arguments.job}", arguments.master)

@@ -18,6 +18,7 @@ def _struct(spec: dict[str, T.DataType]) -> T.StructType:
 
 S, I, D = T.StringType(), T.IntegerType(), T.DateType()
 
+# Fixed values from here on: the columns, keys and checks of the model.
 SCHEMAS: dict[str, T.StructType] = {
     "date_dimension": _struct({
         "date": D, "day": I, "month": I, "month_name": S, "quarter": I, "year": I,
@@ -49,6 +50,11 @@ SOURCE_TABLES = ("date_dimension", "customers", "products", "employees", "orders
                  "targets")
 
 
+# Holds, on rows of a stored table that have a value which its column can't store, the values as they
+# were delivered. A published table has no such rows.
+UNFIT = "_unfit"
+
+
 def as_delivered(table: str) -> T.StructType:
     """The schema of a source file before cleaning: dates stay text until they are judged."""
     return T.StructType([

@@ -18,10 +18,45 @@ def keep_first(df: DataFrame, key: list[str], sequence: list[str]) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(earliest)).where("_nth = 1").drop("_nth")
 
 
-def strict_date(column: str) -> Column:
+class MixedDates(ValueError):
+    """No date form fits all values of a column."""
+
+
+# The forms a delivered date may have, the likelier reading of an ambiguous one first.
+DATE_FORMS = ("ISO", "M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "M-d-yyyy", "d-M-yyyy", "d.M.yyyy", "yyyyMMdd",
+              "d MMM yyyy", "MMM d, yyyy", "d MMMM yyyy", "MMMM d, yyyy", "d-MMM-yyyy")
+# The columns with dates of each delivered table.
+DATES = {"date_dimension": "date", "customers": "acquisition_date", "employees": "joining_date",
+         "orders": "order_date", "returns": "return_date"}
+
+
+def as_date(text: Column, form: str) -> Column:
+    """The text as a date of that form, null if it isn't one. The ISO form may have a time behind."""
+    if form == "ISO":
+        return text.try_cast("date")
+    return F.try_to_timestamp(text, F.lit(form)).cast("date")
+
+
+def date_form(df: DataFrame, column: str) -> str:
+    """The first form that fits all values of the column, by one aggregate over it. Values of several
+    forms stop the job, and the form that fits most of them and one that it doesn't fit are named."""
+    text = F.col(column).cast("string")
+    row = df.agg(F.count(text).alias("all"),
+                 *[F.count(as_date(text, form)).alias(f"n{i}") for i, form in enumerate(DATE_FORMS)],
+                 *[F.min(F.when(as_date(text, form).isNull(), text)).alias(f"odd{i}")
+                   for i, form in enumerate(DATE_FORMS)]).first()
+    fit = [row[f"n{i}"] for i in range(len(DATE_FORMS))]
+    best = max(range(len(DATE_FORMS)), key=lambda i: (fit[i], -i))
+    if fit[best] < row["all"]:
+        raise MixedDates(f"{column} is not a date: {row[f'odd{best}']}; {DATE_FORMS[best]} fits "
+                         f"{fit[best]} of {row['all']} values, and no form fits all")
+    return DATE_FORMS[best]
+
+
+def strict_date(column: str, form: str = "ISO") -> Column:
     """The text as a date; a text that is no date stops the job and names itself."""
     text = F.col(column).cast("string")
-    parsed = text.try_cast("date")
+    parsed = as_date(text, form)
     return (F.when(text.isNull() | parsed.isNotNull(), parsed)
             .otherwise(F.raise_error(F.concat(F.lit(f"{column} is not a date: "), text))
                        .cast("date")))
@@ -54,9 +89,9 @@ def with_profit(orders: DataFrame) -> DataFrame:
         "profit", F.round(F.col("revenue") - F.col("cost"), 2).try_cast("decimal(14,2)"))
 
 
-def clean_customers(raw: DataFrame, sequence: list[str]) -> DataFrame:
+def clean_customers(raw: DataFrame, sequence: list[str], form: str = "ISO") -> DataFrame:
     return (keep_first(raw, ["customer_id"], sequence)
-            .withColumn("acquisition_date", strict_date("acquisition_date"))
+            .withColumn("acquisition_date", strict_date("acquisition_date", form))
             .withColumn("customer_name", trimmed("customer_name"))
             .withColumn("email", normal_email("email")))
 
@@ -67,25 +102,26 @@ def clean_products(raw: DataFrame, sequence: list[str]) -> DataFrame:
             .withColumn("selling_price", two_places("selling_price")))
 
 
-def clean_employees(raw: DataFrame, sequence: list[str]) -> DataFrame:
+def clean_employees(raw: DataFrame, sequence: list[str], form: str = "ISO") -> DataFrame:
     return (keep_first(raw, ["employee_id"], sequence)
-            .withColumn("joining_date", strict_date("joining_date")))
+            .withColumn("joining_date", strict_date("joining_date", form)))
 
 
 def clean_orders(raw: DataFrame, customers: DataFrame, products: DataFrame,
-                 employees: DataFrame, sequence: list[str]) -> DataFrame:
+                 employees: DataFrame, sequence: list[str], form: str = "ISO") -> DataFrame:
     rows = (keep_first(raw, ["order_id"], sequence)
-            .withColumn("order_date", strict_date("order_date")))
+            .withColumn("order_date", strict_date("order_date", form)))
     for key, known in (("customer_id", customers), ("product_id", products),
                        ("employee_id", employees)):
         rows = only_known(rows, key, known)
     return with_profit(sound_amounts(rows))
 
 
-def clean_returns(raw: DataFrame, orders: DataFrame, sequence: list[str]) -> DataFrame:
+def clean_returns(raw: DataFrame, orders: DataFrame, sequence: list[str], form: str = "ISO"
+                  ) -> DataFrame:
     """Runs on cleaned orders, so a dropped order takes its returns along."""
     return (only_known(keep_first(raw, ["return_id"], sequence), "order_id", orders)
-            .withColumn("return_date", strict_date("return_date")))
+            .withColumn("return_date", strict_date("return_date", form)))
 
 
 def clean_targets(raw: DataFrame, employees: DataFrame, sequence: list[str]) -> DataFrame:
@@ -93,8 +129,8 @@ def clean_targets(raw: DataFrame, employees: DataFrame, sequence: list[str]) ->
                       "employee_id", employees)
 
 
-def clean_calendar(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("date", strict_date("date"))
+def clean_calendar(raw: DataFrame, form: str = "ISO") -> DataFrame:
+    return raw.withColumn("date", strict_date("date", form))
 
 
 def clean_all(raw: dict[str, DataFrame], sequence: list[str] | None = None

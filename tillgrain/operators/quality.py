@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillgrain.functions.dates import as_of_column
-from tillgrain.model import constraints
+from tillgrain.model import SCHEMAS, constraints
 from tillgrain.operators.ordering import exact_quantiles
 
 REPORT = ("Rule", "Total Records", "Failed Records", "Failure Percentage", "Status")
@@ -24,6 +24,10 @@ class QualityGate(RuntimeError):
     """Validation found failing rules; nothing was loaded."""
 
 
+class ConstraintViolation(RuntimeError):
+    """Rows break what the model promises; nothing was published."""
+
+
 def graded(counts: DataFrame) -> DataFrame:
     """Turn (rule, total, failed) into report rows. The grade looks at the rounded percentage, so a
     share that rounds to zero passes."""
@@ -146,13 +150,17 @@ def stacked(parts: list[DataFrame]) -> DataFrame:
     return result
 
 
-def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """The model's own promises as rules: filled columns, unique keys, checks, known parents."""
+def constraint_report(tables: dict[str, DataFrame],
+                      more: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """The model's own promises as rules: filled columns, unique keys, checks, known parents. ``more``
+    adds conditions on a table's rows by their names; they are counted in the same pass."""
     parts = []
     for table, declared in constraints().items():
         df = tables[table]
-        rules = {f"{table}.{c} is filled": _yes(F.col(c).isNull()) for c in df.columns}
+        rules = {f"{table}.{c} is filled": _yes(F.col(c).isNull()) for c in SCHEMAS[table].names}
         rules |= {f"{table}: {name}": _yes(~check) for name, check in declared.checks.items()}
+        rules |= {f"{table}: {name}": _yes(~check)
+                  for name, check in (more or {}).get(table, {}).items()}
         parts.append(_counted(df, rules))
         parts.append(repeated_keys(f"{table}: ({', '.join(declared.key)}) is unique", df,
                                    list(declared.key)))
@@ -162,6 +170,13 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     return graded(stacked(parts))
 
 
+def broken_constraints(report: DataFrame) -> dict[str, int]:
+    """Constraints that a row breaks, with the number of such rows: one row is enough, whatever
+    its share. The report has some hundred rows."""
+    return {r["Rule"]: r["Failed Records"]
+            for r in report.where(F.col("Failed Records") > 0).orderBy("Rule").collect()}
+
+
 def quality_summary(report: DataFrame) -> DataFrame:
     status = F.col("Status")
     return report.agg(

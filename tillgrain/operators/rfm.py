@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillgrain.functions.dates import as_of_column
 from tillgrain.functions.labels import rfm_segment
-from tillgrain.operators.ordering import ntile_of, with_row_number
+from tillgrain.operators.buckets import AFTER_ALL, VALUE, ntile_starts, with_buckets
 from tillgrain.operators.rollup import by_key, sold
 from tillgrain.session import pin
 from tillgrain.sources.star import Star
@@ -32,40 +32,38 @@ def ntile_base(star: Star, as_of: dt.date | str | Column | None = None) -> DataF
         "customer_id", "customer_name", "recency_days", "frequency", "monetary")
 
 
-def _base(star: Star, as_of: dt.date | str | Column | None) -> DataFrame:
-    bought = by_key(sold(star.orders), ["customer_id"], "last_purchase", "orders", "revenue")
-    return bought.select(
-        "customer_id",
-        F.date_diff(as_of_column(as_of), F.col("last_purchase")).alias("recency_days"),
-        F.col("orders").alias("frequency"),
+def _bought(star: Star) -> DataFrame:
+    sums = by_key(sold(star.orders), ["customer_id"], "last_purchase", "orders", "revenue")
+    return sums.select(
+        "customer_id", "last_purchase", F.col("orders").alias("frequency"),
         F.coalesce(F.col("revenue"), F.lit(0)).cast("decimal(24,2)").alias("monetary"))
 
 
-def _scored(df: DataFrame, order: list[Column], name: str, slices: int | None,
-            score) -> DataFrame:
-    numbered = with_row_number(df, order, "_rn", "_n", slices)
-    return numbered.withColumn(name, score(F.col("_rn"), F.col("_n"))).drop("_rn", "_n")
+def _recency(as_of: dt.date | str | Column | None) -> Column:
+    return F.date_diff(as_of_column(as_of), F.col("last_purchase")).alias("recency_days")
+
+
+def _base(star: Star, as_of: dt.date | str | Column | None) -> DataFrame:
+    return _bought(star).select("customer_id", _recency(as_of), "frequency", "monetary")
+
+
+def stored_scores(star: Star, slices: int | None = None) -> DataFrame:
+    """Three scores of one to five per buying customer. The longest ago comes first in recency, on
+    whatever day one counts from, so the scores hold until the orders change."""
+    day = F.coalesce(F.unix_date("last_purchase").cast(VALUE), F.lit(AFTER_ALL).cast(VALUE))
+    return with_buckets(pin(_bought(star)), {
+        "r_score": day, "f_score": F.col("frequency"), "m_score": F.col("monetary")},
+        "customer_id", ntile_starts(SCORES), slices)
 
 
 def ntile_segments(star: Star, as_of: dt.date | str | Column | None = None,
                    slices: int | None = None) -> DataFrame:
-    """Base, three scores of one to five, their sum, and the segment.
-
-    Each score needs its own global order; the frame is handed from one to the next, so the scores
-    never have to be joined.
-    """
-    def tile(rn: Column, n: Column) -> Column:
-        return ntile_of(rn, n, SCORES)
-
-    last = F.col("customer_id").asc()
-    scored = _base(star, as_of)
-    for column, name in ((F.col("recency_days").desc(), "r_score"),
-                         (F.col("frequency").asc(), "f_score"),
-                         (F.col("monetary").asc(), "m_score")):
-        scored = _scored(scored, [column, last], name, slices, tile)
+    """Base, three scores of one to five, their sum, and the segment; from the stored scores where the
+    star has them."""
+    scored = star.scores if star.scores is not None else stored_scores(star, slices)
     named = scored.join(star.customers.select("customer_id", "customer_name"), "customer_id")
     return named.select(
-        "customer_id", "customer_name", "recency_days", "frequency", "monetary",
+        "customer_id", "customer_name", _recency(as_of), "frequency", "monetary",
         "r_score", "f_score", "m_score",
         (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_score"),
         rfm_segment().alias("segment"))
@@ -86,9 +84,11 @@ def quantile_base(star: Star) -> DataFrame:
         F.col("revenue").alias("monetary"))
 
 
-def rank_quintile(rn: Column, n: Column) -> Column:
-    """Quintile of rank ``rn`` of ``n`` when the edges are interpolated quantiles of the ranks."""
-    return F.greatest(F.lit(1), F.ceil((rn - 1) * SCORES / F.nullif(n - 1, F.lit(0)))).cast("int")
+def rank_quintile_starts(n: int) -> dict[int, int]:
+    """The rank at which each quintile from the second on begins, when the edges are interpolated
+    quantiles of the ranks."""
+    ranks = {b: (b - 1) * (n - 1) // SCORES + 2 for b in range(2, SCORES + 1)}
+    return {b: rank for b, rank in ranks.items() if rank <= n}
 
 
 def recency_edges(base: DataFrame) -> list[float]:
@@ -113,9 +113,8 @@ def recency_score(recency: Column, edges: list[float]) -> Column:
 def quantile_segments(star: Star, slices: int | None = None) -> DataFrame:
     base = quantile_base(star)
     scored = base.withColumn("r_score", recency_score(F.col("recency"), recency_edges(base)))
-    last = F.col("customer_id").asc()
-    for column, name in (("frequency", "f_score"), ("monetary", "m_score")):
-        scored = _scored(scored, [F.col(column).asc(), last], name, slices, rank_quintile)
+    scored = with_buckets(scored, {"f_score": F.col("frequency"), "m_score": F.col("monetary")},
+                          "customer_id", rank_quintile_starts, slices)
     return scored.select(
         "customer_id", "recency", "frequency", "monetary", "r_score", "f_score", "m_score",
         (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_score"),

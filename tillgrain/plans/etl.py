@@ -4,34 +4,57 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tillgrain.operators import clean
-from tillgrain.operators.quality import gate, quality_report
+from tillgrain.model import UNFIT, as_delivered
+from tillgrain.operators import clean, rfm
+from tillgrain.operators.quality import (
+    ConstraintViolation, broken_constraints, constraint_report, gate, quality_report)
 from tillgrain.plans.views import register_views
 from tillgrain.session import pin, scratch_path
-from tillgrain.sources.flatfiles import (JUDGED, SEQUENCE, narrowed, read_all_delivered,
-                                         to_stored_places)
+from tillgrain.sources.flatfiles import (
+    BROKEN, JUDGED, SEQUENCE, BrokenRecords, UnfitValue, as_judged, fits, narrowed, read_all_delivered,
+    to_stored_places)
+from tillgrain.sources.snapshots import Draft
 from tillgrain.sources.star import Star
-from tillgrain.sources.warehouse import load_table, open_star, store_all, write_report
+from tillgrain.sources.warehouse import SCORES, open_star, read_table, write_report, write_table
+
+FITS = " fits its column"
 
 
 def run_load(spark: SparkSession, delivered: str, warehouse: str, reports: str | None = None,
-             as_of: dt.date | str | None = None, multi_line: bool = False) -> Star:
+             as_of: dt.date | str | None = None, multi_line: bool = False,
+             quarantine: str | None = None) -> Star:
     """Load delivered files into the warehouse folder and register the views.
 
-    Cleaned rows are staged on shared storage, each table once, so that later tables, validation
-    and load read files instead of repeating the cleaning. A failing rule raises before the
-    warehouse is touched, and so does an amount that passes the rules and can't be stored.
-    Files with line breaks inside of quotes need ``multi_line``.
+    Tables are cleaned into a new version of the warehouse, in the layout in which they are read later.
+    Then the rules and the model's constraints judge them. A failing rule, a row that breaks a constraint,
+    an amount that its column can't store, dates of several forms, and a record with too few or
+    too many fields stop the load, and readers keep the version before. With a ``quarantine`` folder such
+    records are written there instead, and the others loaded. Files with line breaks inside of quotes
+    need ``multi_line``.
     """
-    raw = read_all_delivered(spark, delivered, multi_line, wide=True)
-    staged = clean_and_stage(spark, raw | {t: to_stored_places(raw[t], t) for t in JUDGED})
-    report = pin(quality_report(staged, as_of))
-    if reports:
-        write_report(report.coalesce(1), reports, "data_quality_report")
-    gate(report)
-    store_all(staged | {t: narrowed(staged[t], t) for t in JUDGED}, warehouse)
+    raw = read_all_delivered(spark, delivered, multi_line, wide=True, broken=True)
+    forms = {t: clean.date_form(_sound(raw[t]), column) for t, column in clean.DATES.items()}
+    draft = Draft(spark, warehouse)
+    try:
+        staged, removed = _staged(
+            spark, raw | {t: to_stored_places(raw[t], t) for t in JUDGED}, list(SEQUENCE), forms,
+            draft.path)
+        _broken_records(raw, removed, quarantine)
+        judged = staged | {t: as_judged(staged[t]) for t in JUDGED}
+        report = pin(quality_report(judged, as_of))
+        if reports:
+            write_report(_rows_removed(spark, removed), reports, "rows_removed")
+            write_report(report.coalesce(1), reports, "data_quality_report")
+        gate(report)
+        _promises(staged, reports)
+        tables = {t: df.drop(UNFIT) for t, df in staged.items()}
+        write_table(rfm.stored_scores(Star(**tables)), draft.path(SCORES), SCORES)
+    except BaseException:
+        draft.discard()
+        raise
+    draft.publish()
     star = open_star(spark, warehouse)
     register_views(spark, star, as_of)
     return star
@@ -47,23 +70,97 @@ def judge_delivered(spark: SparkSession, delivered: str, reports: str,
     return report
 
 
+def _sound(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col(BROKEN).isNull()) if BROKEN in raw.columns else raw
+
+
+def _broken_records(raw: dict[str, DataFrame], removed: dict[str, dict[str, int]],
+                    quarantine: str | None) -> None:
+    """Stop at broken records, or write them out; a file is read again only if it has some."""
+    found = {t: n["broken"] for t, n in removed.items() if n["broken"]}
+    if not found:
+        return
+    if quarantine is None:
+        raise BrokenRecords("too few or too many fields: " + ", ".join(
+            f"{n} records of {t}" for t, n in found.items()))
+    rows = None
+    for table in found:
+        # The text alone can't be read: Spark needs a column of the file beside it.
+        first = as_delivered(table).names[0]
+        own = (raw[table].where(F.col(BROKEN).isNotNull())
+               .select(F.col(first).cast("string").alias("first_value"), F.lit(table).alias("table_name"), F.col("_file").alias("file"),
+                       F.col(BROKEN).alias("record")))
+        rows = own if rows is None else rows.unionByName(own)
+    rows.write.mode("overwrite").parquet(f"{quarantine}/broken_records")
+
+
+def _rows_removed(spark: SparkSession, removed: dict[str, dict[str, int]]) -> DataFrame:
+    return spark.createDataFrame(
+        [(t, n["before"], n["after"], n["before"] - n["after"]) for t, n in removed.items()],
+        "table_name string, rows_before bigint, rows_after bigint, rows_removed bigint").coalesce(1)
+
+
+def _promises(staged: dict[str, DataFrame], reports: str | None) -> None:
+    """Stop if a row breaks a constraint or holds a number that its column can't store."""
+    more = {t: {f"{c}{FITS}": ok for c, ok in fits(staged[t]).items()} for t in JUDGED}
+    report = pin(constraint_report(staged, more))
+    if reports:
+        write_report(report.coalesce(1), reports, "constraint_report")
+    broken = broken_constraints(report)
+    unfit = {rule: n for rule, n in broken.items() if rule.endswith(FITS)}
+    if unfit:
+        table = next(iter(unfit)).split(":")[0]
+        raise UnfitValue(f"{table} has values that its columns can't store: " + ", ".join(
+            f"{n} in {rule.removeprefix(f'{table}: ').removesuffix(FITS)}" for rule, n in unfit.items()))
+    if broken:
+        raise ConstraintViolation("broken constraints: " + "; ".join(
+            f"{rule} ({n} rows)" for rule, n in broken.items()))
+
+
 def clean_and_stage(spark: SparkSession, raw: dict[str, DataFrame],
                     sequence: list[str] | None = None) -> dict[str, DataFrame]:
     """Clean parents before children, each child against the stored parent."""
-    seq = list(sequence or SEQUENCE)
     folder = scratch_path(spark, "staged")
+    staged, _ = _staged(spark, raw, list(sequence or SEQUENCE), {}, lambda t: f"{folder}/{t}")
+    return staged
+
+
+def rows_removed(spark: SparkSession, raw: dict[str, DataFrame], sequence: list[str] | None = None
+                 ) -> DataFrame:
+    """Rows before, after and removed per table, as the jobs that clean them count."""
+    folder = scratch_path(spark, "staged")
+    _, removed = _staged(spark, raw, list(sequence or SEQUENCE), {}, lambda t: f"{folder}/{t}")
+    return _rows_removed(spark, removed)
+
+
+def _staged(spark: SparkSession, raw: dict[str, DataFrame], seq: list[str], forms: dict[str, str],
+            path) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
+    """The cleaned tables, written and read back, and how many rows went in, came out and were broken;
+    the jobs that write them count."""
+    done: dict[str, DataFrame] = {}
+    removed: dict[str, dict[str, int]] = {}
+
+    def kept(table: str, cleaned) -> None:
+        came, left = Observation(f"{table} came"), Observation(f"{table} left")
+        from_files = BROKEN in raw[table].columns
+        broken = F.col(BROKEN).isNotNull() if from_files else F.lit(False)
+        rows = _sound(raw[table].observe(came, F.count(F.lit(1)).alias("rows"),
+                                         F.count_if(broken).alias("broken"))).drop(BROKEN)
+        df = cleaned(rows, forms.get(table, "ISO")).drop(*seq)
+        if table in JUDGED and from_files:
+            df = narrowed(df, table)
+        write_table(df.observe(left, F.count(F.lit(1)).alias("rows")), path(table), table)
+        counted = came.get
+        removed[table] = {"before": counted["rows"], "broken": counted["broken"],
+                          "after": left.get["rows"]}
+        done[table] = spark.read.parquet(path(table)).drop("order_month")
 
-    def kept(table: str, df: DataFrame) -> DataFrame:
-        df.drop(*seq).write.parquet(f"{folder}/{table}")
-        return load_table(spark, folder, table)
-
-    done = {
-        "date_dimension": kept("date_dimension", clean.clean_calendar(raw["date_dimension"])),
-        "customers": kept("customers", clean.clean_customers(raw["customers"], seq)),
-        "products": kept("products", clean.clean_products(raw["products"], seq)),
-        "employees": kept("employees", clean.clean_employees(raw["employees"], seq))}
-    done["orders"] = kept("orders", clean.clean_orders(
-        raw["orders"], done["customers"], done["products"], done["employees"], seq))
-    done["returns"] = kept("returns", clean.clean_returns(raw["returns"], done["orders"], seq))
-    done["targets"] = kept("targets", clean.clean_targets(raw["targets"], done["employees"], seq))
-    return done
+    kept("date_dimension", lambda df, form: clean.clean_calendar(df, form))
+    kept("customers", lambda df, form: clean.clean_customers(df, seq, form))
+    kept("products", lambda df, form: clean.clean_products(df, seq))
+    kept("employees", lambda df, form: clean.clean_employees(df, seq, form))
+    kept("orders", lambda df, form: clean.clean_orders(
+        df, done["customers"], done["products"], done["employees"], seq, form))
+    kept("returns", lambda df, form: clean.clean_returns(df, done["orders"], seq, form))
+    kept("targets", lambda df, form: clean.clean_targets(df, done["employees"], seq))
+    return done, removed

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillgrain.functions.dates import as_of_column, month_of
 from tillgrain.functions.labels import discount_band
 from tillgrain.functions.ratios import growth_pct, mean_of, or_zero, pct, per
-from tillgrain.operators.ordering import with_ntile, with_rank
+from tillgrain.operators.buckets import ntile_starts, with_buckets
+from tillgrain.operators.ordering import with_rank
 from tillgrain.operators import rfm
 from tillgrain.operators.rollup import by_attribute, by_key, returns_by, sold
 from tillgrain.operators.scope import enriched_orders
+from tillgrain.session import pin
 from tillgrain.sources.star import Star
 
 AsOf = dt.date | str | Column | None
@@ -271,11 +273,15 @@ def discount_impact(star: Star) -> DataFrame:
             .orderBy("discount_band"))
 
 
+def _by_revenue(star: Star, tiles: int, name: str) -> DataFrame:
+    """Buying customers with their bucket, the highest revenue first; none counts as highest."""
+    spent = pin(by_key(sold(star.orders), ["customer_id"], "revenue"))
+    return with_buckets(spent, {name: -F.col("revenue")}, "customer_id", ntile_starts(tiles))
+
+
 def high_value_customers(star: Star, tiles: int = 20) -> DataFrame:
-    order = [F.desc_nulls_first("revenue"), F.asc("customer_id")]
-    ranked = with_ntile(by_key(sold(star.orders), ["customer_id"], "revenue"), tiles, order,
-                        "bucket")
-    return ranked.where("bucket = 1").drop("bucket").orderBy(*order)
+    return (_by_revenue(star, tiles, "bucket").where("bucket = 1").drop("bucket")
+            .orderBy(F.desc_nulls_first("revenue"), F.asc("customer_id")))
 
 
 def at_risk_customers(star: Star, as_of: AsOf = None) -> DataFrame:
@@ -287,10 +293,7 @@ def at_risk_customers(star: Star, as_of: AsOf = None) -> DataFrame:
 
 
 def revenue_concentration(star: Star) -> DataFrame:
-    order = [F.desc_nulls_first("revenue"), F.asc("customer_id")]
-    ranked = with_ntile(by_key(sold(star.orders), ["customer_id"], "revenue"), 5, order,
-                        "quintile")
-    return (ranked.groupBy("quintile").agg(F.sum("revenue").alias("revenue"))
+    return (_by_revenue(star, 5, "quintile").groupBy("quintile").agg(F.sum("revenue").alias("revenue"))
             .withColumn("pct_of_total", pct(F.col("revenue"), _total("revenue")))
             .orderBy("quintile"))
 

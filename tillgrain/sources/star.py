@@ -14,14 +14,17 @@ TABLES = ("date_dimension", "customers", "products", "employees", "orders", "ret
 
 class Star:
     """Tables by name. A table given as a function is opened when a report first asks for it, so a
-    report opens only the files it reads. ``churn`` holds the churn predictions, if there are any.
+    report opens only the files it reads. ``churn`` holds the churn predictions, and ``scores`` the stored
+    RFM scores, if there are any.
     """
 
-    def __init__(self, *, churn: Source | None = None, **tables: Source) -> None:
+    def __init__(self, *, churn: Source | None = None, scores: Source | None = None,
+                 **tables: Source) -> None:
         missing = set(TABLES) - set(tables)
         if missing:
             raise ValueError(f"the star lacks {sorted(missing)}")
-        self._sources = {**{t: tables[t] for t in TABLES}, "churn": churn}
+        self._sources = {**{t: tables[t] for t in TABLES}, "churn": churn,
+                         "scores": scores}
 
     def _open(self, name: str) -> DataFrame | None:
         source = self._sources[name]
@@ -61,6 +64,10 @@ class Star:
     def churn(self) -> DataFrame | None:
         return self._open("churn")
 
+    @property
+    def scores(self) -> DataFrame | None:
+        return self._open("scores")
+
     def with_predictions(self, churn: Source) -> "Star":
         return Star(**{**self._sources, "churn": churn})
 

@@ -6,53 +6,87 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillgrain.functions.dates import month_of
-from tillgrain.model import SOURCE_TABLES
+from tillgrain.model import SOURCE_TABLES, UNFIT
+from tillgrain.sources.snapshots import Draft, current
 from tillgrain.sources.star import Star
 
 PREDICTIONS = "customer_churn_predictions"
+SCORES = "rfm_scores"
 
 
 class ReportNotBuilt(FileNotFoundError):
     """A report was asked for before the job that writes it has run."""
 
 
-def store_table(df: DataFrame, folder: str, table: str) -> None:
-    """Replace one table. The fact is split by order month so that date filters skip files;
-    the rebalance hint cuts a month that is much larger than others into several tasks."""
+class TableNotLoaded(FileNotFoundError):
+    """A table was asked for that no published load has written."""
+
+
+def write_table(df: DataFrame, path: str, table: str) -> None:
+    """One table's files. The fact is split by order month so that date filters skip files; the
+    rebalance hint cuts a month that is much larger than others into several tasks."""
     if table == "orders":
         fact = df.withColumn("order_month", month_of("order_date"))
-        (fact.hint("rebalance", "order_month").write.mode("overwrite")
-         .partitionBy("order_month").parquet(f"{folder}/{table}"))
+        fact.hint("rebalance", "order_month").write.partitionBy("order_month").parquet(path)
     else:
-        df.write.mode("overwrite").parquet(f"{folder}/{table}")
+        df.write.parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table's files, without the column that holds values which don't fit: what is published has
+    none."""
+    return spark.read.parquet(path).drop(UNFIT)
 
 
 def store_all(tables: dict[str, DataFrame], folder: str) -> None:
-    for table, df in tables.items():
-        store_table(df, folder, table)
+    """Replace tables together: readers see all of them or none."""
+    frames = list(tables.values())
+    if not frames:
+        return
+    draft = Draft(frames[0].sparkSession, folder)
+    try:
+        for table, df in tables.items():
+            write_table(df, draft.path(table), table)
+    except BaseException:
+        draft.discard()
+        raise
+    draft.publish()
+
+
+def store_table(df: DataFrame, folder: str, table: str) -> None:
+    """Replace one table; the others stay as they are."""
+    store_all({table: df}, folder)
 
 
 def load_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}")
+    path = (current(spark, folder) or {}).get(table)
+    if path is None:
+        raise TableNotLoaded(f"{folder} has no published table {table}")
+    return read_table(spark, path)
 
 
 def open_star(spark: SparkSession, folder: str) -> Star:
-    """The stored star; predictions are looked for at once, the other tables when they are read."""
+    """The star as it is published now; each table is read when a report first asks for it, and a
+    later load doesn't change what this star reads."""
+    paths = current(spark, folder) or {}
+
     def opened(table: str):
-        return lambda: load_table(spark, folder, table)
+        def read() -> DataFrame:
+            if table not in paths:
+                raise TableNotLoaded(f"{folder} has no published table {table}")
+            return read_table(spark, paths[table])
+        return read
 
-    try:
-        churn = load_table(spark, folder, PREDICTIONS)
-    except AnalysisException:
-        churn = None
-    return Star(churn=churn, **{t: opened(t) for t in SOURCE_TABLES})
+    more = {name: opened(table) for name, table in (("churn", PREDICTIONS), ("scores", SCORES))
+            if table in paths}
+    return Star(**more, **{t: opened(t) for t in SOURCE_TABLES})
 
 
 def loaded_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per stored table."""
-    parts = [load_table(spark, folder, t).agg(F.lit(t).alias("table_name"),
-                                              F.count(F.lit(1)).alias("row_count"))
-             for t in SOURCE_TABLES]
+    star = open_star(spark, folder)
+    parts = [getattr(star, t).agg(F.lit(t).alias("table_name"),
+                                  F.count(F.lit(1)).alias("row_count")) for t in SOURCE_TABLES]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
