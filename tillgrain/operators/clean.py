@@ -37,22 +37,30 @@ def as_date(text: Column, form: str) -> Column:
     return F.try_to_timestamp(text, F.lit(form)).cast("date")
 
 
-def date_form(df: DataFrame, column: str) -> str:
-    """The first form that fits all values of the column, by one aggregate over it. Values of several
-    forms stop the job, and the form that fits most of them and one that it doesn't fit are named."""
-    text = F.col(column).cast("string")
-    row = df.agg(F.count(text).alias("all"),
-                 *[F.count(as_date(text, form)).alias(f"n{i}") for i, form in enumerate(DATE_FORMS)],
-                 *[F.min(F.when(as_date(text, form).isNull(), text)).alias(f"odd{i}")
-                   for i, form in enumerate(DATE_FORMS)]).first()
-    fit = [row[f"n{i}"] for i in range(len(DATE_FORMS))]
+def form_counts(text: Column) -> list[Column]:
+    """Aggregates that tell which form fits a column's texts: ``elected`` reads them."""
+    return [F.count(text).alias("texts"),
+            *[F.count(as_date(text, form)).alias(f"fit{i}") for i, form in enumerate(DATE_FORMS)],
+            *[F.min(F.when(as_date(text, form).isNull(), text)).alias(f"odd{i}")
+              for i, form in enumerate(DATE_FORMS)]]
+
+
+def elected(counts, column: str) -> str:
+    """The first form that fits all texts. Texts of several forms stop the job; the form that fits most
+    of them is named, and a text that it doesn't fit."""
+    fit = [counts[f"fit{i}"] for i in range(len(DATE_FORMS))]
     best = max(range(len(DATE_FORMS)), key=lambda i: (fit[i], -i))
-    if fit[best] < row["all"]:
-        raise MixedDates(f"{column} is not a date: {row[f'odd{best}']}; {DATE_FORMS[best]} fits "
-                         f"{fit[best]} of {row['all']} values, and no form fits all")
+    if fit[best] < counts["texts"]:
+        raise MixedDates(f"{column} is not a date: {counts[f'odd{best}']}; {DATE_FORMS[best]} fits "
+                         f"{fit[best]} of {counts['texts']} values, and no form fits all")
     return DATE_FORMS[best]
 
 
+def date_form(df: DataFrame, column: str) -> str:
+    """The form of a column's dates, by one aggregate over it."""
+    return elected(df.agg(*form_counts(F.col(column).cast("string"))).first(), column)
+
+
 def strict_date(column: str, form: str = "ISO") -> Column:
     """The text as a date; a text that is no date stops the job and names itself."""
     text = F.col(column).cast("string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillgrain.model import UNFIT, as_delivered
 from tillgrain.operators import clean, rfm
@@ -35,17 +35,17 @@ def run_load(spark: SparkSession, delivered: str, warehouse: str, reports: str |
     need ``multi_line``.
     """
     raw = read_all_delivered(spark, delivered, multi_line, wide=True, broken=True)
-    forms = {t: clean.date_form(_sound(raw[t]), column) for t, column in clean.DATES.items()}
+    came = {t: survey(t, raw[t]) for t in raw}
+    _broken_records(raw, {t: n["broken"] for t, n in came.items()}, quarantine)
     draft = Draft(spark, warehouse)
     try:
-        staged, removed = _staged(
-            spark, raw | {t: to_stored_places(raw[t], t) for t in JUDGED}, list(SEQUENCE), forms,
-            draft.path)
-        _broken_records(raw, removed, quarantine)
+        staged = _staged(
+            spark, raw | {t: to_stored_places(raw[t], t) for t in JUDGED}, list(SEQUENCE),
+            {t: n["form"] for t, n in came.items()}, draft.path)
         judged = staged | {t: as_judged(staged[t]) for t in JUDGED}
         report = pin(quality_report(judged, as_of))
         if reports:
-            write_report(_rows_removed(spark, removed), reports, "rows_removed")
+            write_report(_rows_removed(spark, came, staged), reports, "rows_removed")
             write_report(report.coalesce(1), reports, "data_quality_report")
         gate(report)
         _promises(staged, reports)
@@ -70,14 +70,20 @@ def judge_delivered(spark: SparkSession, delivered: str, reports: str,
     return report
 
 
-def _sound(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col(BROKEN).isNull()) if BROKEN in raw.columns else raw
+def survey(table: str, raw: DataFrame) -> dict:
+    """One look at a delivered table: its records, broken ones among them, and the form of its dates."""
+    broken = F.col(BROKEN).isNotNull() if BROKEN in raw.columns else F.lit(False)
+    column = clean.DATES.get(table, raw.columns[0])
+    dates = F.when(~broken, F.col(column).cast("string"))
+    counts = raw.agg(F.count(F.lit(1)).alias("rows"), F.count_if(broken).alias("broken"),
+                     *(clean.form_counts(dates) if table in clean.DATES else [F.count(dates)])).first()
+    form = clean.elected(counts, column) if table in clean.DATES else "ISO"
+    return {"rows": counts["rows"], "broken": counts["broken"], "form": form}
 
 
-def _broken_records(raw: dict[str, DataFrame], removed: dict[str, dict[str, int]],
-                    quarantine: str | None) -> None:
+def _broken_records(raw: dict[str, DataFrame], broken: dict[str, int], quarantine: str | None) -> None:
     """Stop at broken records, or write them out; a file is read again only if it has some."""
-    found = {t: n["broken"] for t, n in removed.items() if n["broken"]}
+    found = {t: n for t, n in broken.items() if n}
     if not found:
         return
     if quarantine is None:
@@ -94,9 +100,12 @@ def _broken_records(raw: dict[str, DataFrame], removed: dict[str, dict[str, int]
     rows.write.mode("overwrite").parquet(f"{quarantine}/broken_records")
 
 
-def _rows_removed(spark: SparkSession, removed: dict[str, dict[str, int]]) -> DataFrame:
+def _rows_removed(spark: SparkSession, came: dict[str, dict], staged: dict[str, DataFrame]
+                  ) -> DataFrame:
+    """Rows before, after and removed per table; stored files know their number of rows."""
+    lines = [(t, n["rows"], staged[t].count()) for t, n in came.items()]
     return spark.createDataFrame(
-        [(t, n["before"], n["after"], n["before"] - n["after"]) for t, n in removed.items()],
+        [(t, before, after, before - after) for t, before, after in lines],
         "table_name string, rows_before bigint, rows_after bigint, rows_removed bigint").coalesce(1)
 
 
@@ -121,38 +130,29 @@ def clean_and_stage(spark: SparkSession, raw: dict[str, DataFrame],
                     sequence: list[str] | None = None) -> dict[str, DataFrame]:
     """Clean parents before children, each child against the stored parent."""
     folder = scratch_path(spark, "staged")
-    staged, _ = _staged(spark, raw, list(sequence or SEQUENCE), {}, lambda t: f"{folder}/{t}")
-    return staged
+    return _staged(spark, raw, list(sequence or SEQUENCE), {}, lambda t: f"{folder}/{t}")
 
 
 def rows_removed(spark: SparkSession, raw: dict[str, DataFrame], sequence: list[str] | None = None
                  ) -> DataFrame:
-    """Rows before, after and removed per table, as the jobs that clean them count."""
-    folder = scratch_path(spark, "staged")
-    _, removed = _staged(spark, raw, list(sequence or SEQUENCE), {}, lambda t: f"{folder}/{t}")
-    return _rows_removed(spark, removed)
+    """What cleaning takes out of each table."""
+    came = {t: survey(t, df) for t, df in raw.items()}
+    return _rows_removed(spark, came, clean_and_stage(spark, raw, sequence))
 
 
 def _staged(spark: SparkSession, raw: dict[str, DataFrame], seq: list[str], forms: dict[str, str],
-            path) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
-    """The cleaned tables, written and read back, and how many rows went in, came out and were broken;
-    the jobs that write them count."""
+            path) -> dict[str, DataFrame]:
+    """The cleaned tables, written and read back."""
     done: dict[str, DataFrame] = {}
-    removed: dict[str, dict[str, int]] = {}
 
     def kept(table: str, cleaned) -> None:
-        came, left = Observation(f"{table} came"), Observation(f"{table} left")
-        from_files = BROKEN in raw[table].columns
-        broken = F.col(BROKEN).isNotNull() if from_files else F.lit(False)
-        rows = _sound(raw[table].observe(came, F.count(F.lit(1)).alias("rows"),
-                                         F.count_if(broken).alias("broken"))).drop(BROKEN)
-        df = cleaned(rows, forms.get(table, "ISO")).drop(*seq)
+        df, from_files = raw[table], BROKEN in raw[table].columns
+        if from_files:
+            df = df.where(F.col(BROKEN).isNull()).drop(BROKEN)
+        df = cleaned(df, forms.get(table, "ISO")).drop(*seq)
         if table in JUDGED and from_files:
             df = narrowed(df, table)
-        write_table(df.observe(left, F.count(F.lit(1)).alias("rows")), path(table), table)
-        counted = came.get
-        removed[table] = {"before": counted["rows"], "broken": counted["broken"],
-                          "after": left.get["rows"]}
+        write_table(df, path(table), table)
         done[table] = spark.read.parquet(path(table)).drop("order_month")
 
     kept("date_dimension", lambda df, form: clean.clean_calendar(df, form))
@@ -163,4 +163,4 @@ def _staged(spark: SparkSession, raw: dict[str, DataFrame], seq: list[str], form
         df, done["customers"], done["products"], done["employees"], seq, form))
     kept("returns", lambda df, form: clean.clean_returns(df, done["orders"], seq, form))
     kept("targets", lambda df, form: clean.clean_targets(df, done["employees"], seq))
-    return done, removed
+    return done
