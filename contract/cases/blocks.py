@@ -287,6 +287,50 @@ from (select * from sold join customers using (customer_id)) a left join (select
 case("M12_customer_churn_by_segment", lambda s: m.customer_churn(s, ["customer_segment"]), sql(f"""
 select customer_segment, {pct('count(*) filter (where churn_prediction=1)', 'count(*)', 6)} as customer_churn_pct
 from churn join customers using (customer_id) group by customer_segment""", "churn", "customers"))
+# Grouping by columns of several tables, and by those that don't narrow customers.
+case("M01_total_revenue_by_staff_region_and_year", lambda s: m.measure(s, "total_revenue", ["employees.region", "year"]), sql(f"""
+select e.region as employees_region, y as year, {money('sum(rc)')} as total_revenue from sold join employees e using (employee_id) group by 1, 2""",
+    "sold", "employees"))
+case("M06_average_order_value_filtered", lambda s: m.measure(s, "average_order_value", ["payment_method", "category"], NARROW), sql(
+    f"select payment_method, category, {mean('sum(rc)', 'count(*)', 100, 6)} as average_order_value from o group by 1, 2", **FEW))
+case("M05_total_customers_by_category", lambda s: m.total_customers(s, ["category"]), sql(
+    "select category, (select count(*) from customers) as total_customers from (select distinct category from products)", "customers", "products"))
+case("M05_total_customers_by_region_and_year", lambda s: m.total_customers(s, ["region", "year"]), sql("""
+select region, year, n as total_customers from (select region, count(*) as n from customers group by 1) cross join
+  (select distinct cast(extract(year from date) as int) as year from calendar)""", "customers", "calendar"))
+case("M13_revenue_per_customer_by_category", lambda s: m.revenue_per_customer(s, ["category"]), sql(f"""
+select category, coalesce({mean('rc', '(select count(*) from customers)', 100, 6)}, 0) as revenue_per_customer
+from (select distinct category from products) left join by_category using (category)""", "customers", "products", "by_category"))
+case("M13_revenue_per_customer_by_region_and_category", lambda s: m.revenue_per_customer(s, ["region", "category"]), sql(f"""
+select region, category, coalesce({mean('rc', 'n', 100, 6)}, 0) as revenue_per_customer
+from (select region, count(*) as n from customers group by 1) cross join (select distinct category from products)
+left join (select region, category, sum(rc) as rc from o group by 1, 2) using (region, category)""", "customers", "products", **ALL))
+
+
+def _shift_by(grain: str, back: int, group: str = "") -> str:
+    """Revenue of each period's calendar months, and of the same months moved back."""
+    g, on = (f"{group}, ", f" and a.{group} is not distinct from k.{group}") if group else ("", "")
+    keys = f"(select distinct {group} from o) cross join months" if group else "months"
+    sums = f"(select {g}m, sum(rc) as rc from o group by all)"
+    return f"""select {f'k.{group} as {group}, ' if group else ''}cast(date_trunc('{grain}', k.month) as date) as {grain},
+  sum(a.rc) as rc, sum(p.rc) as pr from (select * from {keys}) k
+left join {sums} a on a.m = k.month{on}
+left join {sums} p on p.m = k.month - interval {back} month{on.replace('a.', 'p.')}
+group by all having sum(a.rc) is not null or sum(p.rc) is not null"""
+
+
+_MONTHS = {"months": (("calendar",), "select distinct cast(date_trunc('month', date) as date) as month from calendar")}
+for _grain in ("quarter", "year"):
+    case(f"M07_revenue_growth_yoy_by_{_grain}", lambda s, grain=_grain: m.year_on_year_growth(s, grain=grain), sql(f"""
+select {_grain}, coalesce({pct('coalesce(rc,0)-pr', 'pr', 6)}, 0) as revenue_growth_yoy from ({_shift_by(_grain, 12)})""", **ALL, **_MONTHS))
+    case(f"M08_yoy_revenue_by_{_grain}_and_category", lambda s, grain=_grain: m.year_ago_revenue(s, ["category"], grain=grain), sql(f"""
+select category, {_grain}, {money('rc')} as revenue, {money('pr')} as yoy_revenue from ({_shift_by(_grain, 12, 'category')})""", **ALL, **_MONTHS))
+    case(f"M09_mom_revenue_by_{_grain}", lambda s, grain=_grain: m.month_ago_revenue(s, grain=grain), sql(f"""
+select {_grain}, {money('rc')} as revenue, {money('pr')} as mom_revenue from ({_shift_by(_grain, 1)})""", **ALL, **_MONTHS))
+case("M11_customer_retention_by_category", lambda s: m.customer_retention(s, ["category"]), sql(f"""
+select a.category, a.m as month, {pct('count(distinct p.customer_id)', 'count(distinct a.customer_id)', 6)} as customer_retention_pct
+from o a left join (select distinct category, customer_id, m from o) p
+  on p.customer_id=a.customer_id and p.category=a.category and p.m = a.m - interval 1 month group by 1, 2""", **ALL))
 case("M14_order_month_label", lambda s: m.with_order_month(s.orders).groupBy("order_month_label").agg(
     F.count(F.lit(1)).alias("orders")), sql(
     "select strftime(order_date, '%b %Y') as order_month_label, count(*) as orders from orders_x group by 1", "orders_x"))

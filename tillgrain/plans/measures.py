@@ -1,43 +1,57 @@
-"""Report measures, evaluated per group under a filter. Their division yields zero, not null."""
+"""Report measures, evaluated per group under a filter. Their division yields zero, not null.
+
+Any column of the star can group: ``operators/context.py`` finds the table that owns it and what it
+narrows. Sums are taken at key grain before a dimension is met.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillgrain.functions.dates import month_label, month_of
 from tillgrain.functions.labels import margin_band
 from tillgrain.functions.ratios import or_zero, pct, per
-from tillgrain.operators.scope import Filters, enriched_orders, scoped_orders, where_all
+from tillgrain.operators.context import (
+    GRAINS, fact_sums, member_counts, merged, resolved, shifted_calendar)
+from tillgrain.operators.scope import Filters, scoped_orders, where_all
 from tillgrain.sources.star import Star
 
 PLACES = 6
+#: Months in one word of a customer's bits; the bit below them repeats the last month of the word before.
+WORD_MONTHS = 62
 
 
-def _sums() -> dict[str, Column]:
-    revenue, profit, orders = F.sum("revenue"), F.sum("profit"), F.count(F.lit(1))
+def _measures() -> dict[str, tuple[dict[str, Column], Column]]:
+    """Per measure the sums that it needs, and what it makes of them."""
+    revenue, profit, orders = ({"revenue": F.sum("revenue")}, {"profit": F.sum("profit")},
+                               {"orders": F.count(F.lit(1))})
     return {
-        "total_revenue": revenue,
-        "total_profit": profit,
-        "profit_margin_pct": or_zero(pct(profit, revenue, PLACES)),
-        "total_orders": orders,
-        "average_order_value": or_zero(per(revenue, orders, PLACES)),
+        "total_revenue": (revenue, F.col("revenue")),
+        "total_profit": (profit, F.col("profit")),
+        "profit_margin_pct": (revenue | profit,
+                              or_zero(pct(F.col("profit"), F.col("revenue"), PLACES))),
+        "total_orders": (orders, F.col("orders")),
+        "average_order_value": (revenue | orders,
+                                or_zero(per(F.col("revenue"), F.col("orders"), PLACES))),
     }
 
 
+def _names(by: list[str] | None) -> list[str]:
+    return [g.name for g in resolved(by)]
+
+
 def measure(star: Star, name: str, by: list[str] | None = None, filters: Filters | None = None
             ) -> DataFrame:
-    """A measure of order rows per group of ``by``; only the dimensions that own a grouping column
-    are joined."""
-    by = by or []
-    rows = enriched_orders(star, filters, sorted({*by, "revenue", "profit"}))
-    return rows.groupBy(*by).agg(_sums()[name].alias(name))
+    """A measure of order rows per group of ``by``."""
+    sums, value = _measures()[name]
+    return fact_sums(star, by, filters, sums).select(*_names(by), value.alias(name))
 
 
 def total_customers(star: Star, by: list[str] | None = None, filters: Filters | None = None
                     ) -> DataFrame:
-    """Customers of the dimension, buyers or not. customer_id is its key, so rows are customers."""
-    return _listed(star, filters).groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("total_customers"))
+    """Customers of the dimension, buyers or not. customer_id is its key, so rows are customers.
+    Columns of other tables don't narrow them."""
+    return member_counts(star, "customers", by, filters, "total_customers")
 
 
 def _listed(star: Star, filters: Filters | None) -> DataFrame:
@@ -46,64 +60,83 @@ def _listed(star: Star, filters: Filters | None) -> DataFrame:
 
 # ---- measures that look at another period
 
-def _months(star: Star, by: list[str] | None, filters: Filters | None) -> DataFrame:
-    by = by or []
-    return (enriched_orders(star, filters, sorted({*by, "order_date", "revenue"}))
-            .groupBy(*by, month_of("order_date").alias("month"))
-            .agg(F.sum("revenue").alias("revenue")))
-
-
-def _with_earlier(star: Star, back: int, name: str, by: list[str] | None,
-                  filters: Filters | None) -> DataFrame:
-    """Each calendar month beside the revenue of the month ``back`` months earlier. A group has a row
-    for every month of the calendar in which one of the two exists; the other one is then null. The
-    two meet by grouping, so that a group without a name meets itself as well."""
-    by = by or []
-    months = _months(star, by, filters)
+def _with_earlier(star: Star, back: int, name: str, by: list[str] | None, filters: Filters | None,
+                  grain: str) -> DataFrame:
+    """Each period of the calendar beside the revenue of its months moved ``back`` months. A group has a
+    row for every period in which one of the two exists; the other one is then null. The
+    two meet by grouping, so that a group without a name meets itself as well. Months with sales that
+    the calendar lacks stand for themselves."""
+    names = _names(by)
+    if grain in names:
+        raise ValueError(f"{grain} is the grain and can't be a grouping column as well")
+    months = fact_sums(star, by, filters, {"revenue": F.sum("revenue")},
+                       {"month": month_of("order_date")})
     nothing = F.lit(None).cast("decimal(24,2)")
-    earlier = months.select(*by, F.add_months("month", back).alias("month"),
-                            nothing.alias("revenue"), F.col("revenue").alias(name))
-    calendar = (star.date_dimension.select(month_of("date").alias("month")).distinct()
-                .unionAll(months.select("month").distinct()))
-    return (months.withColumn(name, nothing).unionByName(earlier).groupBy(*by, "month")
+    known = shifted_calendar(star, back, grain)
+    sold_in = months.select("month").distinct()
+    missing = sold_in.join(known, "month", "left_anti").select(
+        "month", F.trunc("month", GRAINS[grain]).alias("period"),
+        F.add_months("month", -back).alias("earlier"))
+    calendar = known.unionByName(missing)
+    now = months.join(calendar, "month").select(*names, "period", "revenue", nothing.alias(name))
+    before = months.withColumnRenamed("month", "earlier").join(calendar, "earlier").select(
+        *names, "period", nothing.alias("revenue"), F.col("revenue").alias(name))
+    return (now.unionByName(before).groupBy(*names, F.col("period").alias(grain))
             .agg(*[F.sum(c).cast("decimal(24,2)").alias(c) for c in ("revenue", name)])
-            .join(calendar, "month", "left_semi").select(*by, "month", "revenue", name)
-            .orderBy(*by, "month"))
+            .orderBy(*names, grain))
 
 
-def year_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters | None = None
-                     ) -> DataFrame:
-    return _with_earlier(star, 12, "yoy_revenue", by, filters)
+def year_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters | None = None,
+                     grain: str = "month") -> DataFrame:
+    return _with_earlier(star, 12, "yoy_revenue", by, filters, grain)
 
 
-def year_on_year_growth(star: Star, by: list[str] | None = None, filters: Filters | None = None
-                        ) -> DataFrame:
+def year_on_year_growth(star: Star, by: list[str] | None = None, filters: Filters | None = None,
+                        grain: str = "month") -> DataFrame:
     prior = F.col("yoy_revenue")
     growth = or_zero(pct(or_zero(F.col("revenue")) - prior, prior, PLACES))
-    return year_ago_revenue(star, by, filters).select(*(by or []), "month",
-                                                      growth.alias("revenue_growth_yoy"))
+    return year_ago_revenue(star, by, filters, grain).select(*_names(by), grain,
+                                                             growth.alias("revenue_growth_yoy"))
 
 
-def month_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters | None = None
-                      ) -> DataFrame:
-    """A gap gives null; it does not reach further back."""
-    return _with_earlier(star, 1, "mom_revenue", by, filters)
+def month_ago_revenue(star: Star, by: list[str] | None = None, filters: Filters | None = None,
+                      grain: str = "month") -> DataFrame:
+    """The revenue of each period's months moved by one month. A gap gives null; it does not reach
+    further back."""
+    return _with_earlier(star, 1, "mom_revenue", by, filters, grain)
 
 
 def customer_retention(star: Star, by: list[str] | None = None, filters: Filters | None = None
                        ) -> DataFrame:
     """Per month: buyers who also bought the month before, over all buyers.
 
-    Orders are reduced to one row per (group, customer, month) first, so the window over a customer
-    holds at most a row per calendar month.
+    A customer's months are bits of a few words, united by partial aggregation, so a customer with very
+    many orders costs a row per task. A month is retained where the bit below it is set too; a word's
+    last month is repeated as the lowest bit of the next word.
     """
-    by = by or []
-    buyers = (enriched_orders(star, filters, sorted({*by, "customer_id", "order_date"}))
-              .select(*by, "customer_id", month_of("order_date").alias("month")).distinct())
-    before = F.lag("month").over(Window.partitionBy(*by, "customer_id").orderBy("month"))
-    share = or_zero(pct(F.count_if("stayed"), F.count(F.lit(1)), PLACES))
-    return (buyers.withColumn("stayed", before == F.add_months("month", -1)).groupBy(*by, "month")
-            .agg(share.alias("customer_retention_pct")).orderBy(*by, "month"))
+    names = _names(by)
+    each = list(dict.fromkeys([*names, "customer_id"]))
+    day = F.col("order_date")
+    month = F.year(day) * 12 + F.month(day) - 1
+    word, place = F.floor(month / WORD_MONTHS), (month % WORD_MONTHS).cast("int")
+    one = F.lit(1).cast("long")
+    bit = F.call_function("shiftleft", one, place + 1)
+    bits = fact_sums(star, by, filters, {"bits": F.bit_or(bit)}, {"word": word}, ["customer_id"])
+    last = F.col("bits").bitwiseAND(F.lit(1 << WORD_MONTHS)) != 0
+    # Bits of one customer lie in few rows: the carried ones join them by another union of bits.
+    carried = bits.where(last).select(*each, (F.col("word") + 1).alias("word"),
+                                      one.alias("bits"))
+    whole = bits.unionByName(carried).groupBy(*each, "word").agg(*merged(["bits"]))
+    stayed = F.col("bits").bitwiseAND(F.call_function("shiftleft", F.col("bits"), F.lit(1)))
+    on = lambda b, p: F.call_function("shiftright", b, p).bitwiseAND(one) == 1
+    places = F.filter(F.sequence(F.lit(1), F.lit(WORD_MONTHS)), lambda p: on(F.col("bits"), p))
+    unfolded = (whole.withColumn("_stayed", stayed).withColumn("_place", F.explode(places))
+                .withColumn("_index", F.col("word") * WORD_MONTHS + F.col("_place") - 1))
+    month_of_index = F.make_date(F.floor(F.col("_index") / 12).cast("int"),
+                                 (F.col("_index") % 12 + 1).cast("int"), F.lit(1))
+    share = or_zero(pct(F.count_if(on(F.col("_stayed"), F.col("_place"))), F.count(F.lit(1)), PLACES))
+    return (unfolded.groupBy(*names, month_of_index.alias("month"))
+            .agg(share.alias("customer_retention_pct")).orderBy(*names, "month"))
 
 
 # ---- measures over other tables
@@ -138,12 +171,17 @@ def customer_churn(star: Star, by: list[str] | None = None, filters: Filters | N
 
 def revenue_per_customer(star: Star, by: list[str] | None = None, filters: Filters | None = None
                          ) -> DataFrame:
-    """Revenue over the customers of the dimension, buyers or not."""
-    bought = (scoped_orders(star, filters).groupBy("customer_id")
-              .agg(F.sum("revenue").alias("revenue")))
-    share = or_zero(per(F.sum("revenue"), F.count(F.lit(1)), PLACES))
-    return (_listed(star, filters).join(bought, "customer_id", "left").groupBy(*(by or []))
-            .agg(share.alias("revenue_per_customer")))
+    """Revenue over the customers of the dimension, buyers or not. Columns of other tables split the
+    revenue and leave the customers whole."""
+    names = _names(by)
+    count = total_customers(star, by, filters)
+    bought = fact_sums(star, by, filters, {"revenue": F.sum("revenue")}).select(
+        *[F.col(n).alias(f"_{n}") for n in names], "revenue")
+    share = or_zero(per(F.col("revenue"), F.col("total_customers"), PLACES))
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))
+    return count.join(bought, same, "left").select(*names, share.alias("revenue_per_customer"))
 
 
 def with_order_month(orders: DataFrame) -> DataFrame:
