@@ -53,6 +53,8 @@ FANOUT = 8
 TREE_GROUPS = 64
 #: The round of middle members is for ranges with more members; smaller ones go to the trees at once.
 MIDDLE_FROM = 64
+#: Pairs of one document that a task verifies with one copy of its text.
+PART_PAIRS = 2_000
 #: So many ids at most are sent to all executors.
 BROADCAST_IDS = 250_000
 
@@ -91,6 +93,10 @@ def shingles(text: str, width: int) -> np.ndarray:
     return np.unique(_mixed(made))
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    return len(np.intersect1d(a, b, assume_unique=True))
+
+
 class Law:
     """When two sets of given sizes link: percent * union <= 100 * common."""
 
@@ -206,34 +212,34 @@ class RTree:
                                 np.where(low == high, low, -1)))
 
     def pairs(self, law: Law) -> np.ndarray:
-        """Places of points in different components whose bound reaches what they need."""
-        at = np.zeros((1, 2), np.int64)
-        for level in range(len(self.levels) - 1, -1, -1):
+        """All that ``portions`` gives."""
+        return np.concatenate([np.empty((0, 2), np.int64), *self.portions(law)])
+
+    def portions(self, law: Law) -> Iterator[np.ndarray]:
+        """Places of points in different components whose bound reaches what they need, some at a time.
+        Pairs of boxes are opened depth first, so few of them are held at once."""
+        step, some = np.arange(FANOUT), 1 << 12
+        held = [(len(self.levels) - 1, np.zeros((1, 2), np.int64))]
+        while held:
+            level, at = held.pop()
             top, small, label = self.levels[level]
-            found = []
-            for begin in range(0, len(at), 1 << 12):
-                i, j = at[begin:begin + (1 << 12)].T
-                bound = np.minimum(top[i], top[j]).sum(axis=1)
-                ok = (bound >= law.least(small[i], small[j])) & ((label[i] != label[j])
-                                                                 | (label[i] < 0))
-                found.append(at[begin:begin + (1 << 12)][ok])
-            at = np.concatenate(found) if found else at
+            i, j = at.T
+            bound = np.minimum(top[i], top[j]).sum(axis=1)
+            at = at[(bound >= law.least(small[i], small[j])) & ((label[i] != label[j]) | (label[i] < 0))]
             if level:
                 below = len(self.levels[level - 1][1])
-                step = np.arange(FANOUT)
                 a = (at[:, :1] * FANOUT + step)[:, :, None]
                 b = (at[:, 1:] * FANOUT + step)[:, None, :]
                 a, b = (x.ravel() for x in np.broadcast_arrays(a, b))
                 ok = (a < below) & (b < below) & (a <= b if level > 1 else a < b)
                 at = np.stack([a[ok], b[ok]], axis=1)
-        at = self.order[at[at[:, 0] != at[:, 1]]]
-        found = [np.empty((0, 2), np.int64)]
-        for begin in range(0, len(at), 1 << 12):
-            i, j = at[begin:begin + (1 << 12)].T
+                held += [(level - 1, at[begin:begin + some]) for begin in range(0, len(at), some)]
+                continue
+            i, j = at = self.order[at].T
             bound = np.minimum(self.points[i], self.points[j]).sum(axis=1)
-            found.append(at[begin:begin + (1 << 12)][bound >= law.least(self.sizes[i],
-                                                                       self.sizes[j])])
-        return np.concatenate(found)
+            found = at.T[(i != j) & (bound >= law.least(self.sizes[i], self.sizes[j]))]
+            if len(found):
+                yield found
 
 
 def _middle_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, law: Law) -> np.ndarray:
@@ -309,19 +315,45 @@ def _reaching(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, percent: int, width: int, texts_of) -> DataFrame:
-    """The pairs that link, by the sets of their documents, whose texts ``texts_of`` finds by id."""
+    """The pairs that link, by the sets of their documents, whose texts ``texts_of`` finds by id.
+
+    Pairs are dealt out by their smaller document, in parts where it has many. A part gets that
+    document's text once, and its set is held while the others' texts pass by."""
     law = Law(percent)
 
-    def links(first: str, second: str) -> bool:
-        a, b = shingles(first, width), shingles(second, width)
-        return len(np.intersect1d(a, b, assume_unique=True)) >= law.least(len(a), len(b))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, a = None, None
+        for batch in batches:
+            keep = []
+            for u, part, first, text in zip(*(batch.column(n) for n in (0, 2, 3, 4))):
+                here = u.as_py(), part.as_py()
+                if first.as_py():
+                    own, a = here, shingles(text.as_py(), width)
+                    keep.append(False)
+                    continue
+                b = shingles(text.as_py(), width)
+                keep.append(own == here and _common(a, b) >= law.least(len(a), len(b)))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(
+                pa.array(keep, pa.bool_()))
 
     near = pin(pairs)
     ids = pin(near.select(F.explode(F.array("u", "v")).alias("rep")).distinct())
     count = ids.count()
     if not count:
         return near
-    return _filtered(_met(near, texts_of(ids, count), "text"), links)
+    texts = texts_of(ids, count)
+    many = near.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / PART_PAIRS).cast("int").alias("parts"))
+    tails = (near.join(many, "u").join(texts.withColumnRenamed("rep", "v"), "v")
+             .select("u", "v", F.pmod(F.xxhash64("v"), "parts").cast("int").alias("part"),
+                     F.lit(False).alias("first"), "text"))
+    heads = (many.join(texts.withColumnRenamed("rep", "u"), "u")
+             .select("u", F.col("u").alias("v"),
+                     F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                     F.lit(True).alias("first"), "text"))
+    tasks = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = (heads.unionByName(tails).repartition(tasks, "u", "part")
+           .sortWithinPartitions("u", "part", F.desc("first"), "v"))
+    return met.mapInArrow(work, "u bigint, v bigint")
 
 
 def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
@@ -329,41 +361,39 @@ def _tree_pairs(rows: DataFrame, percent: int, middle: bool) -> DataFrame:
     part_b, part, rep, label, point; they come sorted by tile."""
     law = Law(percent)
 
-    def solve(reps, labels, parts, points, tiled: bool) -> np.ndarray:
+    def solve(reps, labels, parts, points, tiled: bool) -> Iterator[np.ndarray]:
         groups = min(map(len, points))
         at = np.stack([_folded(p, groups).astype(np.int32) for p in points])
         sizes = at.sum(axis=1)
         _, small = np.unique(labels, return_inverse=True)
-        found = _middle_pairs(at, sizes, small, law) if middle else RTree(at, sizes, small).pairs(law)
-        if tiled and not middle:
-            found = found[parts[found[:, 0]] != parts[found[:, 1]]]
-        return reps[found]
+        if middle:
+            yield reps[_middle_pairs(at, sizes, small, law)]
+            return
+        for found in RTree(at, sizes, small).portions(law):
+            yield reps[found[parts[found[:, 0]] != parts[found[:, 1]]] if tiled else found]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         tile = None
 
-        def close() -> pa.RecordBatch | None:
+        def close() -> Iterator[pa.RecordBatch]:
             if len(held) < 2:
-                return None
+                return
             reps, labels, parts, points = zip(*held)
-            found = solve(np.array(reps), np.array(labels), np.array(parts), points,
-                          tile[1] != tile[2])
-            low, high = found.min(axis=1, initial=1 << 62), found.max(axis=1, initial=-(1 << 62))
-            return pa.RecordBatch.from_pydict({"u": pa.array(low, pa.int64()),
-                                               "v": pa.array(high, pa.int64())})
+            for found in solve(np.array(reps), np.array(labels), np.array(parts), points,
+                               tile[1] != tile[2]):
+                yield pa.RecordBatch.from_pydict({"u": pa.array(found.min(axis=1), pa.int64()),
+                                                  "v": pa.array(found.max(axis=1), pa.int64())})
 
         for batch in batches:
             key, part_a, part_b, part, rep, label = (c.to_pylist() for c in batch.columns[:6])
             for n, body in enumerate(batch.column(6)):
                 here = key[n], part_a[n], part_b[n]
                 if here != tile:
-                    if (made := close()) is not None:
-                        yield made
+                    yield from close()
                     held, tile = [], here
                 held.append((rep[n], label[n], part[n], unpacked(body.as_py())))
-        if (made := close()) is not None:
-            yield made
+        yield from close()
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(parts, "key", "part_a", "part_b")
