@@ -187,6 +187,78 @@ case("P06_monthly_forecast", lambda s: forecast.monthly_forecast(forecast.daily_
 case("P06_monthly_forecast_by_region", lambda s: forecast.monthly_forecast(forecast.daily_series(s, "region")))
 
 
+# Smoothing with given weights, against a recursion over the days or months.
+_GIVEN = (0.2, 0.05, 0.1)
+_REGIONAL = {**_DAILY, "by_day": (("days", "sold", "customers"), """
+select r.region as series, d.date, cast(coalesce(sum(rc),0) as double)/100 as y from days d cross join (select distinct region from customers) r
+left join (select order_date, region, rc from sold join customers using (customer_id)) s on s.order_date=d.date and s.region=r.region group by r.region, d.date""")}
+
+
+def _recursion(source: str, season: int, held: int = 0) -> dict:
+    """Level, trend, season and errors step by step, without the last ``held`` values of a series."""
+    a, b, g = _GIVEN
+    return {
+        "numbered": ((), f"""
+select series, y, i, n, case when n >= {2 * season} then {season} else 0 end as m from (
+  select series, y, date, row_number() over (partition by series order by date) - 1 as i, count(*) over (partition by series) - {held} as n
+  from {source}) where i < n"""),
+        "walk": ((), f"""
+select series, cast(0 as bigint) as i, y as level, cast(0 as double) as trend,
+  list_transform(range(0, greatest(m, 1)), lambda k: cast(0 as double)) as season, cast(0 as double) as sse, cast(0 as double) as total
+from numbered where i = 0
+union all
+select series, i + 1, risen, trend + {b} * (risen - level - trend),
+  case when m > 1 then list_transform(season, lambda s, k: case when k - 1 = i % m then s + {g} * e else s end) else season end,
+  sse + e * e, total + e
+from (select *, ahead + {a} * e as risen from (select *, y - ahead - season[(case when m > 1 then i % m else 0 end) + 1] as e
+  from (select w.*, n.y, n.m, w.level + w.trend as ahead from walk w join numbered n on n.series = w.series and n.i = w.i)))"""),
+        "state": ((), """
+select w.series, cast(n.n as int) as n, cast(n.m as int) as season_length, level, trend, season, sse,
+  sqrt(greatest(sse / n.n - (total / n.n) * (total / n.n), 0)) as resid_std
+from walk w join (select distinct series, n, m from numbered) n on n.series = w.series and n.n = w.i""")}
+
+
+def _state_sql(body: str, source: tuple, season: int, held: int = 0) -> str:
+    names, extra = source
+    first = sql("", *names, **extra).strip()
+    rest = ",\n".join(f"{n} as ({q})" for n, (_, q) in _recursion("source", season, held).items())
+    return f"with recursive {first.removeprefix('with ')},\n{rest}\n{body}"
+
+
+_DAYS_OF = (("customers",), {**_REGIONAL, "source": (("by_day",), "select series, date, y from by_day")})
+_MONTHS_OF = (("customers",), {**_REGIONAL, "source": (("by_day",), """
+select series, date_trunc('month', date) as date, sum(y) as y from by_day group by 1, 2""")})
+_VALUE = "level + h * trend + season[(case when season_length > 1 then (n + h - 1) % season_length else 0 end) + 1]"
+
+
+def _bands(steps: int, when: str, name: str) -> str:
+    return f"""select series, cast(h as int) as step, {when} as {name}, round(v, 2) as forecast_revenue,
+  round(greatest(v - 1.96 * resid_std, 0), 2) as lower_bound, round(v + 1.96 * resid_std, 2) as upper_bound
+from (select s.*, h, {_VALUE} as v, (select max(date) from source) as last from state s, range(1, {steps + 1}) r(h))"""
+
+
+def _regions(star):
+    return forecast.daily_series(star, "region")
+
+
+case("P03_state_for_given_weights", lambda s: forecast.with_weights(*_GIVEN)(
+    forecast.as_arrays(_regions(s)), forecast.DAILY_SEASON).select(
+    "series", "n", "season_length", *[F.round(c, 4).alias(c) for c in ("level", "trend", "resid_std")],
+    F.round(F.col("season")[3], 4).alias("fourth_of_season"), F.round(F.col("sse") / 1e6, 2).alias("sse_millions")),
+    _state_sql("""select series, n, season_length, round(level, 4) as level, round(trend, 4) as trend, round(resid_std, 4) as resid_std,
+  round(season[4], 4) as fourth_of_season, round(sse / 1e6, 2) as sse_millions from state""", _DAYS_OF, 7))
+case("P04_bands_for_given_weights", lambda s: forecast.daily_forecast(_regions(s), 30, forecast.with_weights(*_GIVEN)),
+     _state_sql(_bands(30, "strftime(last + to_days(cast(h as int)), '%Y-%m-%d')", "date"), _DAYS_OF, 7))
+case("P06_bands_for_given_weights", lambda s: forecast.monthly_forecast(_regions(s), 6, forecast.with_weights(*_GIVEN)),
+     _state_sql(_bands(6, "strftime(last + to_months(cast(h as int)), '%Y-%m')", "month"), _MONTHS_OF, 12))
+case("P05_backtest_for_given_weights", lambda s: forecast.backtest(_regions(s), 30, forecast.with_weights(*_GIVEN)),
+     _state_sql(f"""select series, round(avg(abs(y - v)), 2) as "MAE", round(sqrt(avg((y - v) * (y - v))), 2) as "RMSE",
+  round(avg(abs((y - v) / nullif(y, 0))) * 100, 2) as "MAPE_pct"
+from (select s.*, h, {_VALUE} as v from state s, range(1, 31) r(h)) join (
+  select series, y, row_number() over (partition by series order by date) as k from source) p using (series)
+where k = n + h group by series""", _DAYS_OF, 7, 30))
+
+
 @lru_cache(maxsize=4)
 def _forecast_reports(spark, folder):
     home = scratch_path(spark, "reports")

@@ -1,7 +1,8 @@
-"""Additive exponential smoothing of a batch of series with array arithmetic.
+"""Weights of additive exponential smoothing for a batch of series, with array arithmetic.
 
 This is the one step Spark's own expressions cannot carry out at a useful speed: a recursion over
-time, tried with many weights. It runs inside tasks, on the rows Spark hands to each.
+time, tried with many weights. It runs inside tasks, on the rows Spark hands to each, and hands back the
+weights and the start; what these make of a series is computed by ``operators/forecast.smoothed``.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark import cloudpickle
 # Ship this module's functions by value, so that workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STATE = ("series string, n int, season_length int, alpha double, beta double, gamma double, "
-         "level double, trend double, season array<double>, resid_std double, sse double")
+WEIGHTS = ("series string, y array<double>, season_length int, alpha double, beta double, gamma double, "
+           "level double, trend double, season array<double>")
 
 
 def _start(y: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +87,9 @@ def _fit_batch(y: np.ndarray, m: int) -> dict[str, np.ndarray]:
             found = {
                 "weights": weights[np.arange(len(y)), at], "sse": _pick(sse, at),
                 "mean": _pick(mean, at), "level": _pick(level, at), "trend": _pick(trend, at),
-                "season": np.stack([_pick(s, at) for s in season], axis=1)}
+                "season": np.stack([_pick(s, at) for s in season], axis=1),
+                "start_level": start[0].copy(), "start_trend": start[1].copy(),
+                "start_season": start[2].copy()}
             moves = np.array([(x, z, w) for x in (-1, 0, 1) for z in (-1, 0, 1)
                               for w in ((-1, 0, 1) if m > 1 else (0,))]) * step
             weights = np.clip(found["weights"][:, None, :] + moves[None], 0.0, 0.999)
@@ -101,7 +104,8 @@ def _fit_batch(y: np.ndarray, m: int) -> dict[str, np.ndarray]:
 
 
 def batch_fitter(season_length: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The function that turns batches of (series, y) into rows of STATE."""
+    """The function that turns batches of (series, y) into rows of WEIGHTS: the state is the one before
+    the first value."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lengths = batch["y"].map(len)
@@ -113,10 +117,9 @@ def batch_fitter(season_length: int) -> Callable[[Iterator[pd.DataFrame]], Itera
                     part = same.iloc[lo:lo + 64]
                     y = np.stack([np.asarray(v, dtype=float) for v in part["y"]])
                     state = _fit_batch(y, m)
-                    spread = np.sqrt(np.maximum(state["sse"] / n - state["mean"] ** 2, 0.0))
                     yield pd.DataFrame({
-                        "series": part["series"].to_numpy(), "n": n, "season_length": m,
+                        "series": part["series"].to_numpy(), "y": list(part["y"]), "season_length": m,
                         "alpha": state["weights"][:, 0], "beta": state["weights"][:, 1],
-                        "gamma": state["weights"][:, 2], "level": state["level"], "trend": state["trend"],
-                        "season": list(state["season"]), "resid_std": spread, "sse": state["sse"]})
+                        "gamma": state["weights"][:, 2], "level": state["start_level"],
+                        "trend": state["start_trend"], "season": list(state["start_season"])})
     return run
