@@ -180,6 +180,17 @@ case("A28_churn_list", lambda s: b.churn_list(s, as_of=AS_OF), sql(_CHURN_LIST,
 case("A28_churn_table", lambda s: b.churn_table(s, "High", 2, 25, AS_OF),
      sql(_CHURN_LIST + " where risk_level='High' order by ct desc, h.customer_id limit 25 offset 25", "churn", "customers", "cust", **SEGMENTED))
 
+
+
+def _after_first(star):
+    """The second page, sought from the last row of the first."""
+    last = b.churn_table_after(star, None, "High", 25, AS_OF).collect()[-1].asDict()
+    return b.churn_table_after(star, last, "High", 25, AS_OF)
+
+
+case("A28_churn_table_sought", _after_first,
+     sql(_CHURN_LIST + " where risk_level='High' order by ct desc, h.customer_id limit 25 offset 25", "churn", "customers", "cust", **SEGMENTED))
+
 # ---- segments
 
 case("A29_segment_profile", lambda s: b.segment_profile(rfm.ntile_segments(s, AS_OF)), sql(f"""

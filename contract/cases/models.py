@@ -1,7 +1,7 @@
 """Segments by quantiles, churn and forecasts."""
 
 import datetime as dt
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Window, functions as F
 
@@ -9,7 +9,7 @@ from contract.cases.views import SEGMENT
 from contract.mapping import money, sql
 from contract.registry import case, raw_case
 from tillgrain.functions.labels import risk_level
-from tillgrain.operators import churn, forecast, rfm
+from tillgrain.operators import churn, forecast, rfm, trees
 from tillgrain.plans import blocks, client, jobs
 from tillgrain.session import pin, scratch_path
 from tillgrain.sources.linestar import star_from_lines
@@ -119,6 +119,86 @@ case("C12_risk_level", lambda s: s.churn.select("customer_id", risk_level(F.col(
      sql("select customer_id, risk_level from churn", "churn"))
 
 
+# Scoring from exported tables: a given forest, a given boosted model and given weights, over the customers' features.
+_TREES = [(t, 0, f, cut, 1, 2, None) for t, (f, cut) in enumerate(((0, 30.0), (1, 900000.0), (4, 0.1)))] + [
+    row for t, (f, cut) in enumerate(((1, 400000.0), (5, 2000.0), (3, 0.12)))
+    for row in ((t, 1, f, cut, 3, 4, None), (t, 2, None, None, None, None, 0.15 + 0.2 * t), (t, 3, None, None, None, None, 0.9 - 0.1 * t),
+                (t, 4, None, None, None, None, 0.45))]
+_GIVEN_NODES = [(*row, (0.5, 1.0, 0.25)[row[0]]) for row in _TREES]
+_GIVEN_WEIGHTS = [("frequency", 35.0, 8.0, -0.7), ("total_spend", 900000.0, 250000.0, 0.25), ("return_rate", 0.08, 0.05, 0.4), (None, None, None, -0.3)]
+
+
+def _literal(value) -> str:
+    return "null" if value is None else f"'{value}'" if isinstance(value, str) else repr(value)
+
+
+def _values(rows: list, names: str) -> str:
+    listed = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+    return f"select * from (values {listed}) as v({names})"
+
+
+_NODE_SQL = {
+    "nodes": ((), _values(_GIVEN_NODES, "tree, node, feature, threshold, l, r, leaf, weight")),
+    "x": (("ft",), f"select customer_id, [{', '.join(f'cast({c} as double)' for c in churn.FEATURES)}] as f from ft")}
+_WALKED = """
+walked as (select customer_id, tree, 0 as at from x, (select distinct tree from nodes)
+  union all select w.customer_id, w.tree, case when x.f[n.feature + 1] <= n.threshold then n.l else n.r end
+  from walked w join nodes n on n.tree = w.tree and n.node = w.at and n.feature is not null join x on x.customer_id = w.customer_id),
+leaves as (select customer_id, w.tree, leaf, weight from walked w join nodes n on n.tree = w.tree and n.node = w.at where n.feature is null)"""
+_BAND_SQL = """case when c <= 0.33 then 'Low' when c <= 0.66 then 'Medium' else 'High' end"""
+
+
+def _chance_sql(value: str) -> str:
+    return "with recursive " + sql("", "x", **_SCORE, **_NODE_SQL).strip().removeprefix("with ") + f""",{_WALKED}
+select customer_id, round(c, 5) as churn_chance, cast(c >= 0.5 as int) as predicted, {_BAND_SQL.replace('c <=', 'round(c, 5) <=')} as risk_level
+from (select customer_id, {value} as c from leaves group by customer_id)"""
+
+
+def _from_nodes(star, kind):
+    spark = star.orders.sparkSession
+    made = trees.with_tree_chance(churn.scoring_set(star), spark.createDataFrame(_GIVEN_NODES, trees.NODES), churn.FEATURES, kind, 2)
+    return _called(made)
+
+
+def _called(rows):
+    chance = F.round("churn_chance", 5)
+    return rows.select("customer_id", chance.alias("churn_chance"), (F.col("churn_chance") >= 0.5).cast("int").alias("predicted"),
+                       risk_level(chance).alias("risk_level"))
+
+
+case("C07_forest_from_nodes", lambda s: _from_nodes(s, trees.FOREST), _chance_sql("sum(weight * leaf) / sum(weight)"))
+case("C08_boosting_from_nodes", lambda s: _from_nodes(s, trees.BOOSTED), _chance_sql("1 / (1 + exp(-2 * sum(weight * leaf)))"))
+_MARGIN = " + ".join(f"({w!r}) * (cast({n} as double) - {m!r}) / {sd!r}" if n else f"({w!r})" for n, m, sd, w in _GIVEN_WEIGHTS)
+case("C06_chance_from_weights", lambda s: _called(trees.with_linear_chance(
+    churn.scoring_set(s), s.orders.sparkSession.createDataFrame(_GIVEN_WEIGHTS, trees.WEIGHTS))), sql(f"""
+select customer_id, round(c, 5) as churn_chance, cast(c >= 0.5 as int) as predicted, {_BAND_SQL.replace('c <=', 'round(c, 5) <=')} as risk_level
+from (select customer_id, 1 / (1 + exp(-({_MARGIN}))) as c from ft)""", **_SCORE))
+
+
+def _exported(spark, folder):
+    """How far chances from exported tables lie from the models' own, over every customer to score; and the largest gradient of
+    the logistic model's loss at its weights. All are zero but for rounding."""
+    star = star_from_lines(spark, folder)
+    split = pin(churn.stratified_split(churn.training_set(star)))
+    train, rows = split.where("not is_test"), churn.scoring_set(star)
+    parts = []
+    for name, kind, depth in ((churn.MODELS[1], trees.FOREST, 8), (churn.MODELS[2], trees.BOOSTED, 3)):
+        model = churn.fit(train, name)
+        own = churn.predict(model, rows).select("customer_id", F.col("churn_chance").alias("own"))
+        made = trees.with_tree_chance(rows, trees.node_table(model), churn.FEATURES, kind, depth)
+        parts.append(made.join(own, "customer_id").agg(
+            F.lit(name).alias("model"), F.round(F.max(F.abs(F.col("own") - F.col("churn_chance"))), 9).alias("off")))
+    model = churn.fit(train, churn.MODELS[0])
+    table = trees.weight_table(model, churn.FEATURES)
+    parts.append(trees.logistic_gradient(train, table, "is_churned", 1.0 / train.count()).agg(
+        F.lit(churn.MODELS[0]).alias("model"), F.round(F.max(F.abs("gradient")), 4).alias("off")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+raw_case("C11_exported_models_agree", _exported, " union all ".join(
+    f"select '{name}' as model, cast(0 as double) as off" for name in churn.MODELS))
+
+
 @lru_cache(maxsize=4)
 def _split(spark, folder):
     return pin(churn.stratified_split(churn.training_set(star_from_lines(spark, folder))))

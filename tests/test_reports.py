@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tests.conftest import by, d, make_star, order, rows
 from tillgrain.functions.ratios import pct, per
 from tillgrain.operators.rollup import by_attribute, sold
-from tillgrain.operators.scope import Filters, matches, page_info, page_of, scoped_orders
+from tillgrain.operators.scope import (
+    Filters, Order, matches, page_after, page_info, page_of, scoped_orders)
 from tillgrain.plans import blocks, client, insights, kpis, measures, queries, views
 from tillgrain.sources.star import Star
 
@@ -118,11 +119,20 @@ def test_bad_pages_are_refused(star, page, size):
         page_of(star.customers, [F.col("customer_id")], page, size)
 
 
-def test_pages_far_back_equal_near_ones(spark, monkeypatch):
+def test_sought_pages_equal_numbered_ones(spark):
+    df = spark.range(100).selectExpr("id as k", "if(id % 9 = 0, null, id % 4) as v")
+    order = [Order("v", descending=True), Order("k")]
+    last = None
+    for page in range(1, 17):
+        near = rows(page_of(df, [o.sort() for o in order], page, 7))
+        assert rows(page_after(df, order, last, 7)) == near
+        last = near[-1] if near else None
+    assert near == []
+
+
+def test_pages_by_number(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
-    near = rows(page_of(df, [F.desc("k")], 4, 7))
-    monkeypatch.setattr("tillgrain.operators.scope.NEAR_ROWS", 0)
-    assert rows(page_of(df, [F.desc("k")], 4, 7)) == near
+    assert [r["k"] for r in rows(page_of(df, [F.desc("k")], 4, 7))] == list(range(78, 71, -1))
     assert rows(page_info(df, 4, 7)) == [
         {"page": 4, "page_size": 7, "total_rows": 100, "page_count": 15}]
 

@@ -12,7 +12,6 @@ from tillgrain.operators.ordering import with_row_number
 from tillgrain.sources.star import Star
 
 MAX_PAGE_SIZE = 200
-NEAR_ROWS = 10_000
 
 
 def _day(value: dt.date | str | None) -> dt.date | None:
@@ -126,16 +125,50 @@ def check_page(page: int, page_size: int) -> None:
         raise ValueError(f"page_size must lie between 1 and {MAX_PAGE_SIZE}")
 
 
+@dataclass(frozen=True)
+class Order:
+    """A column that a page is ordered by. Descending puts nulls first, ascending too."""
+
+    column: str
+    descending: bool = False
+
+    def sort(self) -> Column:
+        return F.desc_nulls_first(self.column) if self.descending else F.asc_nulls_first(self.column)
+
+    def after(self, value: object) -> Column:
+        """Whether a row comes after the value in this column."""
+        if value is None:  # nulls come first
+            return F.col(self.column).isNotNull()
+        later = F.col(self.column) < F.lit(value) if self.descending else F.col(self.column) > F.lit(value)
+        return F.coalesce(later, F.lit(False))
+
+
+def page_after(df: DataFrame, order: list[Order], last: dict | None = None, page_size: int = 25
+               ) -> DataFrame:
+    """The page that follows the row ``last`` (its values of the order's columns), or the first one.
+
+    The order ends in a key. The rows before are filtered away, so a page far back costs as much as
+    the first: a task hands on its first ``page_size`` rows at most, and no row is numbered."""
+    check_page(1, page_size)
+    if last is not None:
+        beyond, same = F.lit(False), F.lit(True)
+        for part in order:
+            beyond = beyond | (same & part.after(last[part.column]))
+            same = same & F.col(part.column).eqNullSafe(F.lit(last[part.column]))
+        df = df.where(beyond)
+    return df.orderBy(*[part.sort() for part in order]).limit(page_size)
+
+
 def page_of(df: DataFrame, order: list[Column], page: int = 1, page_size: int = 25) -> DataFrame:
-    """One page. The order should end in a key, or rows could move between pages.
+    """One page by its number. The order should end in a key, or rows could move between pages.
 
-    A limit gathers all rows up to the page in one place, so a page further back is cut out by row
-    numbers instead.
+    The first page is a limit; later ones are cut out by row numbers, since a limit would gather all
+    rows up to the page in one place. ``page_after`` needs neither.
     """
     check_page(page, page_size)
+    if page == 1:
+        return df.orderBy(*order).limit(page_size)
     skipped = (page - 1) * page_size
-    if skipped + page_size <= NEAR_ROWS:
-        return df.orderBy(*order).offset(skipped).limit(page_size)
     numbered = with_row_number(df, order, "_rn")
     return (numbered.where(F.col("_rn").between(skipped + 1, skipped + page_size))
             .orderBy("_rn").drop("_rn"))

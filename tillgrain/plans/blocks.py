@@ -16,8 +16,8 @@ from tillgrain.operators import rfm
 from tillgrain.operators.ordering import with_rank
 from tillgrain.operators.quality import REPORT_SCHEMA, quality_summary
 from tillgrain.operators.rollup import by_attribute, by_key, sold
-from tillgrain.operators.scope import (Filters, equals_if_given, matches, page_info, page_of,
-                                       scoped_orders, where_all)
+from tillgrain.operators.scope import (Filters, Order, equals_if_given, matches, page_after, page_info,
+                                       page_of, scoped_orders, where_all)
 from tillgrain.plans.queries import (acquisition_by_month, by_category, by_region, most_returned,
                                      monthly)
 from tillgrain.sources.star import Star
@@ -321,11 +321,10 @@ def churn_overall(star: Star) -> DataFrame:
     return star.churn.agg(_mean_probability().alias("avg_churn_probability"))
 
 
-def churn_list(star: Star, risk_level: str | None = None, as_of: AsOf = None) -> DataFrame:
+def _churn_details(star: Star, predicted: DataFrame, orders: DataFrame, as_of: AsOf) -> DataFrame:
     """Predictions with the customer, what they bought, and their segment. All joins run on
     customer_id over one row per customer."""
-    predicted = equals_if_given(star.churn, "risk_level", risk_level)
-    bought = by_key(sold(star.orders), ["customer_id"], "revenue", "orders", "last_purchase")
+    bought = by_key(sold(orders), ["customer_id"], "revenue", "orders", "last_purchase")
     segments = rfm.ntile_segments(star, as_of).select("customer_id",
                                                       F.col("segment").alias("rfm_segment"))
     return (predicted.join(star.customers.select("customer_id", "customer_name", "region"),
@@ -337,11 +336,34 @@ def churn_list(star: Star, risk_level: str | None = None, as_of: AsOf = None) ->
                     "churn_probability", "risk_level"))
 
 
+def churn_list(star: Star, risk_level: str | None = None, as_of: AsOf = None) -> DataFrame:
+    """All predictions with their customers."""
+    return _churn_details(star, equals_if_given(star.churn, "risk_level", risk_level), star.orders,
+                          as_of)
+
+
+CHURN_ORDER = [Order("churn_probability", descending=True), Order("customer_id")]
+
+
+def _churn_page(star: Star, cut: DataFrame, as_of: AsOf) -> DataFrame:
+    """The rows of a page with their customers: only these customers' orders are summed."""
+    orders = star.orders.join(cut.select("customer_id"), "customer_id", "left_semi")
+    return _churn_details(star, cut, orders, as_of).orderBy(*[o.sort() for o in CHURN_ORDER])
+
+
 def churn_table(star: Star, risk_level: str | None = None, page: int = 1, page_size: int = 25,
                 as_of: AsOf = None) -> DataFrame:
-    return page_of(churn_list(star, risk_level, as_of),
-                   [F.desc_nulls_first("churn_probability"), F.asc("customer_id")], page,
-                   page_size)
+    """A page by its number, cut from the predictions before anything is joined."""
+    cut = page_of(equals_if_given(star.churn, "risk_level", risk_level),
+                  [o.sort() for o in CHURN_ORDER], page, page_size)
+    return _churn_page(star, cut, as_of)
+
+
+def churn_table_after(star: Star, last: dict | None = None, risk_level: str | None = None,
+                      page_size: int = 25, as_of: AsOf = None) -> DataFrame:
+    """The page after a row of the table, or the first one."""
+    cut = page_after(equals_if_given(star.churn, "risk_level", risk_level), CHURN_ORDER, last, page_size)
+    return _churn_page(star, cut, as_of)
 
 
 def churn(star: Star, risk_level: str | None = None, page: int = 1, page_size: int = 25,
