@@ -352,7 +352,8 @@ select product_id, case when selling_price = 0 then 'Low Margin' when (selling_p
 # ---- values pages derive
 
 _REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-case("U01_region_pivot", lambda s: u.region_pivot(s, regions=_REGION_NAMES), sql(
+# The query takes the regions from the data; SQL has to name them.
+case("U01_region_pivot", u.region_pivot, sql(
     "select m as month, " + ", ".join(
         "cast(sum(rc) filter (where region='" + r + "') as double)/100 as \"" + r + "\"" for r in _REGION_NAMES)
     + " from o group by m", **ALL))

@@ -106,7 +106,7 @@ def _judged(star):
     return churn.training_set(star).join(scores, "customer_id")
 
 
-case("C09_metrics", lambda s: churn.evaluate(_judged(s)), sql("""
+_METRICS_SQL = """
 select cast(tp+tn as double)/(tp+tn+fp+fn) as accuracy, case when tp+fp=0 then 0 else cast(tp as double)/(tp+fp) end as precision,
   case when tp+fn=0 then 0 else cast(tp as double)/(tp+fn) end as recall, case when 2*tp+fp+fn=0 then 0 else cast(2*tp as double)/(2*tp+fp+fn) end as f1_score,
   cast(u as double)/(2*p*q) as roc_auc, tn, fp, fn, tp
@@ -114,7 +114,8 @@ from (select count(*) filter (where is_churned=0 and g=0) as tn, count(*) filter
     count(*) filter (where is_churned=1 and g=0) as fn, count(*) filter (where is_churned=1 and g=1) as tp,
     sum(is_churned) as p, sum(1-is_churned) as q, sum(is_churned*r2) - sum(is_churned)*(sum(is_churned)+1) as u
   from (select is_churned, churn_prediction as g, 2*rank() over (order by ct) + count(*) over (partition by ct) - 1 as r2
-    from ft join churn using (customer_id)))""", "churn", **_TRAIN))
+    from ft join churn using (customer_id)))"""
+case("C09_metrics", lambda s: churn.evaluate(_judged(s)), sql(_METRICS_SQL, "churn", **_TRAIN))
 case("C12_risk_level", lambda s: s.churn.select("customer_id", risk_level(F.col("churn_probability")).alias("risk_level")),
      sql("select customer_id, risk_level from churn", "churn"))
 
@@ -339,6 +340,28 @@ from (select s.*, h, {_VALUE} as v from state s, range(1, 31) r(h)) join (
 where k = n + h group by series""", _DAYS_OF, 7, 30))
 
 
+def _given_summary(star):
+    """The stored summary of a comparison and a backtest with known results."""
+    spark = star.orders.sparkSession
+    home = scratch_path(spark, "summary")
+    jobs.write_report(churn.evaluate(_judged(star)).select(F.lit("given").alias("model"), *churn.METRICS), home, "churn_model_comparison")
+    jobs.write_report(forecast.backtest(forecast.daily_series(star), 30, forecast.with_weights(*_GIVEN)).drop("series"), home,
+                      "forecast_backtest_metrics")
+    return jobs.run_evaluation(spark, home).withColumn("value", F.round("value", 9))
+
+
+_TOTAL_OF = (("churn",), {**_DAILY, **_TRAIN, "source": (("daily",), "select series, date, cast(c as double)/100 as y from daily")})
+_ERRORS = {"MAE": "avg(abs(y - v))", "RMSE": "sqrt(avg((y - v) * (y - v)))", "MAPE_pct": "avg(abs((y - v) / nullif(y, 0))) * 100"}
+case("P07_summary_of_given_results", _given_summary, _state_sql(
+    "select 'churn model comparison' as section, 'given' as subject, metric, round(cast(value as double), 9) as value from (unpivot (select "
+    + ", ".join(f"cast({m} as double) as {m}" for m in churn.METRICS) + f" from ({_METRICS_SQL})) on " + ", ".join(churn.METRICS)
+    + f""" into name metric value value)
+union all select 'forecast backtest (30-day holdout)', 'Holt-Winters', metric, value from (
+  select unnest({list(_ERRORS)}) as metric, unnest([{', '.join(f'round({e}, 2)' for e in _ERRORS.values())}]) as value
+  from (select s.*, h, {_VALUE} as v from state s, range(1, 31) r(h)) join (
+    select series, y, row_number() over (partition by series order by date) as k from source) p using (series) where k = n + h)""", _TOTAL_OF, 7, 30))
+
+
 @lru_cache(maxsize=4)
 def _forecast_reports(spark, folder):
     home = scratch_path(spark, "reports")
@@ -349,7 +372,7 @@ def _forecast_reports(spark, folder):
 def _evaluation(spark, folder):
     home = _forecast_reports(spark, folder)
     jobs.write_report(_trained(spark, folder).comparison.select("model", *churn.METRICS), home, "churn_model_comparison")
-    return jobs.evaluation_summary(spark, home)
+    return jobs.run_evaluation(spark, home)
 
 
 raw_case("P07_model_evaluation", _evaluation)

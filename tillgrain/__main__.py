@@ -16,7 +16,7 @@ JOBS = {
     "segments": lambda spark, a: jobs.run_segments(open_star(spark, a.warehouse), a.reports).show(),
     "churn": lambda spark, a: jobs.run_churn(open_star(spark, a.warehouse), a.warehouse, a.reports),
     "forecast": lambda spark, a: jobs.run_forecast(open_star(spark, a.warehouse), a.reports),
-    "evaluate": lambda spark, a: jobs.evaluation_summary(spark, a.reports).show(50, False),
+    "evaluate": lambda spark, a: jobs.run_evaluation(spark, a.reports).show(50, False),
 }
 
 

@@ -59,6 +59,16 @@ def evaluation_summary(spark: SparkSession, reports: str) -> DataFrame:
                 "forecast backtest (30-day holdout)", "model"))
 
 
+SUMMARY = "model_evaluation_summary"
+SUMMARY_SCHEMA = "section string, subject string, metric string, value double"
+
+
+def run_evaluation(spark: SparkSession, reports: str) -> DataFrame:
+    """Store the summary beside the reports that it is made of, and read it back."""
+    write_report(evaluation_summary(spark, reports).coalesce(1), reports, SUMMARY)
+    return read_report(spark, reports, SUMMARY, SUMMARY_SCHEMA, "the evaluation job")
+
+
 def as_long(df: DataFrame, section: str, subject: str) -> DataFrame:
     values = [c for c in df.columns if c != subject]
     return (df.unpivot([subject], values, "metric", "value")
