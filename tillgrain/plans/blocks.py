@@ -34,7 +34,11 @@ def trailing_growth(orders: DataFrame, places: int = 2) -> DataFrame:
     Orders are summed per day first; the last day is then found among those few rows, so the fact is
     read once.
     """
-    days = by_key(orders, ["order_date"], "revenue")
+    return growth_of_days(by_key(orders, ["order_date"], "revenue"), places)
+
+
+def growth_of_days(days: DataFrame, places: int = 2) -> DataFrame:
+    """The same from revenue per order_date."""
     last = F.max("order_date").over(Window.partitionBy())
     day = F.col("order_date")
     recent_from, prior_from = F.add_months("last_day", -12), F.add_months("last_day", -24)

@@ -1,17 +1,21 @@
 """Insight sentences, each built from one aggregate and kept only while its condition holds.
 
 Every function returns at most one row (insight_id, category, text, value); ``all_insights`` is
-their union and runs as one job.
+their union. Most of them need the same few sums per day, customer, product and salesperson:
+``grains`` takes these in one pass over the orders, and ``all_insights`` hands them to all.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillgrain.functions.ratios import pct, per
-from tillgrain.operators.rollup import by_key, returns_by, sold
-from tillgrain.plans.blocks import trailing_growth
-from tillgrain.plans.queries import by_category, by_region, order_margin
+from tillgrain.functions.ratios import counts_as_revenue, pct, per
+from tillgrain.operators.rollup import again, by_key, returns_by, sold
+from tillgrain.plans.blocks import growth_of_days
+from tillgrain.plans.queries import order_margin
+from tillgrain.session import pin
 from tillgrain.sources.star import Star
 
 
@@ -27,25 +31,72 @@ def _insight(df: DataFrame, number: int, category: str, value: Column, *text: st
                      F.concat(*parts).alias("text"), value.cast("double").alias("value"))
 
 
-def revenue_change(star: Star) -> DataFrame:
+_KEYS = {"day": "order_date", "customer": "customer_id", "product": "product_id",
+         "salesperson": "employee_id"}
+
+
+class Grains:
+    """Sums over the orders per day, customer, product and salesperson, from one pass over them."""
+
+    def __init__(self, star: Star) -> None:
+        # A row of orders counts once in each grain; its parts are combined before they are shuffled.
+        kept = counts_as_revenue()
+        names = list(_KEYS.values())
+        sets = F.array(*[F.struct(F.lit(grain).alias("grain"), *[
+            (F.col(c) if c == key else F.lit(None)).cast(star.orders.schema[c].dataType).alias(f"k_{c}")
+            for c in names]) for grain, key in _KEYS.items()])
+        rows = star.orders.select(
+            F.inline(sets), F.when(kept, F.col("revenue")).alias("revenue"),
+            F.when(kept, F.col("profit")).alias("profit"), kept.cast("int").alias("kept"))
+        self._sums = pin(rows.groupBy("grain", *[f"k_{c}" for c in names]).agg(
+            F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
+            F.sum("kept").alias("orders"), F.count(F.lit(1)).alias("all_orders")))
+
+    def of(self, grain: str) -> DataFrame:
+        """The key, revenue, profit and orders of keys with orders that count."""
+        key = _KEYS[grain]
+        return (self._sums.where((F.col("grain") == grain) & (F.col("orders") > 0))
+                .select(F.col(f"k_{key}").alias(key), "revenue", "profit", "orders"))
+
+    def all_orders(self, grain: str) -> DataFrame:
+        """The key and all its orders, cancelled ones included."""
+        key = _KEYS[grain]
+        return self._sums.where(F.col("grain") == grain).select(
+            F.col(f"k_{key}").alias(key), F.col("all_orders").alias("orders"))
+
+
+def _of(star: Star, grains: Grains | None, grain: str, *names: str) -> DataFrame:
+    """Sums per key of a grain: those at hand, or by a pass of their own."""
+    if grains is not None:
+        return grains.of(grain).select(_KEYS[grain], *names)
+    return by_key(sold(star.orders), [_KEYS[grain]], *names)
+
+
+def _by_attribute(star: Star, grains: Grains | None, grain: str, attribute: str, *names: str) -> DataFrame:
+    table = {"customer": star.customers, "product": star.products}[grain]
+    return (_of(star, grains, grain, *names).join(table.select(_KEYS[grain], attribute), _KEYS[grain])
+            .groupBy(attribute).agg(*again(*names)))
+
+
+def revenue_change(star: Star, grains: Grains | None = None) -> DataFrame:
     change = F.col("yoy_growth_pct")
-    rows = trailing_growth(sold(star.orders), 1).where(change.isNotNull())
+    rows = growth_of_days(_of(star, grains, "day", "revenue"), 1).where(change.isNotNull())
     return _insight(rows, 1, "Revenue", change, "Revenue ",
                     F.when(change >= 0, "increased").otherwise("decreased"), " ",
                     _one(F.abs(change)), "% over the trailing 12 months compared to the prior "
                     "12-month period.")
 
 
-def leading_region(star: Star) -> DataFrame:
-    best = by_region(star, "revenue").orderBy(F.desc_nulls_first("revenue"), "region").limit(1)
+def leading_region(star: Star, grains: Grains | None = None) -> DataFrame:
+    best = _by_attribute(star, grains, "customer", "region", "revenue").orderBy(F.desc_nulls_first("revenue"), "region").limit(1)
     return _insight(best, 2, "Regional", F.col("revenue"), "The ", F.col("region"),
                     " region generates the highest revenue at ₹",
                     F.format_number(F.round("revenue", 0), 0), ".")
 
 
-def thin_margin_category(star: Star) -> DataFrame:
+def thin_margin_category(star: Star, grains: Grains | None = None) -> DataFrame:
     """The category with the most revenue, if its margin lies below the plain mean of categories."""
-    sums = by_category(star, sold(star.orders), "revenue", "profit").select(
+    sums = _by_attribute(star, grains, "product", "category", "revenue", "profit").select(
         "category", "revenue", pct(F.col("profit"), F.col("revenue")).alias("margin_pct"))
     everything = (Window.orderBy(F.desc_nulls_first("revenue"), "category")
                   .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -71,9 +122,9 @@ def churn_share(star: Star) -> DataFrame:
                     "prediction model.")
 
 
-def top_customer_share(star: Star, n: int = 10) -> DataFrame:
+def top_customer_share(star: Star, grains: Grains | None = None, n: int = 10) -> DataFrame:
     """The top ten's part comes from a top-k, the whole from a sum; both are one row."""
-    customers = by_key(sold(star.orders), ["customer_id"], "revenue")
+    customers = _of(star, grains, "customer", "revenue")
     top = (customers.orderBy(F.desc_nulls_last("revenue"), "customer_id").limit(n)
            .agg(F.sum("revenue").alias("part"), F.lit(None).cast("decimal(34,2)").alias("whole")))
     whole = customers.agg(F.lit(None).cast("decimal(34,2)").alias("part"),
@@ -102,9 +153,9 @@ def discount_effect(star: Star) -> DataFrame:
                     " percentage points lower than orders discounted 15% or less.")
 
 
-def targets_met(star: Star) -> DataFrame:
+def targets_met(star: Star, grains: Grains | None = None) -> DataFrame:
     """Revenue of all years against the annual target."""
-    actual = by_key(sold(star.orders), ["employee_id"], "revenue")
+    actual = _of(star, grains, "salesperson", "revenue")
     reached = pct(F.coalesce(F.col("revenue"), F.lit(0)), F.col("target_amount")) >= 100
     rows = (star.employees.select("employee_id", "target_amount")
             .join(actual, "employee_id", "left")
@@ -114,9 +165,9 @@ def targets_met(star: Star) -> DataFrame:
                     "% of salespeople are meeting or exceeding their annual sales target.")
 
 
-def most_returned_name(star: Star, more_than: int = 20) -> DataFrame:
+def most_returned_name(star: Star, grains: Grains | None = None, more_than: int = 20) -> DataFrame:
     """By product name, over all orders."""
-    sums = by_key(star.orders, ["product_id"], "orders")
+    sums = grains.all_orders("product") if grains else by_key(star.orders, ["product_id"], "orders")
     returned = returns_by(star.orders, star.returns, "product_id")
     rows = (sums.join(returned, "product_id", "left")
             .join(star.products.select("product_id", "product_name"), "product_id")
@@ -134,12 +185,11 @@ def most_returned_name(star: Star, more_than: int = 20) -> DataFrame:
 
 
 def all_insights(star: Star) -> DataFrame:
-    makers = [revenue_change, leading_region, thin_margin_category]
+    grains = Grains(star)
+    parts = [revenue_change(star, grains), leading_region(star, grains),
+             thin_margin_category(star, grains)]
     if star.churn is not None:
-        makers.append(churn_share)
-    makers += [top_customer_share, discount_effect, targets_met, most_returned_name]
-    result = None
-    for make in makers:
-        rows = make(star)
-        result = rows if result is None else result.unionByName(rows)
-    return result
+        parts.append(churn_share(star))
+    parts += [top_customer_share(star, grains), discount_effect(star), targets_met(star, grains),
+              most_returned_name(star, grains)]
+    return reduce(DataFrame.unionByName, parts)
