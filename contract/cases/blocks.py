@@ -158,8 +158,9 @@ select e.employee_id, employee_name, department, region, joining_date, cast(targ
   {money('coalesce(tc,0)')} as total_target_full_period, {money('coalesce(rc,0)')} as total_revenue, {money('coalesce(pc,0)')} as total_profit,
   coalesce(n,0) as total_orders, coalesce(buyers,0) as customer_count, {pct('coalesce(rc,0)', 'tc')} as target_achievement_pct
 from employees e left join plan t on t.employee_id=e.employee_id left join emp k on k.employee_id=e.employee_id""")
-_TIER = """case when target_achievement_pct is null then 'No Data' when target_achievement_pct < 70 then 'Needs Improvement'
-  when target_achievement_pct < 90 then 'Average Performer' when target_achievement_pct < 110 then 'Strong Performer' else 'Top Performer' end"""
+# The tiers and their limits, from the top down.
+_TIER = """case when target_achievement_pct is null then 'No Data' when target_achievement_pct >= 110 then 'Top Performer'
+  when target_achievement_pct >= 90 then 'Strong Performer' when target_achievement_pct >= 70 then 'Average Performer' else 'Needs Improvement' end"""
 case("A23_scorecard", b.scorecard, sql("select * from card", card=_CARD))
 case("A24_performance_tier", b.tiered_scorecard, sql(f"select *, {_TIER} as performance_tier from card", card=_CARD))
 case("A25_tier_counts", b.tier_counts,
@@ -361,8 +362,8 @@ case("U03_repeat_order_share", u.repeat_order_share, sql(
     f"select {pct('count(*) filter (where k > 1)', 'count(*)')} as repeat_order_pct from (select row_number() over "
     "(partition by customer_id order by order_date, order_id) as k from sold)", "sold"))
 case("U04_attainment", u.attainment, sql(f"""
-select employee_id, employee_name, achievement_pct, case when coalesce(achievement_pct,0) < 60 then 'Needs Improvement'
-  when achievement_pct < 80 then 'Average Performer' when achievement_pct < 100 then 'Strong Performer' else 'Top Performer' end as tier
+select employee_id, employee_name, achievement_pct, case when achievement_pct >= 100 then 'Top Performer'
+  when achievement_pct >= 80 then 'Strong Performer' when achievement_pct >= 60 then 'Average Performer' else 'Needs Improvement' end as tier
 from ({_ATTAINED})""", "employees", "plan", "emp"))
 case("U05_risk_counts", u.risk_counts, sql("""
 select count(*) as total, count(*) filter (where risk_level='High') as high, count(*) filter (where risk_level='Medium') as medium,

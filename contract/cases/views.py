@@ -51,7 +51,8 @@ _SCORED = (("base",), """
 select *, cast(ntile(5) over (order by recency_days desc, customer_id) as int) as r_score,
   cast(ntile(5) over (order by frequency, customer_id) as int) as f_score,
   cast(ntile(5) over (order by mc, customer_id) as int) as m_score from base""")
-SEGMENT = """case when least(r_score,f_score,m_score)>=4 then 'Champions' when r_score>=3 and f_score>=3 then 'Loyal Customers'
+# The segments and their scores, in the order in which they are tried.
+SEGMENT = """case when r_score>=4 and f_score>=4 and m_score>=4 then 'Champions' when r_score>=3 and f_score>=3 then 'Loyal Customers'
   when r_score>=4 and f_score<=2 then 'New Customers' when r_score>=3 and f_score<=3 and m_score>=3 then 'Potential Loyalists'
   when r_score<=2 and f_score>=4 and m_score>=4 then 'Can''t Lose Them' when r_score<=2 and f_score>=3 then 'At Risk'
   when r_score<=2 and f_score<=2 and m_score<=2 then 'Lost Customers' else 'Hibernating' end"""

@@ -23,7 +23,11 @@ A01_dashboard_kpis_filtered A02_dashboard_growth A16_customer_table A18_lowest_m
 A22_region_trend A25_tier_counts A28_churn_table I_all_insights M07_revenue_growth_yoy
 M11_customer_retention U01_region_pivot T01_first_orders T09_returns_of_kept_orders T12_calendar
 V_report_raw V21_constraints S01_delivered_files R04_quantile_segments C01_features
-C04_stratified_split C09_metrics P01_daily_series_by_region""".split()
+C04_stratified_split C09_metrics P01_daily_series_by_region A28_churn_table_sought
+M05_total_customers_by_category M08_yoy_revenue_by_quarter_and_category M11_customer_retention_by_category
+M13_revenue_per_customer_by_region_and_category R03_rank_scores S03_full_refresh T03_date_forms
+P03_state_for_given_weights P04_bands_for_given_weights P05_backtest_for_given_weights
+P07_summary_of_given_results C06_chance_from_weights C07_forest_from_nodes C08_boosting_from_nodes""".split()
 KEYS = sorted(ORACLES) if os.environ.get("ORACLES") == "all" else SELECTION
 
 

@@ -14,6 +14,7 @@ from tillgrain.functions.dates import as_of_column
 from tillgrain.model import SCHEMAS, constraints
 from tillgrain.operators.ordering import exact_quantiles
 
+# The report's columns, its grades, and the names of the rules below.
 REPORT = ("Rule", "Total Records", "Failed Records", "Failure Percentage", "Status")
 REPORT_SCHEMA = ("`Rule` string, `Total Records` bigint, `Failed Records` bigint, "
                  "`Failure Percentage` double, `Status` string")

@@ -19,6 +19,8 @@ from tillgrain.session import pin
 from tillgrain.sources.star import Star
 
 
+# Fixed values in the functions below: the sentences, their numbers and categories, and their limits.
+
 def _one(value: Column) -> Column:
     """A number with one decimal, as text."""
     return F.round(value, 1).cast("decimal(20,1)").cast("string")
