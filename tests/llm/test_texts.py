@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 
 import pytest
 import tiktoken
@@ -232,6 +233,89 @@ def test_an_article_keeps_its_passages(tag, kept):
     assert html_text.main_text(page, html_text.DEFAULT) == "\n\n".join(wanted)
 
 
+STORY = "<h1>A title</h1><p>One two three four.<p>Five six seven eight nine."
+READ = "A title\n\nOne two three four.\n\nFive six seven eight nine."
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>T</title><meta x><body><nav>Menu</nav><div>{}</div></body>",
+    "<html><head><title>T</title><div>{}</div>",
+    "<div class='page has-sidebar'><nav>M</nav><div>{}</div><div class=sidebar>Side</div></div>",
+    "<div class='wrapper no-sidebar'>{}</div><div class='sidebar-left'>Side</div>",
+    "<div class='single-post with-comments'>{}</div><div id=comments>First one</div>",
+    "<form><nav>Menu</nav><div>{}</div><input></form><footer>Made here</footer>",
+    "<form><nav>Menu</nav><article>{}<form>Send me</form></article></form>",
+    "<table><tr><td class=menu>Menu here<td>{}</table>",
+    "<table><tr><th class=menu>Menu here<tr><td>{}</table>",
+    "<dl><dt class=ad>Buy now<dd>{}</dl>",
+    "<div class=search><article>{}</article></div><div class=ad>Buy this now</div>",
+    "<div hidden><main>{}</main></div><div class=cookieNotice>Take them</div>",
+    "<div class=sidebar><article>Teaser</article></div><div>{}</div>",
+    "<div>{}</div><ol class=comment-list><li><article class=comment-body>Nice</article></ol>",
+    "<article>{}</article><div class=comments>" + "<article class=comment>Many words here</article>" * 9,
+    "<body><nav><a>Menu<div></nav><article>{}</article><div class='cookie-bar'>Ok</div></body></html>",
+    "<article>{}<video><p>No video</video></article><aside><p>Side</aside>"])
+def test_pages_whose_frame_is_no_junk(page):
+    assert html_text.main_text(page.format(STORY), html_text.DEFAULT) == READ
+
+
+@pytest.mark.parametrize("part,kept", [
+    ("<span class=ad-hoc>Kept</span>", "Kept"), ("<em class=search-term>Kept</em>", "Kept"),
+    ("<em class=share>Kept</em>", "Kept"), ("<div class=share-price-analysis>Kept</div>", "Kept"),
+    ("<math><mi>x</mi><annotation>TeX</annotation></math>", "x"), ("AT&amp;T", "AT&T"),
+    ("&<b>amp;</b>", "&amp;"), ("<div class=share-buttons>Gone</div>", ""),
+    ("<div class=relatedPosts>Gone</div>", ""), ("<aside>Gone</aside>", ""),
+    ("<ul><li class=ad>Gone<li>Kept</ul>", "Kept"), ("<em hidden>Gone</em>", "")])
+def test_passages_inside_of_an_article(part, kept):
+    page = f"<article><p>Before it stands this.</p><div>{part}</div><p>After it this.</p></article>"
+    assert html_text.main_text(page, html_text.DEFAULT) == "\n\n".join(
+        ["Before it stands this.", *[kept] * bool(kept), "After it this."])
+
+
+def test_pages_made_from_known_blocks():
+    """Trees of blocks and junk, some end tags left out, wrapped anew; their text is known."""
+    draw = random.Random(14)
+    sentence = lambda: " ".join(draw.choices(["one", "two", "tree", "leaf"], k=draw.randint(4, 9)))
+    junk = ["<nav><ul><li><a>{}<li>{}</ul></nav>", "<div class=ad>{}</div>", "<aside><p>{}</aside>",
+            "<p class='cookie-notice'>{}</p>", "<script>{}</script>", "<form>{}</form>", "<!-- {} -->"]
+    frames = ["{}", "<div>{}</div>", "<div class='page no-sidebar'>{}</div>", "<form>{}</form>",
+              "<table><tr><td class=nav>{}<td>{}</table>"]
+    for n in range(150):
+        made, wanted = [], []
+        for _ in range(draw.randint(4, 9)):
+            if draw.random() < 0.3:
+                made.append(draw.choice(junk).replace("{}", "Gone."))
+                continue
+            lines = [sentence() for _ in range(draw.randint(1, 3))]
+            if len(lines) == 1:
+                made.append(draw.choice(["<p>{}", "<p>{}</p>", "<div>{}</div>", "<h2>{}</h2>"]).format(*lines))
+            else:
+                end = draw.choice(["", "</li>"])
+                made.append("<ul>" + "".join(f"<li>{x}{end}" for x in lines) + "</ul>")
+            wanted += lines
+        body = f"<article>{''.join(made)}</article>"
+        for _ in range(draw.randint(0, 3)):
+            frame = draw.choice(frames)
+            body = frame.format(*["Menu."] * (frame.count("{}") - 1), body)
+        page = f"<head><title>T</title>{draw.choice(['', '</head>'])}<body>{draw.choice(junk)}{body}<footer>F"
+        assert html_text.main_text(page, html_text.DEFAULT) == "\n\n".join(wanted), page
+
+
+@pytest.mark.parametrize("tag", ["font", "div", "b class=ad", "li", "p", "td", "article", "dd"])
+def test_unclosed_tags_are_read_in_linear_time(tag):
+    page = f"<{tag}>word " * 100_000
+    begin = time.process_time()
+    html_text.main_text(page, html_text.DEFAULT)
+    assert time.process_time() - begin < 5
+
+
+def test_weights_come_from_few_labelled_pages_among_many(spark):
+    rows = [(n, PAGE if n == 7 else PAGE.replace("article>", "div>")) for n in range(301)]
+    pages = spark.createDataFrame(rows, "page_id bigint, html string")
+    weights = html_text.learn_weights(pages, sample=30)
+    assert weights != html_text.DEFAULT and weights == html_text.learn_weights(pages.where("page_id = 7"))
+
+
 def test_the_best_run_is_the_best_of_all_runs():
     draw = random.Random(2)
     for _ in range(100):

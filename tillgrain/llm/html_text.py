@@ -5,7 +5,8 @@ from labelled pages: those that mark their article with an element of ``CONTENT_
 scan finds the contiguous run with the highest score. The run is then fitted to the content element
 that shares most words with it, if one agrees well, and its blocks are read out without what is never
 article text: menus, headers and footers of the page, asides, forms, adverts, notices, comments,
-scripts and styles.
+scripts and styles. Elements end where HTML lets their end tags be left out; a form or a marked element
+that holds the article itself is kept.
 
 Character references are decoded once; white space inside a block becomes one blank; blocks are
 joined by an empty line in page order. A null page, or one without words, gives the empty text. A tag
@@ -19,6 +20,8 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import accumulate
 from math import log
 
 import pyarrow as pa
@@ -29,9 +32,9 @@ from tillgrain.llm.tables import query, table, whole_text
 CONTENT_TAGS = ("article", "main")
 CONTAINERS = frozenset((*CONTENT_TAGS, "section", "div", "body", "td"))
 #: Elements that are never article text; ``header`` only outside of an article.
-JUNK_TAGS = frozenset("nav footer aside form script style noscript template iframe object svg canvas "
-                      "button select textarea input label menu dialog head title math audio video "
-                      "header".split())
+JUNK_TAGS = frozenset("nav footer aside script style noscript template iframe object svg canvas "
+                      "button select textarea input label menu dialog head title audio video "
+                      "header annotation annotation-xml".split())
 #: Words in a class, id or role that mark such an element.
 JUNK_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
@@ -40,14 +43,47 @@ JUNK_WORDS = frozenset(
     "popup promo promotion recommended related respond reader-comments search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget navigation banner "
     "complementary contentinfo alert".split())
+#: Words that may stand beside such a word in a slug, as in "site-footer" or "cookie-bar".
+BESIDE = frozenset(
+    "site page main global top bottom left right primary secondary inner outer upper lower area articles "
+    "bar block body box btn button buttons card container entry field fixed floating form group "
+    "holder icon icons inline item items layout link links list mobile module overlay panel "
+    "placeholder post posts reader row section slot sticky stories tag text title toggle unit wrap "
+    "wrapper zone content".split())
+#: Marks of comments; only these mark an ``article`` or ``main`` itself.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reader-comments respond".split())
+#: A marked element with this share of the words around it holds the article and is not left out.
+MOST = 0.8
+#: A content element below a mark needs this share of the page's words to undo the mark.
+LEAST_MAIN = 1 / 3
 RAW_TAGS = ("script", "style", "textarea", "title", "noscript", "iframe", "template")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option "
     "p pre section summary table tbody tfoot thead tr ul title head script style noscript".split())
-SPACE_TAGS = frozenset("br td th img wbr".split()) - {"wbr"}
+SPACE_TAGS = frozenset("br td th img".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
+CELLS = frozenset("td th caption".split())
+TABLE_TAGS = frozenset("td th caption tr thead tbody tfoot table".split())
+#: What a start tag ends where no end tag stood, and what that doesn't reach beyond: fixed by HTML, but
+#: for media and labels around a paragraph.
+ENDS = {
+    "li": (("li",), ("ul", "ol", "menu", *CELLS)),
+    "dt": (("dt", "dd"), ("dl", *CELLS)),
+    "dd": (("dt", "dd"), ("dl", *CELLS)),
+    "option": (("option",), ("select", "datalist", *CELLS)),
+    "optgroup": (("option", "optgroup"), ("select", *CELLS)),
+    "td": (("td", "th", "caption"), ("table", "tr")),
+    "th": (("td", "th", "caption"), ("table", "tr")),
+    "tr": (("td", "th", "tr", "caption"), ("table",)),
+    "thead": (("tr", "thead", "tbody", "tfoot", "caption"), ("table",)),
+    "tbody": (("tr", "thead", "tbody", "tfoot", "caption"), ("table",)),
+    "tfoot": (("tr", "thead", "tbody", "tfoot", "caption"), ("table",)),
+}
+P_ENDS = (("p",), ("button", "object", "table", "template", "audio", "canvas", "label", "svg", "video",
+                   *CELLS))
 #: An attribute: a name and, after "=", its value. A quote opens only as the first of a value.
 VALUE = r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+"
 TOKEN = re.compile(
@@ -56,13 +92,15 @@ TOKEN = re.compile(
     rf"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE})?+)?+)*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({VALUE})?+)?+")
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW_TAGS}
-PARTS = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 DEFAULT = {"": 1.0, "p": -0.2, "b": -0.1, "i": -0.1, "em": -0.1, "strong": -0.1, "br": -0.1,
            "h1": -0.5, "h2": -0.5, "h3": -0.5, "a": -1.5, "li": -2.0, "div": -2.0, "span": -0.5}
 OTHER_TAG = -2.0
 #: Pages that the weights are learned from, at most about so many.
 SAMPLE_PAGES = 5_000
+#: What a labelled page holds.
+LABELLED = r"(?i)<(?:article|main)[\s/>]"
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -75,41 +113,141 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
+def _is_junk(slug: str, words: frozenset = JUNK_WORDS) -> bool:
+    """Whether a slug as a whole says so: it begins or ends with a listed word, and all its other
+    parts are listed too or may stand beside one."""
+    slug = slug.lower()
+    if slug in words:
+        return True
+    parts = [x for x in re.split(r"[-_]+", slug) if x and not x.isdigit()]
+    return bool(parts) and (parts[0] in words or parts[-1] in words) and all(
+        x in JUNK_WORDS or x in BESIDE for x in parts)
+
+
 def _marked(tag: str, source: str, inside: bool) -> bool:
     """Whether the attributes mark an element that is no article text. Inside of an article the id of
-    a section or a heading is an anchor made of its title, and marks nothing."""
+    a section or a heading is an anchor made of its title, and marks nothing; neither does anything
+    but hiding on an inline element there. On a content element only the marks of comments count."""
     if not source.strip():
         return False
     own = _attributes(source)
     if "hidden" in own or own.get("aria-hidden", "").strip().lower() == "true" \
             or HIDDEN.search(own.get("style", "")):
         return True
+    if inside and tag not in BLOCK_TAGS and tag not in CONTAINERS:
+        return False
     anchor = inside and (tag == "section" or tag in HEADINGS
                          or "section" in own.get("class", "").lower().split())
-    for name in ("class", "role") if anchor else ("class", "id", "role"):
-        for word in own.get(name, "").lower().split():
-            if word in JUNK_WORDS or JUNK_WORDS.intersection(re.split(r"[-_]", word)[:1]) \
-                    or any(part in JUNK_WORDS for part in re.split(r"[-_]", word)[-1:]):
-                return True
-    return False
+    words = COMMENT_WORDS if tag in CONTENT_TAGS else JUNK_WORDS
+    return any(_is_junk(CAMEL.sub("-", slug), words)
+               for name in (("class", "role") if anchor else ("class", "id", "role"))
+               for slug in own.get(name, "").split())
+
+
+@dataclass
+class Element:
+    """An element that may hold the article, or be marked as none of it: its tokens, whether it is
+    marked, and what stands open around it."""
+    tag: str
+    start: int
+    marked: bool
+    #: The nearest content element around it, and whether a mark is.
+    around: "Element | None"
+    below_mark: bool
+    end: int = 0
 
 
 class Page:
-    """The tokens of a page: texts and tags with what stands open around them."""
+    """The tokens of a page, with what a browser ends of itself ended: texts and tags, and which of
+    them are junk.
+
+    Junk tags always are. A mark by class, id, role or hiding, or a form, is judged when the page has
+    been read: not if it holds the page's main content element, nor if nearly all words (``MOST``)
+    around it are its own.
+    """
 
     def __init__(self, source: str):
         #: (tag, "" for text; text; whether it is junk; words)
         self.tokens: list[tuple[str, str, bool, int]] = []
-        #: Content elements: tag, first token, end, whether junk.
-        self.elements: list[tuple[str, int, int]] = []
-        stack: list[tuple[str, int, bool]] = []
-        at, junk = 0, False
-        size = len(source)
+        self._stack: list[tuple[str, Element | None, bool]] = []
+        self._open: dict[str, list[int]] = {}
+        self._content: list[Element] = []
+        self._blocks: list[int] = []
+        self._hard = self._marks = 0
+        self._elements: list[Element] = []
+        self._read(source)
+        self._judge()
+        #: Content elements: tag, first token, end.
+        self.elements = [(e.tag, e.start, e.end) for e in self._elements if e.tag in CONTAINERS]
+
+    def _depth(self, tags: tuple[str, ...] | frozenset) -> int:
+        return max((at[-1] for t in tags if (at := self._open.get(t))), default=-1)
+
+    def _end_down_to(self, depth: int) -> None:
+        while len(self._stack) > depth:
+            tag, element, hard = self._stack.pop()
+            self._open[tag].pop()
+            if tag in BLOCK_TAGS:
+                self._blocks.pop()
+            self._hard -= hard
+            if element:
+                element.end = len(self.tokens)
+                self._marks -= element.marked
+                if tag in CONTENT_TAGS:
+                    self._content.pop()
+
+    def _end_implied(self, tags: tuple[str, ...], beyond: tuple[str, ...]) -> None:
+        barrier = self._depth(beyond)
+        while (at := self._depth(tags)) > barrier:
+            self._end_down_to(at)
+
+    def _end(self, tag: str) -> None:
+        """An end tag closes the last of its like, but none outside of a table's cell, and one of an
+        inline element none around a block."""
+        at = self._depth((tag,))
+        if at < 0 or tag in ("body", "html"):
+            return
+        if tag not in TABLE_TAGS and at < self._depth(CELLS):
+            return
+        inline = not (tag in BLOCK_TAGS or tag in TABLE_TAGS or tag in JUNK_TAGS)
+        if inline and self._blocks and at < self._blocks[-1]:
+            return
+        self._end_down_to(at)
+
+    def _start(self, tag: str, attributes: str) -> None:
+        if "head" in self._open and self._open["head"] and tag not in IN_HEAD and tag != "head":
+            self._end_down_to(self._open["head"][-1])
+        if tag in BLOCK_TAGS and tag not in TABLE_TAGS:
+            self._end_implied(*P_ENDS)
+        if tag in ENDS:
+            self._end_implied(*ENDS[tag])
+        if tag in VOID or attributes.endswith("/") and tag not in BLOCK_TAGS:
+            return
+        inside = bool(self._content)
+        hard = tag in JUNK_TAGS and not (tag == "header" and inside)
+        marked = not hard and tag not in ("html", "body") and (
+            tag == "form" or _marked(tag, attributes, inside))
+        element = None
+        if tag in CONTAINERS or marked:
+            element = Element(tag, len(self.tokens), marked,
+                              self._content[-1] if inside else None, self._marks > 0)
+            self._elements.append(element)
+            self._marks += marked
+            if tag in CONTENT_TAGS:
+                self._content.append(element)
+        self._hard += hard
+        self._open.setdefault(tag, []).append(len(self._stack))
+        if tag in BLOCK_TAGS:
+            self._blocks.append(len(self._stack))
+        self._stack.append((tag, element, hard))
+
+    def _read(self, source: str) -> None:
+        at, size = 0, len(source)
         while at < size:
             found = TOKEN.search(source, at)
             begin = found.start() if found else size
             if begin > at:
-                self._text(source[at:begin], junk)
+                self._text(source[at:begin])
             if not found:
                 break
             at = found.end()
@@ -117,46 +255,62 @@ class Page:
             if tag is None:
                 continue
             tag = tag.lower()
-            self.tokens.append((tag, "", junk, 0))
+            self.tokens.append((tag, "", self._hard > 0, 0))
             if closing:
-                # An end tag closes what it matches; without a match it closes nothing.
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == tag:
-                        for name, start, _ in stack[depth:]:
-                            self._close(name, start)
-                        del stack[depth:]
-                        break
-                junk = bool(stack) and stack[-1][2]
-                continue
-            if tag in VOID or attributes.endswith("/") and tag not in BLOCK_TAGS:
+                self._end(tag)
                 continue
-            if stack and tag in BLOCK_TAGS and stack[-1][0] == "p":
-                name, start, _ = stack.pop()
-                junk = bool(stack) and stack[-1][2]
-            if tag == "li" and stack and stack[-1][0] == "li":
-                stack.pop()
-                junk = bool(stack) and stack[-1][2]
-            inside = any(name in CONTENT_TAGS for name, _, _ in stack)
-            bad = tag in JUNK_TAGS and not (tag == "header" and inside)
-            if not bad and tag not in CONTENT_TAGS and tag not in ("html", "body"):
-                bad = _marked(tag, attributes, inside)
-            junk = junk or bad
+            self._start(tag, attributes)
             if tag in RAW_TAGS:
                 end = RAW_END[tag].search(source, at)
                 at = end.start() if end else size
-            stack.append((tag, len(self.tokens), junk))
-        for name, start, _ in stack:
-            self._close(name, start)
-
-    def _text(self, text: str, junk: bool) -> None:
-        self.tokens.append(("", text, junk, len(text.split())))
-
-    def _close(self, tag: str, start: int) -> None:
-        if tag in CONTAINERS:
-            self.elements.append((tag, start, len(self.tokens)))
+        self._end_down_to(0)
+
+    def _text(self, text: str) -> None:
+        words = len(text.split())
+        if words and self._stack and self._stack[-1][0] == "head":
+            self._end_down_to(len(self._stack) - 1)
+        self.tokens.append(("", text, self._hard > 0, words))
+
+    def _count(self) -> None:
+        self._before = list(accumulate((0 if junk else n for _, _, junk, n in self.tokens), initial=0))
+
+    def _main(self) -> Element | None:
+        """The content element with most words. One below a mark, or marked itself while no other
+        is, must hold a good share of the page and more than twice what the others do."""
+        every = [e for e in self._elements if e.tag in CONTENT_TAGS and self.words(e.start, e.end)]
+        size = lambda e: self.words(e.start, e.end)
+        free = max((e for e in every if not e.marked and not e.below_mark), key=size, default=None)
+        held = [e for e in every if not e.marked and e.below_mark]
+        if not held and len(every) == 1:
+            held = [e for e in every if not e.below_mark]
+        below = max(held, key=size, default=None)
+        if below and size(below) >= LEAST_MAIN * self._before[-1] and (
+                free is None or size(below) > 2 * size(free)):
+            return below
+        return free
+
+    def _judge(self) -> None:
+        self._count()
+        marked = [e for e in self._elements if e.marked]
+        if not marked:
+            return
+        main = self._main()
+        change = [0] * (len(self.tokens) + 1)
+        for e in marked:
+            if main and e.start <= main.start and main.end <= e.end:
+                continue
+            if main is None or e.around:
+                words = self.words(e.around.start, e.around.end) if e.around else self._before[-1]
+                if self.words(e.start, e.end) >= MOST * words:
+                    continue
+            change[e.start] += 1
+            change[e.end] -= 1
+        self.tokens = [(tag, text, junk or deep > 0, n) for (tag, text, junk, n), deep
+                       in zip(self.tokens, accumulate(change))]
+        self._count()
 
     def words(self, start: int, end: int) -> int:
-        return sum(t[3] for t in self.tokens[start:end] if not t[2])
+        return self._before[max(start, end)] - self._before[start]
 
 
 def best_run(page: Page, weights: dict[str, float]) -> tuple[int, int]:
@@ -199,7 +353,7 @@ def blocks(page: Page, start: int, end: int) -> list[str]:
     held: list[str] = []
 
     def close() -> None:
-        text = " ".join(html.unescape("".join(held)).split())
+        text = " ".join("".join(held).split())
         held.clear()
         if text:
             made.append(text)
@@ -211,7 +365,7 @@ def blocks(page: Page, start: int, end: int) -> list[str]:
             elif tag in SPACE_TAGS:
                 held.append(" ")
         elif not junk:
-            held.append(text)
+            held.append(html.unescape(text))
     close()
     return made
 
@@ -223,25 +377,27 @@ def main_text(source: str, weights: dict[str, float]) -> str:
 
 def learn_weights(pages: DataFrame, text: str = "html", id: str = "page_id",
                   sample: int = SAMPLE_PAGES) -> dict[str, float]:
-    """Weights from about ``sample`` labelled pages, taken by a hash of the id: the log of how much
-    more often a tag stands inside the article than outside, never above -0.05, and for words the
-    like, never below 0.5."""
-    total = pages.count()
-    share = min(1.0, sample / max(total, 1))
-    taken = pages.where(F.pmod(F.xxhash64(F.col(f"`{id}`")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    """Weights from about ``sample`` labelled pages, taken by a hash of the id among all that are
+    labelled: the log of how much more often a tag stands inside the article than outside, never above
+    -0.05, and for words the like, never below 0.5."""
+    labelled = pages.where(F.col(f"`{text}`").rlike(LABELLED))
+    share = min(1.0, sample / max(labelled.count(), 1))
+    taken = labelled.where(F.pmod(F.xxhash64(F.col(f"`{id}`")), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = Counter(), Counter()
         for batch in batches:
             for source in batch.column(0):
                 page = Page(source.as_py())
-                marked = [e for e in page.elements if e[0] in CONTENT_TAGS]
-                if not marked:
+                deep = [0] * (len(page.tokens) + 1)
+                for tag, start, end in page.elements:
+                    if tag in CONTENT_TAGS:
+                        deep[start] += 1
+                        deep[end] -= 1
+                if not any(deep):
                     continue
-                spans = sorted((a, b) for _, a, b in marked)
-                for at, (tag, _, _, count) in enumerate(page.tokens):
-                    side = inside if any(a <= at < b for a, b in spans) else outside
-                    side[tag] += 1 if tag else count
+                for (tag, _, _, count), within in zip(page.tokens, accumulate(deep)):
+                    (inside if within else outside)[tag] += 1 if tag else count
         tags = sorted({*inside, *outside})
         yield pa.RecordBatch.from_pydict({
             "tag": pa.array(tags, pa.string()),
@@ -251,8 +407,8 @@ def learn_weights(pages: DataFrame, text: str = "html", id: str = "page_id",
     counted = (taken.select(whole_text(text)).mapInArrow(
         tally, "tag string, inside bigint, outside bigint")
         .groupBy("tag").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")))
-    # The tags that pages use most; rarer ones take the weight of any other tag.
-    rows = counted.orderBy(F.desc(F.col("inside") + F.col("outside")), "tag").limit(200).collect()
+    # No more rows than the sampled pages have kinds of tags.
+    rows = counted.collect()
     words = next((r for r in rows if r["tag"] == ""), None)
     if words is None or not words["inside"]:
         return dict(DEFAULT)
