@@ -60,26 +60,50 @@ def test_license_scan_counts_places_and_templates(documents):
         assert rows[n]["labels"] == "" and rows[n]["score"] == 0 and rows[n]["first_word"] is None
 
 
+def windows(template, words, threshold, span):
+    """The largest share that a window holds, and the windows that meet the template: plainly, all."""
+    own, width = set(template), max(len(template), int(span * len(template) + 1e-9))
+    shares = [(len(own & set(words[n:n + width])) / len(own), n) for n in range(len(words))]
+    met = [(s, n) for s, n in shares if s >= threshold - 1e-9 and words[n] in own]
+    return max(met)[0] if met else 0.0, [n for _, n in met]
+
+
 def test_the_filters_lose_no_block():
     draw = random.Random(5)
     words = [f"w{i}" for i in range(30)]
-    templates = {f"t{n}": " ".join(draw.sample(words, draw.randint(1, 12))) for n in range(12)}
-    ready = licenses.Templates(templates, 0.7, {w.encode(): draw.randint(0, 9) for w in words})
+    templates = {f"t{n}": " ".join(draw.choices(words, k=draw.randint(1, 12))) for n in range(12)}
+    ready = licenses.Templates(templates, 0.7, {w.encode(): draw.randint(0, 9) for w in words}, 1.5)
+    some = 0
     for _ in range(300):
-        block = {w.encode() for w in draw.sample(words, draw.randint(0, 25))}
-        brute = {}
-        for label, text in templates.items():
-            own = set(text.encode().split())
-            if len(own & block) >= 0.7 * len(own) - 1e-9:
-                brute[label] = len(own & block) / len(own)
-        assert ready.matches(block) == pytest.approx(brute)
+        body = draw.choices(words[:draw.randint(4, 30)], k=draw.randint(0, 60))
+        for label in draw.choices(sorted(templates), k=2):
+            part = templates[label].split()
+            draw.shuffle(part)
+            at = draw.randint(0, len(body))
+            body[at:at] = part[:draw.randint(0, len(part))]
+        brute = {label: got for label, t in templates.items()
+                 if (got := windows(t.split(), body, 0.7, 1.5))[0]}
+        found = ready.matches([w.encode() for w in body], {w.encode() for w in body})
+        assert {label: (share, sorted(at)) for label, (share, at) in found.items()} == brute
+        some += len(brute)
+    assert some > 300
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law"""
 
 
 def test_wrapped_and_commented_notices_are_blocks(documents):
     bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are "
            "permitted provided that the following conditions are met:")
     draw = random.Random(11)
-    texts = [bsd, "x = 1\n\n" + bsd + "\n\ny = 2", bsd.replace("without\n", "without\n\n")]
+    texts = [bsd, "x = 1\n\n" + bsd + "\n\ny = 2", bsd.replace("without\n", "without\n\n"), APACHE,
+             "/*\n" + "\n".join(" * " + line for line in APACHE.split("\n")) + "\n */\nint main"]
     for label in sorted(licenses.TEMPLATES):
         words = licenses.TEMPLATES[label].split()
         for mark in ("", "# ", " * ", "// "):
@@ -88,27 +112,32 @@ def test_wrapped_and_commented_notices_are_blocks(documents):
             drop = draw.choice([0, 0, 1])
             texts.append("\n".join(["import os", mark.rstrip(), *lines[drop:], mark.rstrip(), "end"]))
     rows = {r["doc_id"]: r for r in licenses.scan(documents(list(enumerate(texts)))).collect()}
-    sets = {label: set(licenses.words_of(t.encode())) for label, t in licenses.TEMPLATES.items()}
+    plain = {label: licenses.words_of(t.encode()) for label, t in licenses.TEMPLATES.items()}
     for n, text in enumerate(texts):
-        lines = [set(licenses.words_of(line.encode())) for line in text.split("\n")]
-        blocks = [(k, {k}, words) for k, words in enumerate(lines)]
-        for a in range(len(lines)):
-            for b in range(a + 2, len(lines) + 1):
-                if all(lines[a:b]) and not (a and lines[a - 1]) and not (lines[b:] and lines[b]):
-                    blocks.append((a, set(range(a, b)), set().union(*lines[a:b])))
-        met = {(label, k, frozenset(own)) for k, own, words in blocks for label, t in sets.items()
-               if len(t & words) >= 0.9 * len(t) - 1e-9}
+        numbered = [(w, k) for k, line in enumerate(text.split("\n"))
+                    for w in licenses.words_of(line.encode())]
+        got = {label: windows(t, [w for w, _ in numbered], 0.9, 1.5) for label, t in plain.items()}
         row = rows[n]
-        assert set(row["labels"].split(",")) - {""} == \
-            {label for label, _, _ in met} | set(row["base_labels"].split(",")) - {""}
-        assert row["blocks"] == sorted({k for label, k, own in met if len(own) == 1 or not any(
-            label == other and len(one) == 1 and one < own for other, _, one in met)})
+        assert set(row["labels"].split(",")) - {""} == {label for label, (share, _) in got.items() if share} \
+            | set(row["base_labels"].split(",")) - {""}
+        assert row["blocks"] == sorted({numbered[a][1] for _, at in got.values() for a in at})
         if not row["n_base"]:
-            assert row["score"] == pytest.approx(max([len(sets[label] & words) / len(sets[label])
-                for label in sets for _, _, words in blocks
-                if len(sets[label] & words) >= 0.9 * len(sets[label]) - 1e-9], default=0))
-    assert rows[0]["labels"] == rows[1]["labels"] == "bsd-notice" and rows[2]["labels"] == ""
-    assert rows[0]["blocks"] == [0] and rows[1]["blocks"] == [2]
+            assert row["score"] == pytest.approx(max(share for share, _ in got.values()))
+    assert all(rows[n]["labels"] == "bsd-notice" for n in (0, 1, 2))
+    assert rows[0]["blocks"][0] == 0 and rows[1]["blocks"][0] == 2
+    assert all(rows[n]["labels"] == "apache,apache-2.0-notice,apache-line" for n in (3, 4))
+
+
+def test_scattered_words_are_no_notice(documents):
+    filler = " filler" * 1200
+    texts = ["The MIT campus paper said the new album was released in May" + filler + " under a bridge"
+             + filler + " a driving license",
+             "Apache helicopters were licensed to pilots under the old rule; no fishing license was needed",
+             filler.join(licenses.TEMPLATES["isc-notice"].split()),
+             "Released" + filler + " under the MIT" + filler + " Released under the MIT License" + filler]
+    rows = {r["doc_id"]: r for r in licenses.scan(documents(list(enumerate(texts)))).collect()}
+    assert [(rows[n]["labels"], rows[n]["score"], rows[n]["blocks"]) for n in range(3)] == [("", 0, [])] * 3
+    assert rows[3]["labels"] == "mit,mit-line" and rows[3]["blocks"] == [0]
 
 
 def edits(pattern, text):

@@ -1,13 +1,14 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text or a paragraph, as the set of its words; a template meets it if the block
-holds at least ``threshold`` of the template's distinct words. A paragraph is a run of two lines or more
-that hold words, so that a wrapped notice is one block; the marks of a comment are no words, so a line
-of nothing else ends a paragraph as an empty one does. Words are ordered by how many blocks of the corpus
-hold them, rarest first. A block that meets a template of m words with at least o of them holds one
-of the template's first m - o + 1 words (prefix filter), has o words or more (length filter), and
-after its first common word at place i of the template at most m - i - 1 more can follow (positional
-filter). What passes is counted exactly.
+A block is a window of a text's words, wherever lines and paragraphs end: for a template of L words every
+run of up to ``span`` times L words. So a wrapped or commented notice is one block, also with its address in a
+paragraph of its own, and words scattered over a long paragraph are none. A template meets a block that
+holds at least ``threshold`` of its distinct words. Words are ordered by how often templates' words stand
+in the corpus, rarest first. A window that meets a template of m distinct words with at least o of them
+holds one of the template's first m - o + 1 words (prefix filter): only the words around such places are
+looked at. They must hold o words of the template (length filter), and after their first one at place i of
+the template at most m - i - 1 more can follow (positional filter). The windows that are left are counted exactly, word
+by word.
 
 Besides, every place is counted where the words of a base phrase stand one after the other.
 
@@ -18,8 +19,10 @@ other than the id and the text are left out.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +66,8 @@ TEMPLATES = {
     "http://mozilla.org/MPL/2.0/",
 }
 THRESHOLD = 0.9
+#: A window has so many times the words of the template.
+SPAN = 1.5
 
 #: Upper case to lower case; everything in ASCII that is no letter or digit to a blank.
 TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122
@@ -76,82 +81,91 @@ def words_of(text: bytes) -> list[bytes]:
 class Templates:
     """Templates as word lists in the corpus's order, with the filters of the join."""
 
-    def __init__(self, templates: dict[str, str], threshold: float, frequency: dict[bytes, int]):
+    def __init__(self, templates: dict[str, str], threshold: float, frequency: dict[bytes, int],
+                 span: float = SPAN):
         order = lambda w: (frequency.get(w, 0), w)
-        self.sets = {label: sorted(set(words_of(text.encode())), key=order)
-                     for label, text in templates.items()}
-        self.sets = {label: ws for label, ws in self.sets.items() if ws}
+        texts = {label: words_of(text.encode()) for label, text in templates.items()}
+        self.sets = {label: sorted(set(ws), key=order) for label, ws in texts.items() if ws}
+        self.width = {label: max(len(ws), int(span * len(ws) + 1e-9)) for label, ws in texts.items()}
         self.least = {label: max(1, int(np.ceil(threshold * len(ws) - 1e-9)))
                       for label, ws in self.sets.items()}
-        self.rank = {w: i for i, w in enumerate(sorted(
-            {w for ws in self.sets.values() for w in ws}, key=order))}
-        self.prefixes: dict[bytes, list[tuple[str, int]]] = {}
-        for label, ws in self.sets.items():
-            for i, w in enumerate(ws[:len(ws) - self.least[label] + 1]):
-                self.prefixes.setdefault(w, []).append((label, i))
-        self.prefix_words = frozenset(self.prefixes)
-
-    def matches(self, block: set[bytes]) -> dict[str, float]:
-        """Label and share for every template that the block meets."""
-        first: dict[str, tuple[int, int]] = {}
-        known = sorted((w for w in block if w in self.rank), key=self.rank.__getitem__)
-        for j, w in enumerate(known):
-            for label, i in self.prefixes.get(w, ()):
-                if label not in first and len(block) >= self.least[label]:
-                    first[label] = i, j
+        self.place = {label: {w: i for i, w in enumerate(ws)} for label, ws in self.sets.items()}
+        self.prefixes = {label: ws[:len(ws) - self.least[label] + 1]
+                         for label, ws in self.sets.items()}
+        self.prefix_words = frozenset(w for ws in self.prefixes.values() for w in ws)
+
+    def matches(self, words: list[bytes], held: set[bytes]) -> dict[str, tuple[float, list[int]]]:
+        """For every template that a window of the words meets, the largest share that one holds, and
+        where the windows begin that meet it, each with a word of the template."""
         found = {}
-        for label, (i, j) in first.items():
-            ws, least = self.sets[label], self.least[label]
-            if 1 + min(len(ws) - i - 1, len(known) - j - 1) < least:
+        if held.isdisjoint(self.prefix_words):
+            return found
+        for label, own in self.sets.items():
+            if sum(w in held for w in own) < self.least[label]:
                 continue
-            common = sum(w in block for w in ws)
-            if common >= least:
-                found[label] = common / len(ws)
+            best, starts = 0, []
+            for begin, end in self._around(label, words, held):
+                most, at = self._windows(label, words, begin, end)
+                best = max(best, most)
+                starts += at
+            if starts:
+                found[label] = best / len(own), starts
         return found
 
+    def _around(self, label: str, words: list[bytes], held: set[bytes]) -> Iterator[tuple[int, int]]:
+        """Stretches of the text that hold every window with a prefix word."""
+        width = self.width[label]
+        near = sorted(n for w in self.prefixes[label] if w in held for n in places(words, [w]))
+        begin = end = 0
+        for n in near:
+            if n - width + 1 > end:
+                if end:
+                    yield begin, end
+                begin = n - width + 1
+            end = n + width
+            begin = max(begin, 0)
+        if end:
+            yield begin, min(end, len(words))
+
+    def _windows(self, label: str, words: list[bytes], begin: int, end: int) -> tuple[int, list[int]]:
+        place, least, width = self.place[label], self.least[label], self.width[label]
+        known = [(n, place[w]) for n, w in enumerate(words[begin:end], begin) if w in place]
+        first = min(i for _, i in known)
+        if len(known) < least or len(place) - first < least:
+            return 0, []
+        inside, last, best, starts = Counter(), 0, 0, []
+        for n, i in known:
+            while last < len(known) and known[last][0] < n + width:
+                inside[known[last][1]] += 1
+                last += 1
+            if len(inside) >= least:
+                best = max(best, len(inside))
+                starts.append(n)
+            inside[i] -= 1
+            if not inside[i]:
+                del inside[i]
+        return best, starts
+
 
 def _counts(batches: Iterator[pa.RecordBatch], vocabulary: frozenset) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
     for batch in batches:
         for text in batch.column(0):
-            for _, lines in runs_of_lines(text.as_py().encode().translate(TO_LINES)):
-                held = [vocabulary.intersection(line) for line in lines]
-                for block in held:
-                    seen.update(block)
-                if len(held) > 1:
-                    seen.update(frozenset().union(*held))
+            seen.update(w for w in words_of(text.as_py().encode()) if w in vocabulary)
     yield pa.RecordBatch.from_pydict({
         "word": pa.array([w.decode() for w in seen], pa.string()),
-        "blocks": pa.array(list(seen.values()), pa.int64())})
-
-
-#: As ``TO_WORDS``, but lines stay apart.
-TO_LINES = TO_WORDS[:10] + b"\n" + TO_WORDS[11:]
-
+        "places": pa.array(list(seen.values()), pa.int64())})
 
-def runs_of_lines(body: bytes) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """The runs of lines that hold words: the number of the first line, and each line's words."""
-    run: list[list[bytes]] = []
-    number = -1
-    for number, line in enumerate(body.split(b"\n")):
-        if words := line.split():
-            run.append(words)
-        elif run:
-            yield number - len(run), run
-            run = []
-    if run:
-        yield number + 1 - len(run), run
 
-
-def block_frequency(docs: DataFrame, templates: dict[str, str], text: str = "text",
-                    ) -> dict[bytes, int]:
-    """In how many blocks of all documents each word of the templates stands; as many rows reach the
-    driver as the templates have words."""
+def word_frequency(docs: DataFrame, templates: dict[str, str], text: str = "text",
+                   ) -> dict[bytes, int]:
+    """How often each word of the templates stands in all documents; as many rows reach the driver as
+    the templates have words."""
     vocabulary = frozenset(w for t in templates.values() for w in words_of(t.encode()))
     counted = docs.select(whole_text(text)).mapInArrow(
-        lambda batches: _counts(batches, vocabulary), "word string, blocks bigint")
-    rows = counted.groupBy("word").agg(F.sum("blocks").alias("blocks")).collect()
-    return {r["word"].encode(): r["blocks"] for r in rows}
+        lambda batches: _counts(batches, vocabulary), "word string, places bigint")
+    rows = counted.groupBy("word").agg(F.sum("places").alias("places")).collect()
+    return {r["word"].encode(): r["places"] for r in rows}
 
 
 def places(words: list[bytes], phrase: list[bytes]) -> list[int]:
@@ -170,43 +184,40 @@ RESULT = ("doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last
           "base_labels string, labels string, score double, blocks array<int>")
 
 
+def lines_of(text: bytes, at: list[int]) -> list[int]:
+    """The numbers of the lines in which the words at the given places stand."""
+    before = list(accumulate(len(words_of(line)) for line in text.split(b"\n")))
+    return sorted({bisect_right(before, n) for n in at})
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-         base: dict[str, str] = BASE, id: str = "doc_id", text: str = "text") -> DataFrame:
+         base: dict[str, str] = BASE, id: str = "doc_id", text: str = "text",
+         span: float = SPAN) -> DataFrame:
     """Per document: its words, the places of base phrases, the labels of phrases and templates, the
     largest share of a template that a block holds (1 for a phrase), and the numbers of the lines
-    that meet a template; a paragraph counts by its first line where it meets one that none of its
-    lines meets."""
-    ready = Templates(templates, threshold, block_frequency(docs, templates, text))
+    in which blocks that meet a template begin with a word of it."""
+    ready = Templates(templates, threshold, word_frequency(docs, templates, text), span)
     phrases = [(words_of(p.encode()), label) for p, label in base.items()]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc_id, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                body = body.as_py().encode().translate(TO_LINES)
-                words = body.split()
+                body = body.as_py().encode()
+                words = words_of(body)
                 held = set(words)
-                starts, base_labels, met, lines = [], set(), {}, []
+                starts, base_labels = [], set()
                 for phrase, label in phrases:
                     if held.issuperset(phrase) and (at := places(words, phrase)):
                         starts += at
                         base_labels.add(label)
-                if not held.isdisjoint(ready.prefix_words):
-                    for number, run in runs_of_lines(body):
-                        # A paragraph holds what its lines hold: if it meets nothing, none does.
-                        whole = ready.matches({w for line in run for w in line})
-                        for label, share in whole.items():
-                            met[label] = max(share, met.get(label, 0.0))
-                        if whole:
-                            each = [ready.matches(set(line)) for line in run]
-                            if whole.keys() - set().union(*each):
-                                lines.append(number)
-                            lines += [number + n for n, shares in enumerate(each)
-                                      if shares and number + n not in lines[-1:]]
+                met = ready.matches(words, held)
+                lines = lines_of(body, [n for _, at in met.values() for n in at]) if met else []
                 rows.append((doc_id, len(words), len(starts), min(starts, default=None),
                              max(starts, default=None), ",".join(sorted(base_labels)),
                              ",".join(sorted(base_labels | set(met))),
-                             1.0 if starts else max(met.values(), default=0.0), lines))
+                             1.0 if starts else max((share for share, _ in met.values()), default=0.0),
+                             lines))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind) for column, kind in zip(
                     zip(*rows) if rows else [[]] * 9,
