@@ -31,3 +31,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def whole_text(column: str = "text"):
     """The text, with null read as empty."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
+
+
+def unused(name: str, rows: DataFrame) -> str:
+    """A column name that the rows don't have, by Spark's rules: case makes no difference."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -1,18 +1,20 @@
 """Toxicity by classifier chains.
 
 The categories stand in an order, the overall label last. Each link is a linear model over the text's
-features and the chances of the links before it; in training, these chances are out of fold. Of the
-categories before the last only the vocabulary is given: a document of the sample belongs to one if
-it is labelled toxic and holds a word of it. So the early links know the plain terms, and the last
-one learns from the labels what else goes with toxic documents.
-
-Features are the presence of whole lower-case words and of word beginnings of 4 to 6 letters; those
+features and the chances of the links before it; in training, these chances are out of fold. The
+categories before the last come from the labels too: ``LEADING`` whole words set toxic documents apart
+most, and a document is ``explicit`` if it is labelled toxic and holds one of them, ``severe`` if two.
+So the early links know the plain terms, whatever the language, and the last one learns what else
+goes with toxic documents. Vocabulary, leading words and categories of a fold's models are chosen
+without that fold.
+
+Features are the presence of whole lower-case words and of word beginnings of 3 to 8 letters; those
 kept tell toxic from other documents best in the sample. The sample is about ``SAMPLE_DOCS`` labelled
 documents, taken by a hash of the id.
 
 Null and empty texts have no features and get the models' base chance. Labels of several rows for one
 id: the document is toxic if one says so; null labels are passed over. Of documents that repeat an id
-one is learned from, all are scored. Without labels of both kinds nothing is toxic. Extra columns stay
+the least text is learned from, all are scored. Without labels of both kinds nothing is toxic. Extra columns stay
 as they are; columns that the operator adds replace such of the same name.
 """
 
@@ -25,28 +27,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tillgrain.llm.linear import SAMPLE_TASKS, Linear, fit, matrix
-from tillgrain.llm.tables import query, table, whole_text
+from tillgrain.llm.tables import query, table, unused, whole_text
 from tillgrain.session import pin
 
-#: Plain terms of the categories before the last.
-CATEGORIES = {
-    "insult": ("idiot", "moron", "clown", "loser", "stupid", "fool", "dumb"),
-    "contempt": ("trash", "scum", "worthless", "pathetic", "disgusting", "garbage", "vile"),
-}
+#: Categories before the last, in the chain's order: how many leading words their documents hold.
+LEVELS = {"severe": 2, "explicit": 1}
+#: So many whole words lead.
+LEADING = 16
 OVERALL = "toxic"
 SAMPLE_DOCS = 8_000
 FEATURES = 768
-FOLDS = 2
-LEAST_DOCS = 4
+FOLDS = 3
+LEAST_DOCS = 2
+ROUNDS = 40
 PENALTY = 2e-4
 #: Chance of the last link from which a document counts as toxic.
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 
 
 def features_of(text: str) -> set[str]:
@@ -86,42 +88,58 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int, id: str, text: str) -
     share = min(1.0, size / max(given.count(), 1))
     taken = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     return (docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), whole_text(text).alias("text"))
-            .join(F.broadcast(taken), "doc_id").dropDuplicates(["doc_id"]))
+            .join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")))
 
 
-def _vocabulary(sample: DataFrame, size: int) -> list[str]:
-    """The features that set toxic documents apart most, by the difference of their shares times the
-    log of the ratio."""
+def _tally(sample: DataFrame, folds: int) -> DataFrame:
+    """How many clean and toxic documents of each fold hold a feature: arrays with a place per fold."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Counter(), Counter()
+        seen: dict[tuple[int, int], Counter] = {(f, k): Counter() for f in range(folds) for k in (0, 1)}
         for batch in batches:
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-                seen[label].update(features_of(text.as_py()))
-        every = list({*seen[0], *seen[1]})
-        yield pa.RecordBatch.from_pydict({
-            "feature": pa.array(every, pa.string()),
-            "clean": pa.array([seen[0][f] for f in every], pa.int64()),
-            "toxic": pa.array([seen[1][f] for f in every], pa.int64())})
-
-    totals = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    counted = (sample.select("text", "label").mapInArrow(
-        tally, "feature string, clean bigint, toxic bigint")
-        .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    p = (F.col("toxic") + 0.5) / (totals.get(1, 0) + 1)
-    q = (F.col("clean") + 0.5) / (totals.get(0, 0) + 1)
-    best = (counted.where((F.col("toxic") + F.col("clean") >= LEAST_DOCS) & (p > q))
-            .withColumn("gain", (p - q) * F.log(p / q))
-            .orderBy(F.desc("gain"), "feature").limit(size))
-    return sorted(r["feature"] for r in best.collect())
+            for text, label, fold in zip(*(batch.column(n) for n in range(3))):
+                seen[fold.as_py(), label.as_py()].update(features_of(text.as_py()))
+        for (fold, label), counts in seen.items():
+            yield pa.RecordBatch.from_pydict({
+                "feature": pa.array(list(counts), pa.string()),
+                "fold": pa.array([fold] * len(counts), pa.int32()),
+                "label": pa.array([label] * len(counts), pa.int32()),
+                "docs": pa.array(list(counts.values()), pa.int64())})
+
+    counted = (sample.select("text", "label", "fold")
+               .mapInArrow(tally, "feature string, fold int, label int, docs bigint"))
+    one = lambda f, k: F.sum(F.when((F.col("fold") == f) & (F.col("label") == k),
+                                    F.col("docs")).otherwise(0))
+    return (counted.groupBy("feature")
+            .agg(F.array(*[one(f, 0) for f in range(folds)]).alias("clean"),
+                 F.array(*[one(f, 1) for f in range(folds)]).alias("toxic"),
+                 F.sum("docs").alias("docs")).where(F.col("docs") >= LEAST_DOCS))
 
 
-def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
-          categories: dict[str, tuple[str, ...]] = CATEGORIES, size: int = SAMPLE_DOCS,
-          features: int = FEATURES, folds: int = FOLDS) -> Chain:
-    sample = pin(_sample(docs, labels, size, id, text).coalesce(SAMPLE_TASKS))
-    vocabulary = _vocabulary(sample, features)
-    place = {f: i for i, f in enumerate(vocabulary)}
-    terms = [frozenset(words) for words in categories.values()]
+@dataclass(frozen=True)
+class Terms:
+    """The features of a fit, and the whole words that lead."""
+    vocabulary: tuple[str, ...]
+    leading: frozenset[str]
+
+
+def _terms(counted: DataFrame, totals: dict[tuple[int, int], int], folds: list[int], size: int,
+           leading: int) -> Terms:
+    """The features that set toxic documents of the given folds apart most, by the difference of their
+    shares times the log of the ratio."""
+    toxic, clean = (sum((F.col(side)[f] for f in folds), F.lit(0)) for side in ("toxic", "clean"))
+    p = (F.col("own_toxic") + 0.5) / (sum(totals.get((f, 1), 0) for f in folds) + 1)
+    q = (F.col("own_clean") + 0.5) / (sum(totals.get((f, 0), 0) for f in folds) + 1)
+    told = (counted.select("feature", toxic.alias("own_toxic"), clean.alias("own_clean"))
+            .where((F.col("own_toxic") + F.col("own_clean") >= LEAST_DOCS) & (p > q))
+            .select("feature", ((p - q) * F.log(p / q)).alias("gain")))
+    best = lambda rows, n: [r["feature"] for r in rows.orderBy(F.desc("gain"), "feature")
+                            .limit(n).collect()]
+    return Terms(tuple(sorted(best(told, size))),
+                 frozenset(best(told.where(~F.col("feature").endswith("*")), leading)))
+
+
+def _present(terms: Terms):
+    place = {f: i for i, f in enumerate(terms.vocabulary)}
 
     @arrow_udf("array<double>")
     def present(texts: pa.Array) -> pa.Array:
@@ -130,42 +148,61 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
             rows[n, [place[f] for f in features_of(body.as_py()) & place.keys()]] = 1.0
         return pa.array(list(rows), pa.list_(pa.float64()))
 
-    @arrow_udf("array<int>")
+    return present
+
+
+def _leading(terms: Terms):
+    @arrow_udf("int")
     def held(texts: pa.Array) -> pa.Array:
-        return pa.array([[int(not t.isdisjoint(WORD.findall(body.as_py().lower()))) for t in terms]
-                         for body in texts], pa.list_(pa.int32()))
+        return pa.array([len(terms.leading.intersection(WORD.findall(body.as_py().lower())))
+                         for body in texts], pa.int32())
 
-    names = (*categories, OVERALL)
-    ready = sample.select("doc_id", present("text").alias("x"), held("text").alias("held"), "label",
-                          F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(folds)).cast("int")
-                          .alias("fold"))
-    for n, name in enumerate(names):
-        own = F.col("held")[n] * F.col("label") if n < len(terms) else F.col("label")
-        ready = ready.withColumn(f"is_{n}", own)
-    now, links = pin(ready), []
-    for n, name in enumerate(names):
-        links.append(_link(now, n, len(place)))
-        if n + 1 < len(names):
-            parts = [_link(now.where(F.col("fold") != f), n, len(place)) for f in range(folds)]
-            now = pin(now.withColumn("x", F.concat("x", F.array(_held_out(parts)("x", "fold")))))
-    return Chain(names, tuple(vocabulary), tuple(links))
+    return held
 
 
-def _link(rows: DataFrame, n: int, features: int) -> Linear:
-    """The n-th link, over the features and the n chances before it. Without documents of both kinds
-    it gives no chance to any."""
-    model = fit(rows, "x", f"is_{n}", features + n, penalty=PENALTY, scaled=False)
+def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
+          levels: dict[str, int] = LEVELS, size: int = SAMPLE_DOCS,
+          features: int = FEATURES, folds: int = FOLDS, leading: int = LEADING) -> Chain:
+    sample = pin(_sample(docs, labels, size, id, text).withColumn(
+        "fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(folds)).cast("int"))
+        .coalesce(SAMPLE_TASKS))
+    totals = {(r["fold"], r["label"]): r["count"]
+              for r in sample.groupBy("fold", "label").count().collect()}
+    counted = pin(_tally(sample, folds))
+    every = list(range(folds))
+    # The last entry is for all folds, the others leave out the fold of their number.
+    terms = [_terms(counted, totals, [g for g in every if g != f], features, leading)
+             for f in every] + [_terms(counted, totals, every, features, leading)]
+    now = pin(sample.select("label", "fold", *[
+        column for f, own in enumerate(terms) for column in
+        (_present(own)("text").alias(f"x_{f}"), _leading(own)("text").alias(f"held_{f}"))]))
+    names, links = (*levels, OVERALL), []
+    for n, name in enumerate(names):
+        own = [F.when(F.col(f"held_{f}") >= levels[name], F.col("label")).otherwise(0)
+               if name in levels else F.col("label") for f in range(folds + 1)]
+        links.append(_link(now, own[-1], f"x_{folds}", n + len(terms[-1].vocabulary)))
+        if n + 1 < len(names):
+            parts = [_link(now.where(F.col("fold") != f), own[f], f"x_{f}",
+                           n + len(terms[f].vocabulary)) for f in every]
+            chance = F.array(F.coalesce(*[F.when(F.col("fold") == f, _chance(m)(f"x_{f}"))
+                                          for f, m in enumerate(parts)]))
+            now = pin(now.withColumns({f"x_{f}": F.concat(f"x_{f}", chance)
+                                       for f in range(folds + 1)}))
+    return Chain(names, terms[-1].vocabulary, tuple(links))
+
+
+def _link(rows: DataFrame, label: Column, features: str, width: int) -> Linear:
+    """A link over the features and the chances before it. Without documents of both kinds it gives no
+    chance to any."""
+    model = fit(rows.withColumn("is", label), features, "is", width, penalty=PENALTY, rounds=ROUNDS,
+                scaled=False)
     return model if any(model.weights) else Linear(model.weights, -30.0)
 
 
-def _held_out(models: list[Linear]):
-    """The chance by the model that hasn't seen the row's fold."""
+def _chance(model: Linear):
     @arrow_udf("double")
-    def apply(x: pa.Array, fold: pa.Array) -> pa.Array:
-        if not len(x):
-            return pa.array([], pa.float64())
-        every = np.stack([m.chance(matrix(x)) for m in models], axis=1)
-        return pa.array(every[np.arange(len(x)), fold.to_numpy()], pa.float64())
+    def apply(x: pa.Array) -> pa.Array:
+        return pa.array(model.chance(matrix(x)) if len(x) else [], pa.float64())
 
     return apply
 
@@ -182,8 +219,9 @@ def add_chances(docs: DataFrame, chain: Chain, into: str, text: str = "text") ->
 def without_toxic(docs: DataFrame, chain: Chain, text: str = "text",
                   threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose last link stays below the threshold, as they are."""
-    judged = add_chances(docs, chain, "_chances", text)
-    return (judged.where(F.element_at("_chances", -1) < threshold)
+    into = unused("_chances", docs)
+    judged = add_chances(docs, chain, into, text)
+    return (judged.where(F.element_at(into, -1) < threshold)
             .select(*[f"`{c}`" for c in docs.columns]))
 
 
