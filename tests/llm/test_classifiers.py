@@ -4,7 +4,9 @@ import random
 
 import pytest
 
-from tillgrain.llm import quality, toxicity
+from pyspark.sql import functions as F
+
+from tillgrain.llm import decontaminate, jaccard, quality, toxicity
 
 LABEL = "doc_id bigint, quality int, toxic int"
 
@@ -62,6 +64,26 @@ def test_few_labels_beside_many_documents(spark, documents, planted, monkeypatch
     assert sum((i in kept) != bool(q) for i, q, _ in labels[60:]) <= 10
 
 
+def test_columns_of_the_operators_own_names_stay(spark, documents, planted):
+    """Stages return the columns they got, and the same row of a repeated id whatever the order."""
+    texts, labels = planted
+    known = spark.createDataFrame(labels[:200], LABEL)
+    docs = documents(texts[:40] + [(n, t + " more") for n, t in texts[:40]]).withColumns(
+        {"_score": F.lit("mine"), "_CHANCES": F.lit("mine"), "_leaks": F.lit("mine"),
+         "_place": F.lit("mine")})
+    marks = spark.createDataFrame([(1, "no such words anywhere")], "item_id bigint, text string")
+    for rows in (docs, docs.orderBy(F.desc("text")).repartition(3)):
+        good = quality.good_ones(rows, quality.learn(rows, known))
+        calm = toxicity.without_toxic(good, toxicity.learn(good, known))
+        left = jaccard.without_near_copies(decontaminate.without_leaks(calm, marks), width=5, percent=80)
+        assert left.columns == docs.columns
+        got = sorted(map(tuple, left.collect()), key=str)
+        assert got and all(r[-4:] == ("mine",) * 4 for r in got)
+        assert len({r[0] for r in got}) == len(got)
+        first = got if rows is docs else first
+    assert got == first
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, None, None)], [(77, 0, 1)]])
 def test_without_labels_of_both_kinds(spark, documents, labels):
     docs = documents([(1, "some words here"), (2, None), (1, "some words here")])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tillgrain.llm.tables import query, table, whole_text
+from tillgrain.llm.tables import query, table, unused, whole_text
 from tillgrain.session import pin
 
 log = logging.getLogger(__name__)
@@ -237,7 +237,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", rate: float = RATE,
                   min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents in which no item stands, as they are."""
-    flag = "_leaks"
+    flag = unused("_leaks", docs)
     kept = docs
     for items in item_blocks(benchmark, block_chars=block_chars):
         kept = (add_matches(kept, items, text, flag, rate, min_chars)

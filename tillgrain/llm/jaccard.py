@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillgrain.llm.components import components
-from tillgrain.llm.tables import query, table, whole_text
+from tillgrain.llm.tables import query, table, unused, whole_text
 from tillgrain.session import pin
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -482,7 +482,7 @@ def link(docs: DataFrame, width: int = 4, percent: int = 85, id: str = "doc_id",
 
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that link, however far, to one with a smaller id; of rows that
-    repeat an id one stays. Rows without an id stay."""
+    repeat an id the one with the least digest stays. Rows without an id stay."""
     marks = pin(link(docs, width, percent).where("doc_id is not null"))
     known = marks.groupBy("doc_id").agg(F.count("*").alias("_rows"),
                                         F.min("component_id").alias("_first"))
@@ -491,8 +491,12 @@ def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> D
     left = docs.join(_sent(gone, gone.count()), "doc_id", "leftanti")
     if twice.isEmpty():
         return left
-    return left.join(twice, "doc_id", "leftanti").unionByName(
-        left.join(twice, "doc_id", "leftsemi").dropDuplicates(["doc_id"]))
+    place = unused("_place", docs)
+    order = F.sha2(F.to_json(F.struct(*[f"`{c}`" for c in docs.columns])), 256)
+    one = (left.join(twice, "doc_id", "leftsemi")
+           .withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(order)))
+           .where(F.col(place) == 1).drop(place))
+    return left.join(twice, "doc_id", "leftanti").unionByName(one)
 
 
 @query("op4_jaccard_join")

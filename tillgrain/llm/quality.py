@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
 from tillgrain.llm.linear import SAMPLE_TASKS, Linear, fit, margin_of
-from tillgrain.llm.tables import query, table, whole_text
+from tillgrain.llm.tables import query, table, unused, whole_text
 from tillgrain.session import pin
 
 SAMPLE_DOCS = 16_000
@@ -106,7 +106,8 @@ def _documents(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
                     F.col("lang").cast("string").alias("lang"),
                     F.col("source").cast("string").alias("source"),
                     F.col("n_chars").cast("long").alias("n_chars"))
-            .dropDuplicates(["doc_id"]).join(given, "doc_id", "left")
+            .groupBy("doc_id").agg(F.min(F.struct("content", "lang", "source", "n_chars")).alias("own"))
+            .select("doc_id", "own.*").join(given, "doc_id", "left")
             .select("doc_id", "content", metadata_view("lang", "source", "n_chars").alias("metadata"),
                     "label"))
 
@@ -168,8 +169,9 @@ def score_of(model: Cotrained, text: str = "text") -> Column:
 def good_ones(docs: DataFrame, model: Cotrained, text: str = "text",
               threshold: float = 0.5) -> DataFrame:
     """The documents whose score reaches the threshold, as they are."""
-    judged = docs.withColumn("_score", score_of(model, text))
-    return judged.where(F.col("_score") >= threshold).select(*[f"`{c}`" for c in docs.columns])
+    score = unused("_score", docs)
+    judged = docs.withColumn(score, score_of(model, text))
+    return judged.where(F.col(score) >= threshold).select(*[f"`{c}`" for c in docs.columns])
 
 
 @query("op2_quality")
