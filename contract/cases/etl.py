@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from contract.cases.blocks import _PRODUCTS, _RISK, _SHOWN
-from contract.feed import ARRIVAL, delivered, write_csv
+from contract.feed import ARRIVAL, append_records, delivered, write_csv
 from contract.mapping import digest as digest_sql, money, sql
 from contract.registry import case, digest, raw_case
 from tillgrain.functions.dates import order_calendar
@@ -382,9 +382,7 @@ def _broken_records(spark, folder):
     write_csv(star, f"{home}/in")
     short = star.returns.select(F.concat_ws(",", F.concat(F.lit("X"), F.substring("return_id", 2, 99)), "order_id",
                                             F.col("return_date").cast("string"), "return_reason").alias("value"))
-    header = spark.createDataFrame([(",".join(SCHEMAS["returns"].names),)], "value string")
-    short.coalesce(1).withColumn("n", F.lit(1)).unionByName(header.withColumn("n", F.lit(0))).coalesce(1).sortWithinPartitions(
-        "n").select("value").write.mode("append").text(f"{home}/in/returns.csv")
+    append_records(short, "returns", f"{home}/in")
     loaded = run_load(spark, f"{home}/in", f"{home}/warehouse", quarantine=f"{home}/aside")
     aside = spark.read.parquet(f"{home}/aside/broken_records")
     return quality.stacked([

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillgrain.model import SOURCE_TABLES
+from tillgrain.model import SCHEMAS, SOURCE_TABLES
 from tillgrain.sources import linestar
 from tillgrain.sources.star import Star
 
@@ -65,3 +65,12 @@ def write_csv(star: Star, folder: str) -> None:
     for table in SOURCE_TABLES:
         (tables[table].write.option("header", True).option("escape", '"')
          .csv(f"{folder}/{table}.csv"))
+
+
+def append_records(records: DataFrame, table: str, folder: str) -> None:
+    """Texts as further records of a delivered table, as they are. Each task writes files with a header
+    of their own; the text stands in one column that is named like the header."""
+    (records.toDF(",".join(SCHEMAS[table].names)).write.mode("append")
+     .options(header=True, sep="\u0001", quote="\u0002", emptyValue="",
+              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+     .csv(f"{folder}/{table}.csv"))
