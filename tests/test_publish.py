@@ -5,10 +5,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from contract.feed import write_csv
+from contract.feed import append_records, write_csv
 from tests.conftest import by, make_star, order, rows
 from tillgrain.functions.dates import order_calendar
-from tillgrain.operators.clean import MixedDates, date_form
+from tillgrain.model import SCHEMAS
+from tillgrain.operators.clean import DATE_FORMS, MixedDates, date_form, form_counts
 from tillgrain.operators.quality import ConstraintViolation
 from tillgrain.plans import etl, views
 from tillgrain.sources import flatfiles, snapshots, warehouse
@@ -158,3 +159,21 @@ def test_the_segment_view_reads_stored_scores(spark, star, tmp_path):
     want = rows(views.rfm_segments(star, "2024-06-01").orderBy("customer_id"))
     assert rows(spark.table("vw_rfm_segments").orderBy("customer_id")) == want
     assert rows(views.rfm_segments(loaded, "2024-06-01").orderBy("customer_id")) == want
+
+
+def test_a_text_counts_for_all_its_rows(spark):
+    texts = spark.createDataFrame([("2024-01-02", 3), ("02.01.2024", 2), (None, 4)], "day string, n bigint")
+    counts = texts.agg(*form_counts(F.col("day"), F.col("n"))).first()
+    best = [i for i, form in enumerate(DATE_FORMS) if counts[f"fit{i}"]]
+    assert counts["texts"] == 5 and counts["fit0"] == 3 and counts["odd0"] == "02.01.2024"
+    assert {DATE_FORMS[i]: counts[f"fit{i}"] for i in best} == {"ISO": 3, "d.M.yyyy": 2}
+
+
+def test_records_are_appended_by_every_task_as_they_are(spark, tmp_path):
+    lines = [f' X{i},"O,{i}", a ' for i in range(8)]
+    records = spark.createDataFrame([(t,) for t in lines], "value string").repartition(4)
+    append_records(records, "returns", str(tmp_path))
+    files = list((tmp_path / "returns.csv").glob("part-*"))
+    found = [f.read_text().splitlines() for f in files]
+    assert len(files) > 1 and {f[0] for f in found} == {",".join(SCHEMAS["returns"].names)}
+    assert sorted(line for f in found for line in f[1:]) == lines
