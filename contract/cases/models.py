@@ -176,20 +176,26 @@ select customer_id, round(c, 5) as churn_chance, cast(c >= 0.5 as int) as predic
 from (select customer_id, 1 / (1 + exp(-({_MARGIN}))) as c from ft)""", **_SCORE))
 
 
+@lru_cache(maxsize=4)
+def _remembered(spark, folder):
+    """The star with its history, joined once per session and folder."""
+    return churn.remembered(star_from_lines(spark, folder))
+
+
 def _exported(spark, folder):
     """How far chances from exported tables lie from the models' own, over every customer to score; and the largest gradient of
     the logistic model's loss at its weights. All are zero but for rounding."""
-    star = star_from_lines(spark, folder)
+    star = _remembered(spark, folder)
     split = pin(churn.stratified_split(churn.training_set(star)))
-    train, rows = split.where("not is_test"), churn.scoring_set(star)
-    parts = []
+    train, rows = split.where("not is_test"), pin(churn.scoring_set(star))
+    parts, models = [], churn.fit_all(train)
     for name, kind, depth in ((churn.MODELS[1], trees.FOREST, 8), (churn.MODELS[2], trees.BOOSTED, 3)):
-        model = churn.fit(train, name)
+        model = models[name]
         own = churn.predict(model, rows).select("customer_id", F.col("churn_chance").alias("own"))
         made = trees.with_tree_chance(rows, trees.node_table(model), churn.FEATURES, kind, depth)
         parts.append(made.join(own, "customer_id").agg(
             F.lit(name).alias("model"), F.round(F.max(F.abs(F.col("own") - F.col("churn_chance"))), 9).alias("off")))
-    model = churn.fit(train, churn.MODELS[0])
+    model = models[churn.MODELS[0]]
     table = trees.weight_table(model, churn.FEATURES)
     parts.append(trees.logistic_gradient(train, table, "is_churned", 1.0 / train.count()).agg(
         F.lit(churn.MODELS[0]).alias("model"), F.round(F.max(F.abs("gradient")), 4).alias("off")))
@@ -202,7 +208,7 @@ raw_case("C11_exported_models_agree", _exported, " union all ".join(
 
 @lru_cache(maxsize=4)
 def _split(spark, folder):
-    return pin(churn.stratified_split(churn.training_set(star_from_lines(spark, folder))))
+    return pin(churn.stratified_split(churn.training_set(_remembered(spark, folder))))
 
 
 @lru_cache(maxsize=12)
@@ -213,19 +219,19 @@ def _fitted(spark, folder, name):
 
 @lru_cache(maxsize=4)
 def _trained(spark, folder):
-    models = {name: _fitted(spark, folder, name) for name in churn.MODELS}
-    return churn.compare(models, _split(spark, folder).where("is_test"))
+    split = _split(spark, folder)
+    return churn.compare(churn.fit_all(split.where("not is_test")), split.where("is_test"))
 
 
 for _key, _name in (("C06_logistic_regression", churn.MODELS[0]), ("C07_random_forest", churn.MODELS[1]),
                     ("C08_gradient_boosting", churn.MODELS[2])):
     raw_case(_key, lambda spark, folder, name=_name: churn.predict(
-        _fitted(spark, folder, name), churn.scoring_set(star_from_lines(spark, folder))).select(
+        _fitted(spark, folder, name), churn.scoring_set(_remembered(spark, folder))).select(
         "customer_id", "churn_chance", "predicted"))
 raw_case("C10_model_comparison", lambda spark, folder: _trained(spark, folder).comparison.withColumn(
     "is_best", F.col("model") == _trained(spark, folder).best))
 raw_case("C11_scores", lambda spark, folder: churn.score(
-    _trained(spark, folder).best_model, churn.scoring_set(star_from_lines(spark, folder))))
+    _trained(spark, folder).best_model, churn.scoring_set(_remembered(spark, folder))))
 
 # ---- forecasts
 

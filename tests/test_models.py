@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import by, d, make_star, order, rows
+from tillgrain.session import pin
 from tillgrain.functions import smoothing
 from tillgrain.operators import churn, forecast, rfm
 
@@ -247,3 +248,27 @@ def test_error_metrics_skip_zero_days_in_mape(spark):
 def test_backtest_leaves_out_short_series(spark):
     star = make_star(spark, [order("O1", "2024-01-01", "C1"), order("O2", "2024-01-10", "C1")])
     assert forecast.backtest(forecast.daily_series(star)).count() == 0
+
+
+def test_history_counts_returns_once_per_order(spark):
+    star = make_star(spark, [
+        order("O1", "2024-01-01", "C1"), order("O2", "2024-01-05", "C1"), order("O3", "2024-03-01", "C2"),
+        order("O4", "2024-01-02", None), order("O5", "2024-01-03", "C2", status="Cancelled")],
+        returns=[("R1", "O1", "2024-01-03"), ("R2", "O1", "2024-01-04"), ("R3", "O3", "2024-03-02"),
+                 ("R4", "O4", "2024-01-03"), ("R5", "O5", "2024-01-04")])
+    kept = churn.remembered(star)
+    assert churn.remembered(kept) is kept and kept.history.count() == 4
+    assert churn.last_order_day(kept) == d("2024-03-01")
+    early = by(churn.features_as_of(kept, d("2024-02-01")), "customer_id")
+    assert {c: (r["frequency"], r["return_count"]) for c, r in early.items()} == {"C1": (2, 2), None: (1, 0)}
+    late = by(churn.features_as_of(kept, d("2024-03-01")), "customer_id")
+    assert late["C2"]["return_rate"] == 1.0 and late["C1"]["return_rate"] == 1.0
+
+
+def test_a_forest_is_fitted_in_no_more_tasks_than_run_at_once(spark, planted, monkeypatch):
+    seen = []
+    fitted = churn.Pipeline.fit
+    monkeypatch.setattr(churn.Pipeline, "fit", lambda self, df: (seen.append(df.rdd.getNumPartitions()), fitted(self, df))[1])
+    many = pin(churn.training_set(planted)).repartition(40)
+    models = churn.fit_all(many, churn.MODELS[:1])
+    assert set(models) == {churn.MODELS[0]} and seen[0] <= spark.sparkContext.defaultParallelism

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
@@ -12,10 +13,11 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.util import inheritable_thread_target
 
 from tillgrain.functions.labels import risk_level
 from tillgrain.operators.ordering import with_row_number, with_running_sums
-from tillgrain.operators.rollup import returns_by, sold
+from tillgrain.operators.rollup import returns_per_order, sold
 from tillgrain.session import pin
 from tillgrain.sources.star import Star
 
@@ -28,8 +30,20 @@ MODELS = ("Logistic Regression", "Random Forest", "Gradient Boosting")
 METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
 
 
+def remembered(star: Star) -> Star:
+    """The star with its history: what features need of each order that counts, and the order's number
+    of returns. Features of any day, and the last day, are sums over it, so the orders are joined and
+    met with their returns once."""
+    if star.history is not None:
+        return star
+    rows = sold(star.orders).select("order_id", "customer_id", "order_date", "revenue", "discount")
+    counted = rows.join(returns_per_order(star.returns), "order_id", "left")
+    return star.with_history(pin(counted.drop("order_id")))
+
+
 def last_order_day(star: Star) -> dt.date:
-    day = sold(star.orders).agg(F.max("order_date")).first()[0]
+    rows = sold(star.orders) if star.history is None else star.history
+    day = rows.agg(F.max("order_date")).first()[0]
     if day is None:
         raise ValueError("there are no orders to learn from")
     return day
@@ -37,8 +51,8 @@ def last_order_day(star: Star) -> dt.date:
 
 def features_as_of(star: Star, cutoff: dt.date) -> DataFrame:
     """Per customer with an order up to the cutoff: behaviour up to then, and whether the customer
-    bought again after it. One pass over the fact yields both sides of the cutoff."""
-    orders = sold(star.orders)
+    bought again after it. One pass over the history yields both sides of the cutoff."""
+    orders = remembered(star).history
     day, until = F.col("order_date"), F.lit(cutoff)
     seen = day <= until
 
@@ -53,11 +67,11 @@ def features_as_of(star: Star, cutoff: dt.date) -> DataFrame:
         F.count(before("discount")).alias("_discounted"),
         F.min(before("order_date")).alias("_first"),
         F.max(before("order_date")).alias("_last"),
+        F.sum(before("return_count")).alias("return_count"),
         F.count_if(~seen).alias("_later")).where("frequency > 0")
-    returned = returns_by(orders.where(seen), star.returns, "customer_id")
     zero = F.lit(0.0)
-    counted = F.coalesce(F.col("return_count"), F.lit(0))
-    return per_customer.join(returned, "customer_id", "left").select(
+    counted = F.when(F.col("customer_id").isNull(), 0).otherwise(F.coalesce(F.col("return_count"), F.lit(0)))
+    return per_customer.select(
         "customer_id", "frequency",
         F.coalesce(F.col("total_spend"), zero).alias("total_spend"),
         F.coalesce(F.col("total_spend") / F.nullif(F.col("_revenues"), F.lit(0)), zero)
@@ -73,6 +87,7 @@ def features_as_of(star: Star, cutoff: dt.date) -> DataFrame:
 
 def training_set(star: Star, window_days: int = LABEL_WINDOW_DAYS) -> DataFrame:
     """Customers seen by the cutoff; churned means no order in the days after it."""
+    star = remembered(star)
     cutoff = last_order_day(star) - dt.timedelta(days=window_days)
     return features_as_of(star, cutoff).select("customer_id", *FEATURES, "is_churned")
 
@@ -80,6 +95,7 @@ def training_set(star: Star, window_days: int = LABEL_WINDOW_DAYS) -> DataFrame:
 def scoring_set(star: Star) -> DataFrame:
     """Every buying customer as of the last order day. The days since the last purchase are shown,
     but no model uses them."""
+    star = remembered(star)
     return features_as_of(star, last_order_day(star)).select(
         "customer_id", *FEATURES, "days_since_last_purchase")
 
@@ -89,8 +105,9 @@ def stratified_split(features: DataFrame, test_share: float = TEST_SHARE, seed:
     """Add ``is_test``: exact class shares, decided by a hash of customer and seed.
 
     The same customers fall on the same side however the frame is partitioned. Only the two class
-    sizes reach the driver.
+    sizes reach the driver. The features are pinned, since both the sizes and the order need them.
     """
+    features = pin(features)
     key = F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(f":{seed}")))
     sizes = {r["is_churned"]: r["n"] for r in
              features.groupBy("is_churned").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -124,8 +141,19 @@ def _stages(rows: int) -> dict[str, list]:
 
 
 def fit(train: DataFrame, name: str) -> PipelineModel:
+    """A fitted model. What a forest's tasks hand on has the size of its nodes whatever their rows, so the
+    rows are dealt to as many tasks as run at once, and to no more."""
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="raw")
-    return Pipeline(stages=[assembler, *_stages(train.count())[name]]).fit(train)
+    dealt = train.coalesce(train.sparkSession.sparkContext.defaultParallelism)
+    return Pipeline(stages=[assembler, *_stages(train.count())[name]]).fit(dealt)
+
+
+def fit_all(train: DataFrame, names: tuple[str, ...] = MODELS) -> dict[str, PipelineModel]:
+    """The models, fitted side by side: a boosted model's rounds are hundreds of short jobs that leave
+    most cores to the others."""
+    with ThreadPool(len(names)) as pool:
+        fitted = pool.map(inheritable_thread_target(train.sparkSession)(lambda name: fit(train, name)), names)
+    return dict(zip(names, fitted))
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -209,7 +237,7 @@ def train_and_select(features: DataFrame, names: tuple[str, ...] = MODELS) -> Tr
     """Fit on three quarters, measure on the rest."""
     split = pin(stratified_split(features))
     train, test = split.where("not is_test"), split.where("is_test")
-    return compare({name: fit(train, name) for name in names}, test)
+    return compare(fit_all(train, names), test)
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -221,6 +249,7 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def run_churn(star: Star) -> tuple[Trained, DataFrame]:
+    star = remembered(star)
     trained = train_and_select(training_set(star))
     return trained, score(trained.best_model, scoring_set(star))
 

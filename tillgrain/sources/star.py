@@ -14,17 +14,17 @@ TABLES = ("date_dimension", "customers", "products", "employees", "orders", "ret
 
 class Star:
     """Tables by name. A table given as a function is opened when a report first asks for it, so a
-    report opens only the files it reads. ``churn`` holds the churn predictions, and ``scores`` the stored
-    RFM scores, if there are any.
+    report opens only the files it reads. ``churn`` holds the churn predictions, ``scores`` the stored
+    RFM scores, and ``history`` the orders that count with their returns, if there are any.
     """
 
     def __init__(self, *, churn: Source | None = None, scores: Source | None = None,
-                 **tables: Source) -> None:
+                 history: Source | None = None, **tables: Source) -> None:
         missing = set(TABLES) - set(tables)
         if missing:
             raise ValueError(f"the star lacks {sorted(missing)}")
         self._sources = {**{t: tables[t] for t in TABLES}, "churn": churn,
-                         "scores": scores}
+                         "scores": scores, "history": history}
 
     def _open(self, name: str) -> DataFrame | None:
         source = self._sources[name]
@@ -68,9 +68,19 @@ class Star:
     def scores(self) -> DataFrame | None:
         return self._open("scores")
 
+    @property
+    def history(self) -> DataFrame | None:
+        return self._open("history")
+
     def with_predictions(self, churn: Source) -> "Star":
         return Star(**{**self._sources, "churn": churn})
 
+    def with_scores(self, scores: Source) -> "Star":
+        return Star(**{**self._sources, "scores": scores})
+
+    def with_history(self, history: Source) -> "Star":
+        return Star(**{**self._sources, "history": history})
+
     def tables(self) -> dict[str, DataFrame]:
         named = {t: self._open(t) for t in TABLES}
         if self.churn is not None:
