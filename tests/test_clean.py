@@ -102,3 +102,13 @@ def test_copies_of_a_key_are_thinned_before_the_shuffle(spark):
     first, last = plan.find("WindowGroupLimit"), plan.rfind("WindowGroupLimit")
     assert 0 <= first < plan.find("Exchange") < last
     assert rows(got) == [{"k": 0, "seq": 0}]
+
+
+def test_rows_are_known_by_the_keys_that_no_parent_has(spark):
+    keys = "k string, p string, n int"
+    df = spark.createDataFrame([("A", "X", 1), ("B", "X", 2), (None, "X", 3), ("A", "Y", 4), ("A", "X", 5)], keys)
+    more = df.unionByName(spark.createDataFrame([("Z", "X", 6)], keys))
+    parents = {"k": spark.createDataFrame([("A",), ("A",), (None,)], "k string"),
+               "p": spark.createDataFrame([("X",)], "p string")}
+    got = clean.only_all_known(df, more, parents)
+    assert got.columns == df.columns and sorted(r["n"] for r in rows(got)) == [1, 5]
