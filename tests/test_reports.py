@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import by, d, make_star, order, rows
 from tillgrain.functions.ratios import pct, per
+from tillgrain.operators import rfm
 from tillgrain.operators.rollup import by_attribute, sold
 from tillgrain.operators.scope import (
     Filters, Order, matches, page_after, page_info, page_of, scoped_orders)
@@ -243,3 +244,13 @@ def test_growth_keeps_months_and_groups_without_revenue_or_name(spark):
     kept = {(r["region"], str(r["month"])[:7]): r["customer_retention_pct"]
             for r in rows(measures.customer_retention(Star(**tables), ["region"]))}
     assert kept[(None, "2023-02")] == 100 and kept[(None, "2023-01")] == 0
+
+
+def test_churn_pages_share_their_scores(spark):
+    plain = make_star(spark, [order("O1", "2024-01-10", "C1", revenue="100.00"), order("O2", "2024-02-10", "C1", revenue="50.00")],
+                      churn=[("C1", "0.90000", 1, "High"), ("C2", "0.80000", 1, "High")])
+    scored = rfm.scored(plain)
+    assert rfm.scored(scored) is scored
+    got = by(blocks.churn_table_after(scored, None, "High", 25, "2024-03-01"), "customer_id")
+    assert (got["C1"]["revenue"], got["C1"]["orders"], got["C2"]["orders"]) == (M("150.00"), 2, 0)
+    assert got["C2"]["rfm_segment"] is None
