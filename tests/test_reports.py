@@ -12,6 +12,8 @@ from tillgrain.operators.rollup import by_attribute, sold
 from tillgrain.operators.scope import (
     Filters, Order, matches, page_after, page_info, page_of, scoped_orders)
 from tillgrain.plans import blocks, client, insights, kpis, measures, queries, views
+from tillgrain.session import scratch_path
+from tillgrain.sources import linestar
 from tillgrain.sources.star import Star
 
 M = Decimal
@@ -169,6 +171,26 @@ def test_insights_follow_their_conditions(star):
     assert 8 not in got  # no product name with more than 20 orders
 
 
+def test_returns_meet_only_heads_of_lines_that_may_be_returned(spark):
+    """The same returns as by the status of all lines; the other lines are left out before the join."""
+    home = scratch_path(spark, "lines")
+    day = "timestamp_ntz'1996-02-03 00:00:00'"
+    spark.sql(f"""select id as o_orderkey, id as o_custkey, if(id = 2, 'P', 'F') as o_orderstatus, 1D as o_totalprice,
+        {day} as o_orderdate, '1-URGENT' as o_orderpriority from range(1, 5)""").write.parquet(f"{home}/orders.parquet")
+    spark.sql(f"""select id as l_orderkey, n as l_partkey, n as l_suppkey, cast(n as int) as l_linenumber,
+        2D as l_quantity, 100D as l_extendedprice, 0.04D as l_discount, 0D as l_tax,
+        case when n = 2 then 'N' when id = 4 then null else 'R' end as l_returnflag, 'O' as l_linestatus,
+        {day} as l_shipdate from range(1, 6) lateral view explode(array(1L, 1L, 2L, 3L, null)) as n
+        """).write.parquet(f"{home}/lineitem.parquet")
+    found = linestar.returns(spark, home)
+    plain = linestar.returned_lines(linestar.order_lines(spark, home))
+    got = sorted(map(tuple, found.collect()))
+    assert got == sorted(map(tuple, plain.collect())) and [r[1][:8] for r in got] == ["ORD-1-1-"] * 2 + ["ORD-3-1-"] * 2
+    shown = found._jdf.queryExecution().optimizedPlan().toString()
+    below = shown[shown.index("Join Inner"):].split("\n")[1:]
+    assert any("Filter" in line and "<= 2)" in line for line in below), shown
+
+
 def test_thin_margin_insight(spark):
     thin = make_star(spark, [
         order("O1", "2024-01-10", "C1", revenue="100.00", cost="90.00"),

@@ -35,6 +35,8 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
 _CENTS = "cast(round(l_extendedprice * 100) as bigint)"
 _DISCOUNT = "cast(cast(l_discount as decimal(5,2)) * 2.5 as decimal(5,4))"
 
+_MAY_BE_RETURNED = "l_returnflag = 'R' and l_linenumber <= 2"
+
 _ORDER_LINES = {
     "order_id": "concat('ORD-', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey, "
                 f"'-', {_CENTS})",
@@ -54,7 +56,7 @@ _ORDER_LINES = {
     "payment_method": "case l_linenumber % 3 when 0 then 'Card' when 1 then 'UPI' "
                       "else 'Wallet' end",
     "order_status": "case when o_orderstatus = 'P' and l_linenumber = 1 then 'Cancelled' "
-                    "when l_returnflag = 'R' and l_linenumber <= 2 then 'Returned' "
+                    f"when {_MAY_BE_RETURNED} then 'Returned' "
                     "else 'Completed' end",
     "l_orderkey": "l_orderkey",
     "l_linenumber": "l_linenumber",
@@ -68,8 +70,9 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{expr} as {name}" for name, expr in columns.items()])
 
 
-def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_table(spark, folder, "lineitem")
+def order_lines(spark: SparkSession, folder: str, kept: str = "true") -> DataFrame:
+    """The lines of the table that are ``kept``, with their heads."""
+    lines = read_table(spark, folder, "lineitem").where(kept)
     heads = read_table(spark, folder, "orders")
     joined = lines.join(heads, lines.l_orderkey == heads.o_orderkey)
     return (_project(joined, _ORDER_LINES)
@@ -81,7 +84,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def returns(spark: SparkSession, folder: str) -> DataFrame:
-    return returned_lines(order_lines(spark, folder))
+    # All that may have the status; whether a line has it depends on its head as well.
+    return returned_lines(order_lines(spark, folder, _MAY_BE_RETURNED))
 
 
 def returned_lines(lines: DataFrame, *more: str) -> DataFrame:
