@@ -171,6 +171,22 @@ def test_insights_follow_their_conditions(star):
     assert 8 not in got  # no product name with more than 20 orders
 
 
+def test_discount_insight_comes_from_the_shared_sums(spark):
+    """Orders without a discount class, without revenue, or cancelled count in neither mean."""
+    star = make_star(spark, [
+        order("O1", "2024-01-10", "C1", revenue="100.00", cost="90.00", discount="0.2"),
+        order("O2", "2024-01-11", "C1", revenue="100.00", cost="60.00", discount="0.15"),
+        order("O3", "2024-01-11", "C2", revenue="50.00", cost="15.00"),
+        order("O4", "2024-01-12", "C2", revenue="0.00", cost="5.00", discount="0.3"),
+        order("O5", "2024-01-12", "C2", revenue="80.00", cost="1.00", discount="0.3", status="Cancelled")])
+    grains = insights.Grains(star)
+    nothing = make_star(spark, [])
+    want = rows(insights.discount_effect(star))
+    assert want and rows(insights.discount_effect(nothing, grains)) == want
+    assert want[0]["value"] == 45.0 and " 10.00%" in want[0]["text"]
+    assert rows(insights.discount_effect(star, insights.Grains(nothing))) == []
+
+
 def test_returns_meet_only_heads_of_lines_that_may_be_returned(spark):
     """The same returns as by the status of all lines; the other lines are left out before the join."""
     home = scratch_path(spark, "lines")

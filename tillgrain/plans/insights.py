@@ -1,8 +1,8 @@
 """Insight sentences, each built from one aggregate and kept only while its condition holds.
 
 Every function returns at most one row (insight_id, category, text, value); ``all_insights`` is
-their union. Most of them need the same few sums per day, customer, product and salesperson:
-``grains`` takes these in one pass over the orders, and ``all_insights`` hands them to all.
+their union. Most of them need the same few sums per day, customer, product, salesperson and
+class of discount: ``Grains`` takes these in one pass over the orders, and ``all_insights`` hands them to all.
 """
 
 from __future__ import annotations
@@ -37,22 +37,31 @@ _KEYS = {"day": "order_date", "customer": "customer_id", "product": "product_id"
          "salesperson": "employee_id"}
 
 
+def _discount_class() -> Column:
+    edge = F.lit("0.15").cast("decimal(5,4)")
+    return F.when(F.col("discount") > edge, "high").when(F.col("discount") <= edge, "low")
+
+
 class Grains:
-    """Sums over the orders per day, customer, product and salesperson, from one pass over them."""
+    """Sums over the orders per day, customer, product, salesperson, and class of discount, from one pass
+    over them."""
 
     def __init__(self, star: Star) -> None:
         # A row of orders counts once in each grain; its parts are combined before they are shuffled.
         kept = counts_as_revenue()
         names = list(_KEYS.values())
-        sets = F.array(*[F.struct(F.lit(grain).alias("grain"), *[
+        sets = F.array(*[F.struct((F.lit(grain) if key else _discount_class()).alias("grain"), *[
             (F.col(c) if c == key else F.lit(None)).cast(star.orders.schema[c].dataType).alias(f"k_{c}")
-            for c in names]) for grain, key in _KEYS.items()])
+            for c in names]) for grain, key in {**_KEYS, "discount": None}.items()])
         rows = star.orders.select(
             F.inline(sets), F.when(kept, F.col("revenue")).alias("revenue"),
-            F.when(kept, F.col("profit")).alias("profit"), kept.cast("int").alias("kept"))
+            F.when(kept, F.col("profit")).alias("profit"), kept.cast("int").alias("kept"),
+            F.when(kept & (F.col("revenue") > 0), order_margin().cast("double")).alias("margin"))
+        margin = F.when(F.col("grain").isin("high", "low"), F.col("margin"))
         self._sums = pin(rows.groupBy("grain", *[f"k_{c}" for c in names]).agg(
             F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
-            F.sum("kept").alias("orders"), F.count(F.lit(1)).alias("all_orders")))
+            F.sum("kept").alias("orders"), F.count(F.lit(1)).alias("all_orders"),
+            F.sum(margin).alias("margin"), F.count(margin).alias("margins")))
 
     def of(self, grain: str) -> DataFrame:
         """The key, revenue, profit and orders of keys with orders that count."""
@@ -66,6 +75,12 @@ class Grains:
         return self._sums.where(F.col("grain") == grain).select(
             F.col(f"k_{key}").alias(key), F.col("all_orders").alias("orders"))
 
+    def margins(self) -> DataFrame:
+        """The mean margin of orders with a high and with a low discount, as one row."""
+        mean = F.col("margin") / F.col("margins")
+        return self._sums.where(F.col("grain").isin("high", "low") & (F.col("margins") > 0)).agg(
+            *[F.max(F.when(F.col("grain") == c, mean)).alias(c) for c in ("high", "low")])
+
 
 def _of(star: Star, grains: Grains | None, grain: str, *names: str) -> DataFrame:
     """Sums per key of a grain: those at hand, or by a pass of their own."""
@@ -139,15 +154,11 @@ def top_customer_share(star: Star, grains: Grains | None = None, n: int = 10) ->
                     _one(F.col("share")), "% of total revenue.")
 
 
-def discount_effect(star: Star) -> DataFrame:
+def discount_effect(star: Star, grains: Grains | None = None) -> DataFrame:
     margin = order_margin().cast("double")
-    edge = F.lit("0.15").cast("decimal(5,4)")
-
-    def mean(condition: Column) -> Column:
-        return F.round(F.avg(F.when(condition, margin)) * 100, 2).cast("decimal(20,2)")
-
-    rows = sold(star.orders).where("revenue > 0").agg(
-        mean(F.col("discount") > edge).alias("high"), mean(F.col("discount") <= edge).alias("low"))
+    means = grains.margins() if grains is not None else sold(star.orders).where("revenue > 0").agg(
+        *[F.avg(F.when(_discount_class() == c, margin)).alias(c) for c in ("high", "low")])
+    rows = means.select(*[F.round(F.col(c) * 100, 2).cast("decimal(20,2)").alias(c) for c in ("high", "low")])
     rows = rows.withColumn("diff", F.round(F.col("low") - F.col("high"), 1)).where("diff > 0")
     return _insight(rows, 6, "Pricing", F.col("diff"),
                     "Orders discounted above 15% carry an average margin of ",
@@ -192,6 +203,6 @@ def all_insights(star: Star) -> DataFrame:
              thin_margin_category(star, grains)]
     if star.churn is not None:
         parts.append(churn_share(star))
-    parts += [top_customer_share(star, grains), discount_effect(star), targets_met(star, grains),
+    parts += [top_customer_share(star, grains), discount_effect(star, grains), targets_met(star, grains),
               most_returned_name(star, grains)]
     return reduce(DataFrame.unionByName, parts)
