@@ -1,6 +1,7 @@
 """The stages over small documents: nulls, repeats, clashing names, empty tables; each against a plain version."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -55,6 +56,18 @@ def test_stages_return_the_columns_they_get(spark, folder):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "ids"], name
 
 
+def test_batches_of_long_texts_are_bounded_by_bytes(spark, documents):
+    """Texts of 300,000 characters: a batch holds a few of them, not as many as short ones."""
+    def count(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    stage = corpus_pipeline.in_small_batches(
+        lambda spark, docs, folder: docs.coalesce(1).select("text").mapInArrow(count, "n bigint"))
+    found = [r["n"] for r in stage(spark, documents([(n, "x" * 300_000) for n in range(40)]), "").collect()]
+    assert sum(found) == 40 and max(found) * 300_000 <= 2 * corpus_pipeline.BATCH_BYTES
+
+
 def test_a_tree_hands_on_pairs_in_small_portions():
     """All points alike, of different components: every pair, never many at once."""
     points = np.ones((400, 64), np.int64)
