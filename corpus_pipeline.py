@@ -7,7 +7,8 @@ that they got.
 
 Stages lower the session's ``spark.sql.execution.arrow.maxRecordsPerBatch`` to ``BATCH_ROWS``, set
 ``maxBytesPerBatch`` to ``BATCH_BYTES``, and leave both there, since what they return is computed later: a
-batch of whole texts stands in the memory of a task, of its Python worker, and of what both make of it.
+batch of whole texts stands in the memory of a task, of its Python worker, and of what both make of it: the
+features of 500 texts that ``toxicity`` fits its chain on are 12 MB, of 200 texts 5 MB.
 Near copies of a long text come together, so that rows alone do not bound their batches."""
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tillgrain.llm.tables import table
 from tillgrain.session import pin
 
 
-BATCH_ROWS = 500
+BATCH_ROWS = 200
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_BYTES = 1 << 20
 BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"

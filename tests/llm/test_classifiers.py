@@ -93,3 +93,30 @@ def test_without_labels_of_both_kinds(spark, documents, labels):
     none = documents([])
     assert toxicity.without_toxic(none, toxicity.learn(none, known)).count() == 0
     assert quality.good_ones(none, quality.learn(none, known)).count() == 0
+
+
+def test_sure_rows_are_judged_by_one_python_worker(spark):
+    """Half of the rows are sure; their margin is worked out in one step, not again for the filter."""
+    rows = spark.createDataFrame([(float(n),) for n in range(-10, 11)], "x double").select(F.array("x").alias("view"))
+    got = quality._taught(rows, quality.Linear((1.0,), 0.0), "view", 5.0)
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r["view"][0], r["label"]) for r in got.collect()) == [
+        (float(n), int(n > 0)) for n in range(-10, 11) if abs(n) >= 5]
+
+
+def test_counts_handed_on_in_parts_are_the_same(spark, planted):
+    texts, labels = planted
+    sample = spark.createDataFrame([(t, k, n % 3) for (n, t), (_, _, k) in zip(texts[:90], labels)],
+                                   "text string, label int, fold int").coalesce(1)
+    whole, parts = (sorted(map(tuple, toxicity._tally(sample, 3, most).collect())) for most in (1 << 30, 40))
+    assert whole == parts and len(whole) > 300
+    docs = {f: n for f, *_, n in whole}
+    assert docs["idiot"] == sum("idiot" in t.split() for _, t in texts[:90])
+
+
+def test_features_of_a_text_as_a_row(spark):
+    rows = spark.createDataFrame([("alpha beta",), ("",), ("gammas",)], "text string").coalesce(1)
+    terms = toxicity.Terms(("alpha", "beta", "gam*"), frozenset())
+    assert [r[0] for r in rows.select(toxicity._present(terms)("text")).collect()] == [[1, 1, 0], [0, 0, 0], [0, 0, 1]]
+    none = toxicity.Terms((), frozenset())
+    assert [r[0] for r in rows.select(toxicity._present(none)("text")).collect()] == [[], [], []]

@@ -52,11 +52,12 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def margin_of(model: Linear, features: str | Column) -> Column:
+def margin_of(model: Linear, features: str | Column, once: bool = False) -> Column:
+    """The margin of every row; with ``once`` a column that Spark does not work out again where it is used."""
     @arrow_udf("double")
     def apply(x: pa.Array) -> pa.Array:
         return pa.array(model.margin(matrix(x)) if len(x) else [], pa.float64())
 
-    return apply(features)
+    return (apply.asNondeterministic() if once else apply)(features)
 
 

@@ -112,6 +112,14 @@ def _documents(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
                     "label"))
 
 
+def _taught(rows: DataFrame, teacher: Linear, view: str, edge: float) -> DataFrame:
+    """The rows whose margin is at least the edge, labelled by its sign. The margin is marked as not deterministic: Spark
+    would otherwise work it out again for the filter, with a second Python worker beside the first in every task."""
+    return (rows.withColumn("margin", margin_of(teacher, view, once=True))
+            .where(F.abs("margin") >= edge)
+            .withColumn("label", (F.col("margin") > 0).cast("int")).drop("margin"))
+
+
 def _in_tasks(rows: DataFrame, count: int) -> DataFrame:
     return rows.coalesce(max(SAMPLE_TASKS, -(-count // TASK_ROWS)))
 
@@ -131,13 +139,9 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", size: int = SA
     metadata = fit(known, "metadata", "label", METADATA)
     edge = float(np.log(sure / (1 - sure)))
 
-    def taught(teacher: Linear, view: str) -> DataFrame:
-        judged = open_.withColumn("margin", margin_of(teacher, view))
-        return (judged.where(F.abs("margin") >= edge)
-                .withColumn("label", (F.col("margin") > 0).cast("int")).drop("margin"))
-
     for _ in range(rounds):
-        by_content, by_metadata = taught(content, "content"), taught(metadata, "metadata")
+        by_content = _taught(open_, content, "content", edge)
+        by_metadata = _taught(open_, metadata, "metadata", edge)
         content = fit(known.unionByName(by_metadata), "content", "label", CONTENT)
         metadata = fit(known.unionByName(by_content), "metadata", "label", METADATA)
     held = pin(pool.where("aside").select(

@@ -43,6 +43,8 @@ SAMPLE_DOCS = 8_000
 FEATURES = 768
 FOLDS = 3
 LEAST_DOCS = 2
+#: Counts of features that a task holds before it hands them on.
+TALLIED = 1 << 15
 ROUNDS = 40
 PENALTY = 2e-4
 #: Chance of the last link from which a document counts as toxic.
@@ -91,19 +93,27 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int, id: str, text: str) -
             .join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")))
 
 
-def _tally(sample: DataFrame, folds: int) -> DataFrame:
-    """How many clean and toxic documents of each fold hold a feature: arrays with a place per fold."""
+def _tally(sample: DataFrame, folds: int, most: int = TALLIED) -> DataFrame:
+    """How many clean and toxic documents of each fold hold a feature: arrays with a place per fold. A task
+    hands its counts on whenever it holds ``most`` of them; they are summed afterwards."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, int], Counter] = {(f, k): Counter() for f in range(folds) for k in (0, 1)}
+
+        def close() -> Iterator[pa.RecordBatch]:
+            for (fold, label), counts in seen.items():
+                yield pa.RecordBatch.from_pydict({
+                    "feature": pa.array(list(counts), pa.string()),
+                    "fold": pa.array([fold] * len(counts), pa.int32()),
+                    "label": pa.array([label] * len(counts), pa.int32()),
+                    "docs": pa.array(list(counts.values()), pa.int64())})
+                counts.clear()
+
         for batch in batches:
             for text, label, fold in zip(*(batch.column(n) for n in range(3))):
                 seen[fold.as_py(), label.as_py()].update(features_of(text.as_py()))
-        for (fold, label), counts in seen.items():
-            yield pa.RecordBatch.from_pydict({
-                "feature": pa.array(list(counts), pa.string()),
-                "fold": pa.array([fold] * len(counts), pa.int32()),
-                "label": pa.array([label] * len(counts), pa.int32()),
-                "docs": pa.array(list(counts.values()), pa.int64())})
+                if sum(map(len, seen.values())) >= most:
+                    yield from close()
+        yield from close()
 
     counted = (sample.select("text", "label", "fold")
                .mapInArrow(tally, "feature string, fold int, label int, docs bigint"))
@@ -146,7 +156,8 @@ def _present(terms: Terms):
         rows = np.zeros((len(texts), len(place)))
         for n, body in enumerate(texts):
             rows[n, [place[f] for f in features_of(body.as_py()) & place.keys()]] = 1.0
-        return pa.array(list(rows), pa.list_(pa.float64()))
+        ends = np.arange(len(texts) + 1, dtype=np.int32) * len(place)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rows.ravel()))
 
     return present
 
