@@ -1,5 +1,6 @@
 """Exported models score like the models themselves."""
 
+import math
 import random
 
 import pytest
@@ -58,3 +59,22 @@ def test_a_feature_that_never_changes(spark, customers):
     model = churn.fit(flat, "Logistic Regression")
     weights = trees.weight_table(model, churn.FEATURES)
     assert off(trees.with_linear_chance(flat, weights), model, flat)[1] < 1e-9
+
+
+def test_batches_walk_the_trees(spark):
+    """Missing features go right, a walk that doesn't end at a leaf has no value, and no plan folds over nodes."""
+    nodes = spark.createDataFrame([
+        (0, 0, 0, 1.0, 1, 2, None, 2.0), (0, 1, None, None, None, None, 0.25, 2.0), (0, 2, 1, 5.0, 3, 4, None, 2.0),
+        (0, 3, None, None, None, None, 0.5, 2.0), (0, 4, None, None, None, None, 1.0, 2.0),
+        (1, 0, None, None, None, None, 0.5, 1.0)], trees.NODES)
+    given = spark.createDataFrame([(1, 1.0, 9.0), (2, 2.0, 5.0), (3, 2.0, None), (4, None, 1.0), (5, float("nan"), 6.0)],
+                                  "id int, a double, b double")
+    made = trees.with_tree_chance(given, nodes, ["a", "b"], trees.FOREST, 2)
+    found = {r["id"]: r["churn_chance"] for r in made.collect()}
+    leaf = {1: 0.25, 2: 0.5, 3: 1.0, 4: 0.5, 5: 1.0}
+    assert found == {i: pytest.approx((2 * v + 0.5) / 3) for i, v in leaf.items()}
+    short = {r["id"]: r["churn_chance"] for r in trees.with_tree_chance(
+        given, nodes, ["a", "b"], trees.BOOSTED, 1).collect()}
+    assert short[1] == pytest.approx(1 / (1 + math.exp(-2))) and [short[i] for i in (2, 3, 4, 5)] == [None] * 4
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan and "Join" not in plan

@@ -3,15 +3,18 @@
 A forest's chance is the weighted mean of its leaves' shares; a boosted model's is the logistic of twice the
 weighted sum of its leaves' values. Nodes are numbered within their tree; the first one is the root. The
 tables hold a few rows per node of a fixed number of trees of bounded depth, so they are sent whole to
-wherever rows are scored; a row walks every tree by a fold over its depth, in the JVM.
+wherever rows are scored; a batch of rows walks a tree together, one array step per level.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 NODES = ("tree int, node int, feature int, threshold double, left int, right int, value double, "
          "weight double")
@@ -64,35 +67,56 @@ def weight_table(model: PipelineModel, names: list[str]) -> DataFrame:
 
 # ---- scoring
 
-def _packed(nodes: DataFrame) -> DataFrame:
-    """One row with every tree: its weight and its nodes, by number."""
-    node = F.struct("node", "feature", "threshold", "left", "right", "value")
-    trees = nodes.groupBy("tree", "weight").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
-    return trees.agg(F.collect_list(F.struct("weight", "nodes")).alias("_trees"))
+def _trees(nodes: DataFrame) -> list[tuple[float, dict[str, np.ndarray]]]:
+    """Every tree's weight and its nodes as arrays, by number. A leaf leads to itself; behind the last
+    node stands one without a value, to which a number without a node leads."""
+    rows = sorted(nodes.collect(), key=lambda r: (r["tree"], r["weight"], r["node"]))
+    made = []
+    for (_, weight), own in groupby(rows, key=lambda r: (r["tree"], r["weight"])):
+        own = list(own)
+        none = len(own)
 
+        def column(name: str, kind: type, at_leaf) -> np.ndarray:
+            return np.array([r[name] if r["feature"] is not None else at_leaf(i) for i, r in enumerate(own)]
+                            + [at_leaf(none)], kind)
 
-def _leaf(nodes: Column, features: Column, depth: int) -> Column:
-    """The value that a row's features lead to. At a leaf the walk stays."""
-    def step(at: Column, _: Column) -> Column:
-        return F.transform(F.array(F.get(nodes, at)), lambda n: F.when(n["feature"].isNull(), at)
-                           .when(F.get(features, n["feature"]) <= n["threshold"], n["left"])
-                           .otherwise(n["right"]))[0]
+        def child(name: str) -> np.ndarray:
+            to = column(name, np.float64, lambda i: i)  # a missing number is no number
+            return np.where((to >= 0) & (to < none), to, none).astype(np.int64)
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
-    return F.get(nodes, end)["value"]
+        made.append((weight, {
+            "feature": column("feature", np.int64, lambda i: 0), "left": child("left"), "right": child("right"),
+            "threshold": column("threshold", np.float64, lambda i: np.nan),
+            "value": np.array([*(r["value"] for r in own), None], np.float64)}))
+    return made
+
+
+def _leaf(tree: dict[str, np.ndarray], features: np.ndarray, depth: int) -> np.ndarray:
+    """The values that the rows' features lead to. At a leaf the walk stays; a missing feature goes right."""
+    rows, at = np.arange(len(features)), np.zeros(len(features), np.int64)
+    for _ in range(depth):
+        low = features[rows, tree["feature"][at]] <= tree["threshold"][at]
+        at = np.where(low, tree["left"][at], tree["right"][at])
+    return tree["value"][at]
 
 
 def with_tree_chance(rows: DataFrame, nodes: DataFrame, names: list[str], kind: str, depth: int,
                      chance: str = "churn_chance") -> DataFrame:
-    """The rows with the chance that the trees of ``nodes`` give; ``names`` are the features by number."""
-    features = F.array(*[F.col(f"`{n}`").cast("double") for n in names])
-    total = F.aggregate("_trees", F.lit(0.0), lambda s, t: s + t["weight"] * _leaf(
-        t["nodes"], F.col("_features"), depth))
-    weight = F.aggregate("_trees", F.lit(0.0), lambda s, t: s + t["weight"])
-    value = total / weight if kind == FOREST else 1 / (1 + F.exp(-2 * total))
-    # One row of bounded size beside every row: the trees of one model.
-    return (rows.withColumn("_features", features).crossJoin(F.broadcast(_packed(nodes)))
-            .withColumn(chance, value).drop("_trees", "_features"))
+    """The rows with the chance that the trees of ``nodes`` give; ``names`` are the features by number.
+    The nodes are those of one model, whose number its trees and their depth bound."""
+    trees = _trees(nodes)
+
+    @F.pandas_udf("double")
+    def total_of(*features: pd.Series) -> pd.Series:
+        table = np.column_stack([f.to_numpy(np.float64, na_value=np.nan) for f in features])
+        total = np.zeros(len(table))
+        for weight, tree in trees:
+            total += weight * _leaf(tree, table, depth)
+        return pd.Series(total)
+
+    total = total_of(*[F.col(f"`{n}`").cast("double") for n in names])
+    value = total / F.lit(float(sum(w for w, _ in trees))) if kind == FOREST else 1 / (1 + F.exp(-2 * total))
+    return rows.withColumn(chance, value)
 
 
 def with_linear_chance(rows: DataFrame, weights: DataFrame, chance: str = "churn_chance") -> DataFrame:
